@@ -23,7 +23,7 @@ from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
 from dockhand.operators.tables import APPEND, REPLACE, SnapshotTable
 from dockhand.session import configure, new_work_folder
-from dockhand.sources import delivery, quoting
+from dockhand.sources import archive, delivery, quoting
 from dockhand.sources.encoding import decode_as, decode_by, effective_encoding
 
 logger = logging.getLogger(__name__)
@@ -119,6 +119,12 @@ class ImportEngine:
         self.user_mode = user_mode
         self.jdbc = jdbc
 
+    def at(self, load_time: datetime) -> ImportEngine:
+        """The same engine with another load time."""
+        return ImportEngine(
+            self.spark, self.catalog, self.store, load_time, self.user_mode, self.jdbc
+        )
+
     # --- prepare -----------------------------------------------------------------
 
     def prepare(
@@ -132,25 +138,42 @@ class ImportEngine:
     ) -> Prepared:
         """Classify (or take ``source``), validate and map every file of a folder."""
         text, paths = delivery.open_inbox(self.spark, inbox, changed_before)
-        return self.prepare_text(text, paths, source, require_unambiguous, min_lead, run_id)
+        raw = None if text is None else delivery.raw_lines(text)
+        return self.prepare_lines(raw, paths, source, require_unambiguous, min_lead, run_id)
+
+    def prepare_archives(
+        self, folder: str, source: str | None = None, min_lead: float | None = None,
+        run_id: str | None = None,
+    ) -> Prepared:
+        """Same for the members of every archive in a folder.
+
+        Only unambiguous files are accepted.  An archive that fails a check contributes no
+        member; :func:`dockhand.sources.archive.failures` of the expansion names it.
+        """
+        run_id = run_id or uuid.uuid4().hex
+        path = f"{new_work_folder(self.spark, f'archives-{run_id}')}/expanded"
+        archives = self.spark.read.format("binaryFile").load(folder)
+        expanded = self._saved(archive.expand(archives.select("path", "content")), path)
+        names = [r["file"] for r in archive.members(expanded).orderBy("archive", "member_seq").collect()]
+        return self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id)
 
-    def prepare_text(
+    def prepare_lines(
         self,
-        text: DataFrame | None,
+        raw: DataFrame | None,
         paths: list[str],
         source: str | None = None,
         require_unambiguous: bool = False,
         min_lead: float | None = None,
         run_id: str | None = None,
     ) -> Prepared:
-        """Same for a text scan (``spark.read.text`` or a streaming batch) of known files."""
+        """Same for raw lines (file, block, rid, raw) of the given files, in that order."""
         if source is not None and source not in self.catalog:
             raise ValueError(f"source '{source}' is not in the catalog")
         run_id = run_id or uuid.uuid4().hex
         folder = new_work_folder(self.spark, f"run-{run_id}")
         files = delivery.file_table(self.spark, paths)
         landing = delivery.land(
-            self.spark, text, files, f"{folder}/landing", self.catalog.delimiters(),
+            self.spark, raw, files, f"{folder}/landing", self.catalog.delimiters(),
             self._single_byte_encodings(),
         )
         return self._prepare_landed(

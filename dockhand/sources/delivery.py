@@ -29,6 +29,9 @@ from dockhand.sources.quoting import leaves_open
 BROADCAST_LIMIT_BYTES = 512 * 1024 * 1024
 
 
+RAW_SCHEMA = "file string, block bigint, rid bigint, raw binary"
+
+
 @dataclass(frozen=True)
 class Landing:
     """Tables of one landed delivery."""
@@ -100,22 +103,20 @@ def spans_name(i: int) -> str:
 
 def land(
     spark: SparkSession,
-    text: DataFrame | None,
+    raw: DataFrame | None,
     files: DataFrame,
     folder: str,
     delimiters: list[str],
     single_byte: tuple[str, ...] = (),
 ) -> Landing:
-    """Write the landing table of a text scan and derive its line index.
+    """Write the landing table of raw lines and derive its line index.
 
     ``files`` comes from :func:`file_table`; ``single_byte`` names declared encodings, for
     which undecodable lines are counted per file.
     """
     declared = {undecodable_name(e): undecodable(F.col("raw"), e) for e in single_byte}
-    if text is None:
-        raw = spark.createDataFrame([], "file string, block bigint, rid bigint, raw binary")
-    else:
-        raw = raw_lines(text)
+    if raw is None:
+        raw = spark.createDataFrame([], RAW_SCHEMA)
     marked = with_evidence(raw, delimiters).withColumns(declared)
     marked.write.mode("overwrite").parquet(f"{folder}/lines")
     lines = spark.read.parquet(f"{folder}/lines")
