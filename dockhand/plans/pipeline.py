@@ -142,17 +142,18 @@ class ImportEngine:
         return self.prepare_lines(raw, paths, source, require_unambiguous, min_lead, run_id)
 
     def prepare_archives(
-        self, folder: str, source: str | None = None, min_lead: float | None = None,
-        run_id: str | None = None,
+        self, archives: str | DataFrame, source: str | None = None,
+        min_lead: float | None = None, run_id: str | None = None,
     ) -> Prepared:
-        """Same for the members of every archive in a folder.
+        """Same for the members of archives: a folder, or a table (path, content).
 
         Only unambiguous files are accepted.  An archive that fails a check contributes no
         member; :func:`dockhand.sources.archive.failures` of the expansion names it.
         """
         run_id = run_id or uuid.uuid4().hex
         path = f"{new_work_folder(self.spark, f'archives-{run_id}')}/expanded"
-        archives = self.spark.read.format("binaryFile").load(folder)
+        if isinstance(archives, str):
+            archives = self.spark.read.format("binaryFile").load(archives)
         expanded = self._saved(archive.expand(archives.select("path", "content")), path)
         names = [r["file"] for r in archive.members(expanded).orderBy("archive", "member_seq").collect()]
         return self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id)
