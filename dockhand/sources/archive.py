@@ -23,6 +23,7 @@ ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06")
 
 _CHUNK = 4 * 1024 * 1024
 _LINES_PER_BATCH = 50_000
+_BYTES_PER_BATCH = 16 * 1024 * 1024
 # Lines of one member per block; a block bounds the windows that resolve open quotes.
 _LINES_PER_BLOCK = 1_000_000
 
@@ -100,21 +101,16 @@ def _lines(member) -> Iterator[bytes]:
     yield from rest.splitlines()
 
 
-def _batches(path: str, data: bytes) -> Iterator[pa.RecordBatch]:
+def _rows(path: str, data: bytes) -> Iterator[tuple]:
     error = _check(data)
     if error is not None:
-        yield _batch([(path, None, None, None, error, None, None, None)])
+        yield path, None, None, None, error, None, None, None
         return
     for seq, (name, size, opened) in enumerate(_walk(data, "", 0, [MAX_UNPACKED_BYTES])):
-        rows = [(path, name, seq, size, None, None, None, None)]
+        yield path, name, seq, size, None, None, None, None
         with opened() as member:
             for rid, line in enumerate(_lines(member)):
-                rows.append((path, name, seq, None, None, rid // _LINES_PER_BLOCK, rid, line))
-                if len(rows) >= _LINES_PER_BATCH:
-                    yield _batch(rows)
-                    rows = []
-        if rows:
-            yield _batch(rows)
+                yield path, name, seq, None, None, rid // _LINES_PER_BLOCK, rid, line
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -124,9 +120,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of many small archives share a batch; a batch is bounded in rows and bytes."""
+    rows, weight = [], 0
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            yield from _batches(path.as_py(), content.as_py())
+            for row in _rows(path.as_py(), content.as_py()):
+                rows.append(row)
+                weight += len(row[-1] or b"")
+                if len(rows) >= _LINES_PER_BATCH or weight >= _BYTES_PER_BATCH:
+                    yield _batch(rows)
+                    rows, weight = [], 0
+    if rows:
+        yield _batch(rows)
 
 
 def expand(archives: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def test_query_matches_sql(spark, duck, name):
     expected = table([c[0] for c in result.description], result.fetchall())
     actual = table(frame.columns, [tuple(r) for r in frame.collect()])
     assert actual[0] == expected[0]
-    missing = [r for r in expected[1] if r not in set(actual[1])][:3]
-    extra = [r for r in actual[1] if r not in set(expected[1])][:3]
+    missing = list(set(expected[1]) - set(actual[1]))[:3]
+    extra = list(set(actual[1]) - set(expected[1]))[:3]
     assert actual[1] == expected[1], f"missing {missing}\nextra {extra}"
     assert expected[1], "the result is empty"
