@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.sources.encoding import is_supported_encoding
+from dockhand.session import small_table
 
 # Fixed values of the catalog format.
 CELL_TYPES = ("string", "integer", "decimal_de", "decimal_en", "date_dmy", "date_iso", "boolean")
@@ -324,10 +325,10 @@ def catalog_tables(spark: SparkSession, sources: Iterable[SourceDef]) -> Catalog
         rules += [(s.name, d.ziel, None) for d in s.mapping.abgeleitete_felder]
         keys += [(s.name, key) for key in z.upsert_key]
     return CatalogTables(
-        spark.createDataFrame(head, SOURCES_SCHEMA),
-        spark.createDataFrame(cols, COLUMNS_SCHEMA),
-        spark.createDataFrame(rules, RULES_SCHEMA),
-        spark.createDataFrame(keys, KEYS_SCHEMA),
+        small_table(spark, head, SOURCES_SCHEMA),
+        small_table(spark, cols, COLUMNS_SCHEMA),
+        small_table(spark, rules, RULES_SCHEMA),
+        small_table(spark, keys, KEYS_SCHEMA),
     )
 
 

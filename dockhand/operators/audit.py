@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from dockhand.session import small_table
 
 logger = logging.getLogger(__name__)
 
@@ -27,7 +28,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.schema(AUDIT_SCHEMA).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], AUDIT_SCHEMA)
+            return small_table(spark, [], AUDIT_SCHEMA)
         raise
 
 

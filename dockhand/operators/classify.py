@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from dockhand.catalog import CELL_TYPES, Catalog
 from dockhand.functions.cells import strip, tokenize, type_fits
 from dockhand.functions.text import percent, round_half_even
+from dockhand.session import small_table
 
 # Wording of the knock-outs and decisions.
 KO_UNREADABLE = "Datei nicht lesbar/leer"
@@ -46,7 +47,7 @@ def scoring_table(spark: SparkSession, catalog: Catalog) -> DataFrame:
         )
         for order, s in enumerate(catalog.values())
     ]
-    return spark.createDataFrame(rows, _SOURCES)
+    return small_table(spark, rows, _SOURCES)
 
 
 def cut_samples(samples: DataFrame, catalog: Catalog, line: dict[str, Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from dockhand.session import small_table
 
 _LOG = "version int, run_id string, action string, part string"
 APPEND, REPLACE = "append", "replace"
@@ -44,7 +45,7 @@ class SnapshotTable:
         """Current rows, or the rows as they were before a run."""
         parts = self._parts(before_run)
         if not parts:
-            return self.spark.createDataFrame([], self.schema)
+            return small_table(self.spark, [], self.schema)
         rows = self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{p}" for p in parts))
         return rows.select(*self.schema.names)
 
@@ -65,5 +66,5 @@ class SnapshotTable:
         if any(e["run_id"] == run_id for e in entries):
             return
         version = entries[-1]["version"] + 1 if entries else 1
-        entry = self.spark.createDataFrame([(version, run_id, action, f"parts/{run_id}")], _LOG)
+        entry = small_table(self.spark, [(version, run_id, action, f"parts/{run_id}")], _LOG)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -22,7 +24,7 @@ from dockhand.functions.text import file_name
 from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
 from dockhand.operators.tables import APPEND, REPLACE, SnapshotTable
-from dockhand.session import configure, new_work_folder
+from dockhand.session import configure, new_work_folder, small_table
 from dockhand.sources import archive, delivery, quoting
 from dockhand.sources.encoding import decode_as, decode_by, effective_encoding
 
@@ -37,6 +39,8 @@ LOAD_ERROR = "abgelehnt_ladefehler"
 # With more matched sources than this, lines are first written apart by source; up to it,
 # scanning the landing table once per source is cheaper than writing it a second time.
 SCANS_BEFORE_ROUTING = 3
+# Jobs of different sources run side by side, so a small one does not leave executors idle.
+PARALLEL_SOURCES = 4
 
 
 @dataclass(frozen=True)
@@ -75,21 +79,22 @@ class Prepared:
     def bad(self, source: SourceDef) -> DataFrame:
         return self.staged(source).filter("bad").select("file", "nr", "cells")
 
-    def errors(self) -> DataFrame:
-        """All findings of all sources."""
-        none = self.spark.createDataFrame(
-            [], "file string, nr bigint, position int, column string, value string, "
+    def errors(self, sources: Iterable[SourceDef] | None = None) -> DataFrame:
+        """All findings, of all sources or of some."""
+        none = small_table(
+            self.spark, [], "file string, nr bigint, position int, column string, value string, "
             "code string, reason string",
         )
         return reduce(
             DataFrame.unionByName,
-            [validate.errors(self.bad(s), s) for s in self.sources], none,
+            [validate.errors(self.bad(s), s) for s in (self.sources if sources is None else sources)],
+            none,
         )
 
     def quarantine(self) -> DataFrame:
         """Bad rows of partially loaded sources with their reasons."""
-        none = self.spark.createDataFrame(
-            [], "file string, zeile_nr bigint, fehler_grund string, original_zeile string"
+        none = small_table(
+            self.spark, [], "file string, zeile_nr bigint, fehler_grund string, original_zeile string"
         )
         parts = [validate.quarantine(self.bad(s), s) for s in self.sources if s.partial]
         return reduce(DataFrame.unionByName, parts, none)
@@ -289,15 +294,16 @@ class ImportEngine:
             lines = delivery.number_lines(landing, assigned, ("source",))
             lines.write.mode("overwrite").partitionBy("source").parquet(f"{folder}/routed")
             routed = self.spark.read.parquet(f"{folder}/routed")
-        for source in sources:
+
+        def stage(source: SourceDef) -> None:
             encoding = effective_encoding(
                 source.datei.encoding, F.col("all_utf8"), F.col("all_cp1252")
             )
             readable = ~F.array_contains("unreadable", source.datei.encoding)
+            delimiter = source.datei.trennzeichen
+            spans = F.col(delivery.spans_name(self.catalog.delimiters().index(delimiter)))
             mine = assigned.filter((F.col("source") == source.name) & readable).select(
-                "file", "file_seq", encoding.alias("encoding"),
-                F.col(delivery.spans_name(self.catalog.delimiters().index(source.datei.trennzeichen)))
-                .alias("spans"),
+                "file", "file_seq", encoding.alias("encoding"), spans.alias("spans")
             )
             side = delivery.bounded_broadcast(mine, landing.index_bytes)
             if routed is None:
@@ -305,12 +311,14 @@ class ImportEngine:
             else:
                 own = routed.filter(F.col("source") == source.name).drop("source")
                 lines = own.join(side, "file")
-            records = spanning.get(source.datei.trennzeichen)
+            records = spanning.get(delimiter)
             if records is not None:
                 whole = records.join(side, "file").filter("spans")
                 lines = lines.filter(~F.col("spans")).unionByName(whole)
             self._stage_source(lines, source, folder)
 
+        _side_by_side(stage, sources)
+
     def _stage_source(self, lines: DataFrame, source: SourceDef, folder: str) -> None:
         text = (
             _decoded(F.col("encoding")) if source.datei.encoding.lower() == "utf-8"
@@ -334,8 +342,8 @@ class ImportEngine:
 
     def _outcome(self, prepared: Prepared) -> DataFrame:
         """Row counts and validation verdict of each file."""
-        counts = self.spark.createDataFrame(
-            [], "file string, rows_total bigint, rows_bad bigint, n_errors bigint, rows_overflow bigint"
+        counts = small_table(
+            self.spark, [], "file string, rows_total bigint, rows_bad bigint, n_errors bigint, rows_overflow bigint"
         )
         for s in prepared.sources:
             counts = counts.unionByName(validate.file_counts(prepared.staged(s)))
@@ -372,21 +380,32 @@ class ImportEngine:
 
     def _load(self, prepared: Prepared) -> DataFrame:
         """Load every target; returns (file_seq, loaded, skipped, conflicts, failure)."""
-        effects = self.spark.createDataFrame(
-            [], "file_seq int, loaded bigint, skipped bigint, conflicts bigint, failure string"
+        none = small_table(
+            self.spark, [],
+            "file_seq int, loaded bigint, skipped bigint, conflicts bigint, failure string",
         )
-        for source in prepared.sources:
+
+        def load_one(source: SourceDef) -> DataFrame:
             ready = prepared.outcome.filter(
                 (F.col("source") == source.name) & F.col("valid") & (F.col("rows_overflow") == 0)
             ).select("file_seq", (F.col("rows_total") - F.col("rows_bad")).alias("rows_good"))
             try:
-                effect = self._load_source(prepared, source, ready)
+                return self._load_source(prepared, source, ready)
             except Exception as e:
                 logger.exception("load into '%s' failed", source.zielsystem.tabelle)
                 message = str(e).splitlines()[0] if str(e) else type(e).__name__
-                effect = _effect(ready, failure=F.lit(message))
-            effects = effects.unionByName(effect)
-        return self._saved(effects, f"{prepared.folder}/effects")
+                return _effect(ready, failure=F.lit(message))
+
+        def load_table(group: list[SourceDef]) -> list[DataFrame]:
+            return [load_one(s) for s in group]
+
+        by_table: dict[str, list[SourceDef]] = {}
+        for source in prepared.sources:
+            by_table.setdefault(source.zielsystem.tabelle, []).append(source)
+        effects = sum(_side_by_side(load_table, by_table.values()), [])
+        return self._saved(
+            reduce(DataFrame.unionByName, effects, none), f"{prepared.folder}/effects"
+        )
 
     def _load_source(self, prepared: Prepared, source: SourceDef, ready: DataFrame) -> DataFrame:
         target = source.zielsystem
@@ -407,7 +426,6 @@ class ImportEngine:
                 "loaded", F.coalesce("loaded", F.lit(0))
             )
             effect = _effect(effect, F.col("loaded"), F.col("rows_good") - F.col("loaded"))
-            effect = self._saved(effect, f"{prepared.folder}/effect-{source.name}")
             table.publish(run_id, APPEND)
         elif key and target.pk_konflikt == "update":
             incoming = load.rows_to_update_load(rows, key).select(*source.target_fields())
@@ -508,7 +526,11 @@ class ImportEngine:
 
     def _details(self, prepared: Prepared, results: DataFrame) -> DataFrame:
         """Detail lines for the reject reports: (file, line_nr, text)."""
-        found = prepared.errors()
+        refused = {
+            r["quelle"] for r in
+            results.filter(F.col("status") == INVALID).select("quelle").distinct().collect()
+        }
+        found = prepared.errors([s for s in prepared.sources if s.name in refused])
         partial = [s.name for s in prepared.sources if s.partial]
         kinds = results.select("file", F.col("quelle").isin(partial).alias("partial"))
         rejected = found.join(kinds, "file")
@@ -541,6 +563,12 @@ class ImportEngine:
         return details
 
 
+def _side_by_side(work: Callable, items: Iterable) -> list:
+    """Run the Spark jobs of several items from threads; results in item order."""
+    with ThreadPoolExecutor(max_workers=PARALLEL_SOURCES) as pool:
+        return list(pool.map(work, items))
+
+
 def _decoded(encoding: Column) -> Column:
     """Text of ``raw`` for sources that leave the encoding to detection."""
     return decode_by(F.col("raw"), encoding, ["utf-8", "cp1252", "iso-8859-1"])

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Generated methods above 8000 bytecodes are never compiled by the JVM.  Wide sources reach
 # that size, and Spark is faster when it falls back to its split-up projections there.
@@ -35,3 +38,33 @@ def work_root(spark: SparkSession) -> str:
 def new_work_folder(spark: SparkSession, label: str) -> str:
     """A folder name that no other job uses."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def small_table(
+    spark: SparkSession, rows: list[tuple], schema: str | T.StructType
+) -> DataFrame:
+    """Driver-side facts as a table whose size Spark knows, so joins with it can broadcast.
+
+    Rows given as a Python list become an RDD of unknown size; an Arrow table becomes a
+    local relation, and an empty one disappears from the plan.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    fields = to_arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    arrays = [
+        pa.array([_plain(v, f.dataType) for v in c], a.type)
+        for c, f, a in zip(columns, schema.fields, fields, strict=True)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
+
+
+def _plain(value, kind: T.DataType):
+    """Tuples of nested rows as the dictionaries Arrow expects."""
+    if value is None:
+        return None
+    if isinstance(kind, T.ArrayType):
+        return [_plain(v, kind.elementType) for v in value]
+    if isinstance(kind, T.StructType):
+        return {f.name: _plain(v, f.dataType) for f, v in zip(kind.fields, value, strict=True)}
+    return value

@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from dockhand.functions.text import file_name
 from dockhand.sources.encoding import detected_encoding, undecodable
 from dockhand.sources.quoting import leaves_open
+from dockhand.session import small_table
 
 # A side table is broadcast only below this measured size; above it the join shuffles.
 BROADCAST_LIMIT_BYTES = 512 * 1024 * 1024
@@ -70,7 +71,7 @@ def _name(path: str) -> str:
 def file_table(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, file_seq): the files in processing order, which is the order of their names."""
     rows = [(p, i) for i, p in enumerate(paths)]
-    return spark.createDataFrame(rows, "file string, file_seq int")
+    return small_table(spark, rows, "file string, file_seq int")
 
 
 def raw_lines(text: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def land(
     """
     declared = {undecodable_name(e): undecodable(F.col("raw"), e) for e in single_byte}
     if raw is None:
-        raw = spark.createDataFrame([], RAW_SCHEMA)
+        raw = small_table(spark, [], RAW_SCHEMA)
     marked = with_evidence(raw, delimiters).withColumns(declared)
     marked.write.mode("overwrite").parquet(f"{folder}/lines")
     lines = spark.read.parquet(f"{folder}/lines")

@@ -17,40 +17,32 @@ from pyspark.sql import functions as F
 FALLBACK_CHAIN = ("utf-8", "utf-8-sig", "cp1252", "iso-8859-1", "latin-1")
 
 
-@lru_cache
-def _single_byte_table(encoding: str) -> tuple[str, str, str] | None:
-    """(Latin-1 characters to replace, their replacements, undefined characters)."""
-    source, target, undefined = [], [], []
-    for byte in range(256):
-        try:
-            char = bytes([byte]).decode(encoding)
-        except (UnicodeDecodeError, LookupError):
-            undefined.append(chr(byte))
-            continue
-        if len(char) != 1:
-            return None
-        if char != chr(byte):
-            source.append(chr(byte))
-            target.append(char)
-    if len(undefined) > 200 or not _decodes_bytewise(encoding):
+def _char(data: bytes, encoding: str) -> str | None:
+    try:
+        return data.decode(encoding)
+    except (UnicodeDecodeError, LookupError):
         return None
-    return "".join(source), "".join(target), "".join(undefined)
-
 
-def _decodes_bytewise(encoding: str) -> bool:
-    defined = bytes(b for b in range(256) if _defined(b, encoding))
-    try:
-        return len(defined.decode(encoding)) == len(defined)
-    except UnicodeDecodeError:
-        return False
 
+@lru_cache
+def _single_byte_table(encoding: str) -> tuple[str, str, str] | None:
+    """(Latin-1 characters to replace, their replacements, undefined characters).
 
-def _defined(byte: int, encoding: str) -> bool:
-    try:
-        bytes([byte]).decode(encoding)
-        return True
-    except UnicodeDecodeError:
-        return False
+    None unless every character of the encoding is one byte and ASCII stays ASCII, which
+    delimiters, quotes and line breaks rely on.
+    """
+    chars = [_char(bytes([b]), encoding) for b in range(256)]
+    undefined = [b for b, c in enumerate(chars) if c is None]
+    if any(c is not None and len(c) != 1 for c in chars) or any(chars[b] != chr(b) for b in range(128)):
+        return None
+    if any(_char(bytes([lead, b]), encoding) is not None for lead in undefined for b in range(32, 256)):
+        return None
+    changed = [(chr(b), c) for b, c in enumerate(chars) if c is not None and c != chr(b)]
+    return (
+        "".join(old for old, _ in changed),
+        "".join(new for _, new in changed),
+        "".join(map(chr, undefined)),
+    )
 
 
 @lru_cache

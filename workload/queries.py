@@ -18,7 +18,7 @@ from dockhand.functions.text import archive_path, quarantine_path, reject_path
 from dockhand.operators import audit, classify, load, mapping, report, validate
 from dockhand.operators.tables import APPEND, SnapshotTable
 from dockhand.plans.pipeline import ImportEngine
-from dockhand.session import configure, new_work_folder
+from dockhand.session import configure, new_work_folder, small_table
 from dockhand.sources import archive, delivery, encoding, quoting
 from dockhand.streaming.inbox import stream_inbox
 from workload import deliveries as d
@@ -337,7 +337,7 @@ def _base_and_delivery(spark, sf_dir):
     """The table holds finished orders; open and partly open ones are delivered."""
     rows = _orders_for_load(spark, sf_dir)
     finished = rows.filter("o_orderstatus = 'F'").drop("o_orderstatus")
-    empty = spark.createDataFrame([], finished.select(*FIELDS).schema)
+    empty = small_table(spark, [], finished.select(*FIELDS).schema)
     base = load.rows_to_skip_load(finished, empty, KEY).select(*FIELDS)
     return base, rows.filter("o_orderstatus <> 'F'").drop("o_orderstatus")
 
