@@ -16,8 +16,8 @@ from dockhand.catalog import NUMERIC_TYPES, ColumnDef
 
 # Cell syntax per type, and the words that are booleans.
 INTEGER = r"^-?\d+$"
-DECIMAL_DE = r"^-?\d{1,3}(\.\d{3})*(,\d+)?$|^-?\d+(,\d+)?$"
-DECIMAL_EN = r"^-?\d{1,3}(,\d{3})*(\.\d+)?$|^-?\d+(\.\d+)?$"
+DECIMAL_DE = r"^-?\d++(?:,\d++)?$|^-?\d{1,3}(?:\.\d{3})++(?:,\d++)?$"
+DECIMAL_EN = r"^-?\d++(?:\.\d++)?$|^-?\d{1,3}(?:,\d{3})++(?:\.\d++)?$"
 DATE_DMY = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
 DATE_ISO = r"^\d{4}-\d{2}-\d{2}$"
 TRUE_WORDS = ("1", "ja", "true", "y", "j")
@@ -29,9 +29,22 @@ _QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
 
-def strip(cell: Column) -> Column:
-    """Remove Unicode whitespace at both ends."""
-    return F.trim(cell, F.lit(WHITESPACE))
+def strip(cell: Column, odd_space: Column | None = None) -> Column:
+    """Remove Unicode whitespace at both ends.
+
+    Trimming a set of characters is slow.  ``odd_space`` says whether the cell may hold any
+    whitespace but blanks; where it is false, the plain trim gives the same result.
+    """
+    full = F.trim(cell, F.lit(WHITESPACE))
+    return full if odd_space is None else F.when(odd_space, full).otherwise(F.trim(cell))
+
+
+def has_odd_space(line: Column, delimiter: str) -> Column:
+    """May a record contain whitespace other than blanks?
+
+    Anything outside printable ASCII counts: one range is far cheaper to test than the set.
+    """
+    return F.lit(True) if delimiter.isspace() else line.rlike("[^ -~]")
 
 
 def _escaped(delimiter: str) -> str:
@@ -81,7 +94,10 @@ def type_fits(cell: Column, typ: str) -> Column:
     if typ == "string":
         return F.lit(True)
     if typ == "integer":
-        return cell.rlike(INTEGER)
+        # The cast settles nearly every cell; it takes a plus sign and refuses over 64 bits.
+        return F.when(cell.try_cast("bigint").isNotNull(), ~cell.startswith("+")).otherwise(
+            cell.rlike(INTEGER)
+        )
     if typ == "decimal_de":
         return cell.rlike(DECIMAL_DE)
     if typ == "decimal_en":
@@ -120,9 +136,10 @@ def convert(cell: Column, typ: str) -> Column:
     if typ == "integer":
         return cell.try_cast("bigint")
     if typ == "decimal_de":
-        return F.translate(cell, ",.", ".").try_cast("double")
+        plain = F.replace(F.replace(cell, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+        return plain.try_cast("double")
     if typ == "decimal_en":
-        return F.translate(cell, ",", "").try_cast("double")
+        return F.replace(cell, F.lit(","), F.lit("")).try_cast("double")
     if typ in ("date_dmy", "date_iso"):
         return F.when(cell != "", _as_date(cell, typ))
     if typ == "boolean":

@@ -87,7 +87,7 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
     data = ~F.col("has_header") | (F.col("nr") > 1)
     fits = data & (F.size("cells") == F.col("width"))
     hits = F.size(
-        F.filter(F.zip_with(F.transform("cells", strip), F.col("columns"), _fits), lambda hit: hit)
+        F.filter(F.zip_with(F.transform("cells", lambda cell: strip(cell)), F.col("columns"), _fits), lambda hit: hit)
     )
     stats = (
         rows.select(

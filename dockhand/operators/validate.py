@@ -19,6 +19,7 @@ from dockhand.functions.cells import (
     below_minimum,
     cell_at,
     filled_fits,
+    has_odd_space,
     overflows,
     strip,
     tokenize,
@@ -45,7 +46,12 @@ def parse(records: DataFrame, source: SourceDef) -> DataFrame:
     if source.datei.hat_header:
         rows = rows.filter(F.col("nr") > 1)
     kept = [c for c in records.columns if c != "line"]
-    return rows.select(*kept, tokenize(F.col("line"), source.datei.trennzeichen).alias("cells"))
+    line, delimiter = F.col("line"), source.datei.trennzeichen
+    return rows.select(
+        *kept,
+        tokenize(line, delimiter).alias("cells"),
+        has_odd_space(line, delimiter).alias("odd_space"),
+    )
 
 
 def check(parsed: DataFrame, source: SourceDef) -> DataFrame:
@@ -55,13 +61,14 @@ def check(parsed: DataFrame, source: SourceDef) -> DataFrame:
     tokenizer into every later filter and projection that reads a cell: each cell is cut and
     stripped once per row.
     """
-    cells = F.col("cells")
+    odd_space = F.col("odd_space") if "odd_space" in parsed.columns else None
     stripped = (
-        strip(cell_at(cells, c.position)).alias(stripped_name(c.position)) for c in source.columns
+        strip(cell_at(F.col("cells"), c.position), odd_space).alias(stripped_name(c.position))
+        for c in source.columns
     )
     wide = parsed.select("*", F.inline(F.array(F.struct(*stripped))))
     per_cell = [_cell_error_count(c) for c in source.columns]
-    n_errors = F.when(F.size(cells) != source.width, F.lit(1)).otherwise(
+    n_errors = F.when(F.size("cells") != source.width, F.lit(1)).otherwise(
         reduce(lambda a, b: a + b, per_cell)
     )
     return wide.select("*", n_errors.alias("n_errors"), _row_overflow(source).alias("overflow"))
@@ -144,7 +151,7 @@ def errors(parsed: DataFrame, source: SourceDef) -> DataFrame:
             reason.alias("reason"),
         )
         slots.append(F.when(condition, entry))
-    kept = [c for c in parsed.columns if c != "cells"]
+    kept = [c for c in parsed.columns if c not in ("cells", "odd_space")]
     return (
         bad_rows(check(parsed, source))
         .select(*kept, F.inline(F.array(*slots)))
