@@ -81,7 +81,7 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
     """Score every file against every source: (file, source, score, ko_reason, ...).
 
     ``files`` lists all files, so an empty one is scored too; its optional array column
-    ``unreadable`` names the declared encodings that cannot decode the file.
+    ``unreadable`` holds the dialects that cannot read the file.
     """
     rows = cut.join(sources, "dialect").filter(F.col("nr") <= F.col("sample_rows"))
     data = ~F.col("has_header") | (F.col("nr") > 1)
@@ -103,20 +103,22 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
             F.sum("hits").alias("n_hits"),
         )
     )
+    ids = {pair: i for i, pair in enumerate(dialects(catalog))}
     pairs = files.select(
         "file",
         *(["unreadable"] if "unreadable" in files.columns else []),
         F.inline(F.array(*(
             F.struct(
                 F.lit(s.name).alias("source"), F.lit(order).alias("catalog_order"),
-                F.lit(s.width).alias("width"), F.lit(s.datei.encoding).alias("encoding"),
+                F.lit(s.width).alias("width"),
+                F.lit(ids[s.datei.trennzeichen, s.datei.encoding]).alias("dialect"),
                 F.lit(float(s.klassifikation.schwellenwert)).alias("threshold"),
             )
             for order, s in enumerate(catalog.values())
         ))),
     )
     blocked = (
-        F.array_contains("unreadable", F.col("encoding"))
+        F.array_contains("unreadable", F.col("dialect"))
         if "unreadable" in files.columns else F.lit(False)
     )
     ko = (

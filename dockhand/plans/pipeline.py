@@ -188,13 +188,13 @@ class ImportEngine:
 
     def _single_byte_encodings(self) -> tuple[str, ...]:
         declared = {s.datei.encoding for s in self.catalog.values()}
-        return tuple(sorted(declared - {"utf-8"}))
+        return tuple(sorted(e for e in declared if e.lower() != "utf-8"))
 
     def _prepare_landed(
         self, landing, run_id, folder, source, require_unambiguous, min_lead
     ) -> Prepared:
-        spanning = self._spanning_records(landing, folder)
-        files = self._with_unreadable(landing.files)
+        spanning, oversized = self._spanning_records(landing, folder)
+        files = self._with_unreadable(landing.files, oversized)
         ranking = None
         if source is None:
             ranking = self._saved(self._ranking(landing, files, spanning), f"{folder}/ranking")
@@ -222,22 +222,35 @@ class ImportEngine:
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def _with_unreadable(self, files: DataFrame) -> DataFrame:
-        """Add the declared encodings that cannot decode a file."""
-        failed = [
-            F.when(F.col(delivery.undecodable_name(e)), F.lit(e))
-            for e in self._single_byte_encodings()
-        ]
-        names = F.filter(F.array(*failed), lambda e: e.isNotNull()) if failed else F.array()
-        return files.withColumn("unreadable", names.cast("array<string>"))
+    def _dialect(self, source: SourceDef) -> int:
+        pair = (source.datei.trennzeichen, source.datei.encoding)
+        return classify.dialects(self.catalog).index(pair)
+
+    def _with_unreadable(self, files: DataFrame, oversized: dict[str, DataFrame]) -> DataFrame:
+        """Add the dialects that cannot read a file: wrong encoding or endless quote."""
+        dialects = classify.dialects(self.catalog)
+        failed = [F.lit(None).cast("int")]
+        for i, (_, encoding) in enumerate(dialects):
+            if encoding.lower() != "utf-8":
+                failed.append(F.when(F.col(delivery.undecodable_name(encoding)), F.lit(i)))
+        for n, (delimiter, too_long) in enumerate(oversized.items()):
+            files = files.join(too_long.withColumn(f"_long_{n}", F.lit(True)), "file", "left")
+            failed += [
+                F.when(F.col(f"_long_{n}"), F.lit(i))
+                for i, (d, _) in enumerate(dialects) if d == delimiter
+            ]
+        return files.withColumn("unreadable", F.array_compact(F.array(*failed)))
 
-    def _spanning_records(self, landing, folder: str) -> dict[str, DataFrame]:
+    def _spanning_records(
+        self, landing, folder: str
+    ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
         """Records of the files with quoted line breaks, per delimiter that sees them so.
 
         Quotes, delimiters and line feeds are ASCII bytes in every supported encoding, so
-        the work is done on the bytes read as Latin-1, which loses nothing.
+        the work is done on the bytes read as Latin-1, which loses nothing.  The second
+        result names the files with a record too long to put together.
         """
-        found = {}
+        found, oversized = {}, {}
         for i, delimiter in enumerate(self.catalog.delimiters()):
             files = landing.files.filter(delivery.spans_name(i)).select("file")
             if files.isEmpty():
@@ -251,11 +264,15 @@ class ImportEngine:
             numbered = self._saved(
                 quoting.number_records(as_text, delimiter), f"{folder}/numbered-{i}"
             )
+            too_long = self._saved(quoting.oversized_files(numbered), f"{folder}/oversized-{i}")
+            if not too_long.isEmpty():
+                oversized[delimiter] = too_long
+                numbered = numbered.join(too_long, "file", "left_anti")
             records = quoting.join_lines(numbered).select(
                 "file", "nr", F.encode("line", "ISO-8859-1").alias("raw")
             )
             found[delimiter] = self._saved(records, f"{folder}/records-{i}")
-        return found
+        return found, oversized
 
     def _ranking(self, landing, files: DataFrame, spanning: dict[str, DataFrame]) -> DataFrame:
         rows = max(s.klassifikation.stichprobe_zeilen for s in self.catalog.values())
@@ -285,40 +302,42 @@ class ImportEngine:
 
     def _stage(self, landing, files, accepted, sources, spanning, folder: str) -> None:
         """Parse, check and convert the accepted files; one written table per source."""
-        assigned = files.join(accepted.select("file", "source"), "file").select(
-            "file", "file_seq", "source", "all_utf8", "all_cp1252", "unreadable",
-            *(delivery.spans_name(i) for i in range(len(self.catalog.delimiters()))),
+        assigned = self._saved(
+            reduce(DataFrame.unionByName, [self._assigned(files, accepted, s) for s in sources])
+            if sources else files.select("file").limit(0),
+            f"{folder}/assigned",
         )
+        carried = ("file_seq", "encoding", "spans")
         routed = None
         if len(sources) > SCANS_BEFORE_ROUTING:
-            lines = delivery.number_lines(landing, assigned, ("source",))
+            lines = delivery.number_lines(landing, assigned, ("source", *carried))
             lines.write.mode("overwrite").partitionBy("source").parquet(f"{folder}/routed")
             routed = self.spark.read.parquet(f"{folder}/routed")
 
         def stage(source: SourceDef) -> None:
-            encoding = effective_encoding(
-                source.datei.encoding, F.col("all_utf8"), F.col("all_cp1252")
-            )
-            readable = ~F.array_contains("unreadable", source.datei.encoding)
-            delimiter = source.datei.trennzeichen
-            spans = F.col(delivery.spans_name(self.catalog.delimiters().index(delimiter)))
-            mine = assigned.filter((F.col("source") == source.name) & readable).select(
-                "file", "file_seq", encoding.alias("encoding"), spans.alias("spans")
-            )
-            side = delivery.bounded_broadcast(mine, landing.index_bytes)
+            mine = assigned.filter(F.col("source") == source.name).drop("source")
             if routed is None:
-                lines = delivery.number_lines(landing, mine, ("file_seq", "encoding", "spans"))
+                lines = delivery.number_lines(landing, mine, carried)
             else:
-                own = routed.filter(F.col("source") == source.name).drop("source")
-                lines = own.join(side, "file")
-            records = spanning.get(delimiter)
+                lines = routed.filter(F.col("source") == source.name).drop("source")
+            records = spanning.get(source.datei.trennzeichen)
             if records is not None:
-                whole = records.join(side, "file").filter("spans")
-                lines = lines.filter(~F.col("spans")).unionByName(whole)
+                side = delivery.bounded_broadcast(mine.filter("spans"), landing.index_bytes)
+                lines = lines.filter(~F.col("spans")).unionByName(records.join(side, "file"))
             self._stage_source(lines, source, folder)
 
         _side_by_side(stage, sources)
 
+    def _assigned(self, files: DataFrame, accepted: DataFrame, source: SourceDef) -> DataFrame:
+        """Readable files of one source: (file, file_seq, source, encoding, spans)."""
+        encoding = effective_encoding(source.datei.encoding, F.col("all_utf8"), F.col("all_cp1252"))
+        spans = delivery.spans_name(self.catalog.delimiters().index(source.datei.trennzeichen))
+        mine = accepted.filter(F.col("source") == source.name).select("file", "source")
+        readable = files.filter(~F.array_contains("unreadable", F.lit(self._dialect(source))))
+        return readable.join(mine, "file").select(
+            "file", "file_seq", "source", encoding.alias("encoding"), F.col(spans).alias("spans")
+        )
+
     def _stage_source(self, lines: DataFrame, source: SourceDef, folder: str) -> None:
         text = (
             _decoded(F.col("encoding")) if source.datei.encoding.lower() == "utf-8"

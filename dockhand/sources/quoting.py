@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# A record above this length is not put together: its file counts as unreadable.  Readers of
+# such files refuse cells of more than 131,072 characters, so only a quote that is never
+# closed, or a record of far over a hundred cells, gets here.
+MAX_RECORD_CHARS = 16 * 1024 * 1024
+
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 
 
@@ -94,6 +99,14 @@ def number_records(lines: DataFrame, delimiter: str) -> DataFrame:
     )
 
 
+def oversized_files(numbered: DataFrame) -> DataFrame:
+    """Files with a record above the limit, found by summing lengths, not by joining lines."""
+    sizes = numbered.filter("inside").groupBy("file", "nr").agg(
+        F.sum(F.length("line") + 1).alias("chars")
+    )
+    return sizes.filter(F.col("chars") > MAX_RECORD_CHARS).select("file").distinct()
+
+
 def join_lines(numbered: DataFrame) -> DataFrame:
     """One row per record: (file, nr, line); lines of a record are joined by a line feed.
 

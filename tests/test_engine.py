@@ -223,3 +223,18 @@ def test_many_sources_are_routed(spark, tmp_path, inbox):
     rows = by_name(e.run(inbox.folder))
     assert {r["quelle"] for r in rows.values()} == {s.name for s in sources}
     assert {r["zeilen_geladen"] for r in rows.values()} == {5}
+
+
+def test_endless_quote_makes_a_file_unreadable(spark, tmp_path, inbox, monkeypatch):
+    from dockhand.sources import quoting
+
+    monkeypatch.setattr(quoting, "MAX_RECORD_CHARS", 100)
+    source = make_source("e", [{"name": "k"}, {"name": "v"}])
+    inbox("endless.csv", 'a|"never closed\n' + "more|text\n" * 50)
+    inbox("short.csv", 'a|"two\nlines"\nb|c\n')
+    e = engine(spark, tmp_path, source)
+    rows = by_name(e.run(inbox.folder))
+    assert rows["endless.csv"]["status"] == "abgelehnt_unbekannt"
+    assert (rows["short.csv"]["status"], rows["short.csv"]["zeilen_geladen"]) == ("geladen", 2)
+    forced = by_name(e.run(inbox.folder, source="e"))
+    assert forced["endless.csv"]["status"] == "abgelehnt_ungueltig"
