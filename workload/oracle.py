@@ -448,7 +448,8 @@ FROM orders LEFT JOIN g ON g.source = CAST(o_orderkey AS VARCHAR)"""
 def _totals(name: str, tbl: str) -> str:
     return (
         f"SELECT '{name}' AS quelle, 'geladen' AS status, count(*) AS zeilen_gesamt, "
-        f"count(*) AS zeilen_geladen, 0 AS zeilen_uebersprungen, 0 AS zeilen_quarantaene FROM {tbl}"
+        f"count(*) AS zeilen_geladen, CAST(0 AS BIGINT) AS zeilen_uebersprungen, "
+        f"CAST(0 AS BIGINT) AS zeilen_quarantaene FROM {tbl}"
     )
 
 
@@ -476,6 +477,6 @@ SELECT 'order_' || o_orderkey, 'teile.zip/items.csv', CAST(coalesce(chars + n -
 FROM orders LEFT JOIN i ON i.k = o_orderkey"""
 SQL["archive_run"] = """
 SELECT 'kunden' AS quelle, 'geladen' AS status, count(*) AS zeilen_gesamt, count(*) AS zeilen_geladen,
-       0 AS zeilen_uebersprungen, 0 AS zeilen_quarantaene FROM customer
+       CAST(0 AS BIGINT) AS zeilen_uebersprungen, CAST(0 AS BIGINT) AS zeilen_quarantaene FROM customer
 UNION ALL
 SELECT NULL, 'abgelehnt_unbekannt', 0, 0, 0, 0"""

@@ -202,7 +202,7 @@ def _quoted_documents(spark, sf_dir):
 
 def _digest(rows):
     return rows.select(
-        "doc_id", "lang", F.length("body").alias("n_chars"), F.md5("body").alias("digest")
+        "doc_id", "lang", F.length("body").cast("bigint").alias("n_chars"), F.md5("body").alias("digest")
     )
 
 
