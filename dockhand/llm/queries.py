@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, mixing, pii
+from dockhand.llm import chat, contamination, language, licenses, mixing, pii, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +66,12 @@ def op3_pii(spark, sf_dir):
     return found.select("doc_id", "text", F.size("found").cast("bigint").alias("n_found"), F.array_join(kinds, ",").alias("kinds"), "found")
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    found = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op6_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("bigint"), "role", "text")

@@ -16,12 +16,12 @@ def record(**fields: str | T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v if isinstance(v, T.DataType) else _TYPES[v]()) for k, v in fields.items()])
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """The frame's rows from a table in the shared work folder: computed once, safe from the
     loss of executors, and without the lineage behind it."""
     spark = frame.sparkSession
     folder = new_work_folder(spark, label)
-    frame.write.parquet(folder)
+    frame.write.option("compression", compression).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

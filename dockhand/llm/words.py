@@ -45,6 +45,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_bytes(column: pa.Array) -> np.ndarray:
+    """Length of each text in bytes; null has none."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 @dataclass
 class Words:
     """Words of a batch: bytes starts[i]:ends[i]; those of text d are bounds[d]:bounds[d + 1]."""
