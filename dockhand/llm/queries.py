@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, mixing, pii, substrings
+from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +98,11 @@ def op8_mixing(spark, sf_dir):
     return mixed.select("doc_id", "domain", "language", "origin", "epoch", "n_tokens", "taken")
 
 
+@query
+def op9_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 @query
 def op10_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
