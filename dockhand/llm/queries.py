@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, substrings
+from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,11 @@ def op4_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op5_embedding_dedup(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("bigint"), "role", "text")
