@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockhand.llm import words as W
+
 UNKNOWN = "und"
 MATRIX_BYTES = 64 << 20  # most that is broadcast: 8 bytes for each bucket and language
 _SPACE = 32
@@ -96,7 +98,7 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in W.sliced(batches, 0):
             langs = np.asarray(batch.column("lang").to_pylist(), object)
             for lang in sorted(set(langs)):
                 points, offsets, _ = _points(batch.column("text").filter(pa.array(langs == lang)))
@@ -151,7 +153,7 @@ def predict(
     names = [f.name for f in carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.sliced(batches, len(names)):
             found, share = _score(sent.value, batch.column(len(names)))
             columns = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(share)], [*names, language, score])

@@ -6,6 +6,7 @@ all documents of a batch, so that Python's own loop runs once per batch and not
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +51,21 @@ def text_bytes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+SLICE_BYTES = 4 << 20  # of text worked on at once; a longer text is a slice of its own
+
+
+def sliced(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of bounded text, as arrays over all words are many times as large."""
+    for batch in batches:
+        ends = np.cumsum(text_bytes(batch.column(column)))
+        low = 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 @dataclass
 class Words:
     """Words of a batch: bytes starts[i]:ends[i]; those of text d are bounds[d]:bounds[d + 1]."""
