@@ -102,7 +102,7 @@ def least_estimate(n: np.ndarray, threshold: float) -> np.ndarray:
 
 def _sketches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.sliced(batches, 1):
             n, names, registers = [], [], []
             for s in shingles(batch.column(1), size):
                 n.append(len(s))
@@ -116,7 +116,7 @@ def _sketches(size: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.sliced(batches, 1):
             every = list(shingles(batch.column(1), size))
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in every]
             ends = np.cumsum([0] + [len(s) for s in every])
