@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, substrings, vectors
+from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, scoring, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,6 +96,14 @@ def op6_chat_format(spark, sf_dir):
     )
 
 
+@query
+def op7_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language.held_out("doc_id", 7, 2)
+    found = scoring.score(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op8_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
