@@ -10,9 +10,10 @@ probability 3e-6.
 
 Documents with equal sets are one class and compared once.  Only components are asked for, so
 pairs are never expanded: in every band all members are first compared with one of them.  Where a
-band still holds several components, another member, drawn by hash, is compared with all, and what
-then remains apart is compared in full, tile by tile within bounded groups, by the estimate first.
-So no link is lost between members of a band, and a group of copies costs a pair per member.
+band still holds several components - if many members, after another one, drawn by hash, was
+compared with all - these are compared in full, tile by tile within bounded groups, from which
+only what unites members is sent on.  So no link is lost between members of a band, and a group of
+copies sends about a pair per member.
 
 Defined cases: a text with fewer words than a shingle is one shingle of all its words; without
 words (null, empty) the set is empty and links with nothing.  A row without doc_id links with
@@ -32,12 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.llm import words as W
-from dockhand.llm.store import components, record, written
+from dockhand.llm.store import components, record, spread, written
 
 REGISTERS = 256
 ROWS, BANDS = 6, 42
 MANTISSA = 10  # bits; 6 more for the leading zeros
 TILE = 512  # members of a band compared with as many others in one group
+DRAW = 4  # tiles of a band beyond which a drawn member is compared first; results don't depend on it
+_COLUMNS = 4096  # of the membership matrix at once
 BROADCAST_ROWS = 2_000_000  # ids of 8 bytes
 
 SKETCH = record(doc_id="long", n="long", set_id="binary", registers="binary")
@@ -138,7 +141,7 @@ class _Search:
         linked = self.sketches.where("doc_id is not null and n > 0")
         self.classes = linked.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
         own = linked.join(self.classes.withColumnRenamed("rep", "doc_id"), ["set_id", "doc_id"])
-        self.reps = own.select(F.col("doc_id").alias("rep"), "n", "registers").dropDuplicates(["rep", "registers"])
+        self.reps = own.select(F.col("doc_id").alias("rep"), "set_id", "n", "registers").dropDuplicates(["rep", "set_id"])
 
     def bands(self) -> DataFrame:
         """(band, rep) of all bands with two members or more, with the smallest as hub."""
@@ -165,14 +168,17 @@ class _Search:
         sized = pairs.join(of("a"), "a").join(of("b"), "b")
         return sized.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, record(a="long", b="long"))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
-        pairs = written(pairs.distinct(), "minhash-pairs")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def sets_of(self, needed: DataFrame) -> DataFrame:
+        """doc_id, set_id and shingles of the documents with the ids given."""
         if needed.count() <= BROADCAST_ROWS:
             needed = F.broadcast(needed)
         sets = self.docs.join(needed, "doc_id").mapInArrow(_sets(self.size), SET)
-        sets = written(sets.dropDuplicates(["doc_id", "set_id"]).select("doc_id", "shingles"), "minhash-sets")
+        return written(sets.dropDuplicates(["doc_id", "set_id"]), "minhash-sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
+        pairs = written(pairs.distinct(), "minhash-pairs")
+        sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
         of = lambda end: sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"s_{end}"))
         both = pairs.join(of("b"), "b").join(of("a"), "a")
         shared = F.size(F.array_intersect("s_a", "s_b")).cast("bigint")
@@ -187,45 +193,75 @@ class _Search:
         return rows.join(mixed.select("band"), "band")
 
     def tiled(self, rows: DataFrame) -> DataFrame:
-        """All likely pairs of different components within the bands.  A band's members are dealt
-        to tiles; each pair of tiles is one group of at most about 2 * TILE members."""
+        """Confirmed links between different components within the bands.  A band's members are
+        dealt to tiles; each pair of tiles is one group of at most about 2 * TILE members, in which
+        likely pairs are confirmed on the full sets.  Only what unites members leaves the group."""
         tiles = rows.groupBy("band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
         rows = rows.join(tiles, "band").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        known = self.sets_of(rows.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
+        members = self.reps.join(known, ["rep", "set_id"]).select("rep", "registers", "shingles")
+        rows = rows.join(members, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         rows = rows.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-        rows = rows.join(self.reps, "rep").select("band", "low", "high", "tile", "rep", "root", "n", "registers")
-        percent = self.percent
-
-        def run(group: pa.Table) -> pa.Table:
-            rep, root, n, tile = (group.column(k).to_numpy() for k in ("rep", "root", "n", "tile"))
-            registers = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            left = np.flatnonzero(tile == group.column("low")[0].as_py())
-            right = np.flatnonzero(tile == group.column("high")[0].as_py())
-            out_a, out_b = [], []
-            for i in left:
-                j = right[(root[right] != root[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-                if len(j):
-                    near = estimate(registers[i], registers[j], n[i], n[j]) >= least_estimate(np.minimum(n[i], n[j]), percent / 100)
-                    out_a.append(np.minimum(rep[i], rep[j[near]]))
-                    out_b.append(np.maximum(rep[i], rep[j[near]]))
-            none = np.zeros(0, np.int64)
-            return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])}).group_by(["a", "b"]).aggregate([])
-
-        return rows.groupBy("band", "low", "high").applyInArrow(run, record(a="long", b="long"))
+        rows = rows.select("band", "low", "high", "tile", "rep", "root", "registers", "shingles")
+        links = rows.groupBy("band", "low", "high").applyInArrow(_within_tiles(self.percent), record(a="long", b="long"))
+        return written(links.distinct(), "minhash-links")
 
     def links(self) -> DataFrame:
         bands = self.bands()
         links = self.confirmed(self.likely(bands.where("hub < rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
         left = written(self.labelled(bands, links).where("hub <> rep"), "minhash-left")  # pairs with the hub are done
-        if not left.isEmpty():
+        sizes = left.groupBy("band").count()
+        if not sizes.where(F.col("count") > DRAW * TILE).isEmpty():
             drawn = left.groupBy("band").agg(F.min_by(F.struct("rep", "root"), F.xxhash64("band", "rep")).alias("hub"))
             pairs = left.drop("hub").join(drawn, "band").where("root <> hub.root")
             pairs = pairs.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
             links = links.unionAll(self.confirmed(self.likely(pairs)))
             left = written(self.labelled(left.select("band", "hub", "rep"), links), "minhash-left")
-            if not left.isEmpty():
-                links = links.unionAll(self.confirmed(self.tiled(left)))
-        return links
+        return links if left.isEmpty() else links.unionAll(self.tiled(left))
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets."""
+    sets = [*left, *right]
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = np.bincount(column, minlength=len(values)) > 1
+    use = shared[column]
+    row, column = row[use], (np.cumsum(shared) - 1)[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [low, low + _COLUMNS])
+        matrix = np.zeros((len(sets), _COLUMNS), np.float32)
+        matrix[row[a:b], column[a:b] - low] = 1
+        out += matrix[: len(left)] @ matrix[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _within_tiles(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        rep, root, tile = (group.column(k).to_numpy() for k in ("rep", "root", "tile"))
+        sets = [x.values.to_numpy() for x in group.column("shingles")]
+        n = np.array([len(s) for s in sets])
+        registers = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        left = np.flatnonzero(tile == group.column("low")[0].as_py())
+        right = np.flatnonzero(tile == group.column("high")[0].as_py())
+        likely = np.zeros((len(left), len(right)), bool)
+        for i, x in enumerate(left):
+            near = estimate(registers[x], registers[right], n[x], n[right]) >= least_estimate(np.minimum(n[x], n[right]), percent / 100)
+            likely[i] = near & (root[right] != root[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))
+        left, right, likely = left[likely.any(1)], right[likely.any(0)], likely[likely.any(1)][:, likely.any(0)]
+        if not len(left):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        common = _common([sets[i] for i in left], [sets[i] for i in right])
+        link = np.zeros((len(rep), len(rep)), bool)
+        link[np.ix_(left, right)] = likely & (100 * common >= percent * (n[left][:, None] + n[right][None, :] - common))
+        label = spread(link | link.T)
+        moved = label != np.arange(len(label))
+        return pa.table({"a": np.minimum(rep[moved], rep[label[moved]]), "b": np.maximum(rep[moved], rep[label[moved]])})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:

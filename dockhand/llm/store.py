@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,3 +62,16 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def spread(link: np.ndarray) -> np.ndarray:
+    """Smallest member of the component of each row of a symmetric link matrix."""
+    label = np.arange(len(link))
+    rows, columns = np.nonzero(link)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, rows, label[columns])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.llm.store import components, record, written
+from dockhand.llm.store import components, record, spread, written
 
 WINDOW = 1024
 MISS = 0.01
@@ -89,19 +89,6 @@ def _units(group: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(group.column("vector").to_pylist()), np.float64).reshape(group.num_rows, -1)
 
 
-def _spread(link: np.ndarray) -> np.ndarray:
-    """Smallest member of the component of each row of a symmetric link matrix."""
-    label = np.arange(len(link))
-    rows, columns = np.nonzero(link)
-    while True:
-        new = label.copy()
-        np.minimum.at(new, rows, label[columns])
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _unite(cosine: float):
     """Of one window and the next of one pass: (a, b), each linked vector with the first of its
     component there."""
@@ -109,7 +96,7 @@ def _unite(cosine: float):
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("rep")
         rep, units = group.column("rep").to_numpy(), _units(group)
-        label = _spread(units @ units.T >= cosine)
+        label = spread(units @ units.T >= cosine)
         moved = label != np.arange(len(label))
         return pa.table({"a": rep[moved], "b": rep[label[moved]]})
 

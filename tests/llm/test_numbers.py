@@ -13,8 +13,9 @@ from hypothesis import strategies as st
 
 from dockhand.llm import attention as A
 from dockhand.llm import blocks as B
-from dockhand.llm import contamination, licenses, minhash, pii, scoring, vectors
+from dockhand.llm import contamination, licenses, minhash, pii, scoring
 from dockhand.llm import words as W
+from dockhand.llm.store import spread
 
 TEXTS = st.lists(st.one_of(st.none(), st.text("ab \n\x0b\x1cé漢", max_size=30)), max_size=8)
 
@@ -233,7 +234,7 @@ def test_spread_finds_components():
     link = np.eye(7, dtype=bool)
     for a, b in ((0, 3), (3, 5), (5, 1), (2, 6)):
         link[a, b] = link[b, a] = True
-    assert vectors._spread(link).tolist() == [0, 0, 2, 0, 4, 0, 2]
+    assert spread(link).tolist() == [0, 0, 2, 0, 4, 0, 2]
 
 
 def model(tokens, boundary, steps):
