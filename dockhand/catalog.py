@@ -137,42 +137,96 @@ class CatalogError(ValueError):
         self.problems = problems
 
 
+# Words that the catalog format takes for a flag.
+_YES = ("true", "yes", "on", "y", "t", "1", "1.0")
+_NO = ("false", "no", "off", "n", "f", "0", "0.0")
+
+
+def _plain_value(value, kind: str):
+    """value as a field of the kind its annotation names; ValueError if it can't be one."""
+    if value is None and kind.endswith("| None"):
+        return None
+    kind = kind.removesuffix(" | None")
+    if kind == "str" and isinstance(value, str):
+        return value
+    if kind == "bool":
+        if isinstance(value, bool):
+            return value
+        word = str(value).lower()
+        if isinstance(value, (str, int, float)) and word in _YES + _NO:
+            return word in _YES
+    if kind in ("int", "float") and isinstance(value, (int, float, str)) and not isinstance(value, bool):
+        number = float(value)
+        if kind == "float":
+            return value if isinstance(value, int) else number
+        if number == int(number):
+            return int(value) if isinstance(value, (int, str)) and str(value).strip().lstrip("+-").isdigit() else int(number)
+    if kind == "tuple[str, ...]" and isinstance(value, (list, tuple)) and all(isinstance(v, str) for v in value):
+        return tuple(value)
+    raise ValueError(kind)
+
+
 def _build(cls, raw, where: str, problems: list[str]):
-    """Build a dataclass from a mapping, reporting unknown and missing keys."""
+    """Build a dataclass from a mapping, reporting unknown and missing keys and wrong types."""
     if not isinstance(raw, dict):
         problems.append(f"{where}: a mapping is expected")
         return None
     known = {f.name: f for f in fields(cls)}
-    for key in raw.keys() - known.keys():
-        problems.append(f"{where}: unknown key '{key}'")
+    problems += [f"{where}: unknown key '{key}'" for key in raw if key not in known]
+    values, faulty = {}, False
+    for key, value in raw.items():
+        if key not in known:
+            continue
+        try:
+            values[key] = _plain_value(value, known[key].type)
+        except (ValueError, OverflowError):
+            problems.append(f"{where}.{key}: {value!r} is no {known[key].type}")
+            faulty = True
     try:
-        return cls(**{k: v for k, v in raw.items() if k in known})
+        return None if faulty else cls(**values)
     except TypeError as e:
         problems.append(f"{where}: {e}")
         return None
 
 
+def _entries(raw, where: str, problems: list[str]) -> list:
+    """A list from the file; anything else is a problem, nothing is empty."""
+    if raw is None:
+        return []
+    if isinstance(raw, (list, tuple)):
+        return list(raw)
+    problems.append(f"{where}: a list is expected")
+    return []
+
+
 def source_from_dict(raw: dict) -> SourceDef:
     """Build one source definition from the nested form of the catalog file."""
     problems: list[str] = []
-    raw = dict(raw) if isinstance(raw, dict) else {}
+    if not isinstance(raw, dict):
+        raise CatalogError(["a mapping is expected"])
+    raw = dict(raw)
     sections = {}
     for key, cls in (("datei", FileFormat), ("klassifikation", Sampling)):
         if key in raw:
             sections[key] = _build(cls, raw.pop(key), key, problems)
     columns = [
         _build(ColumnDef, c, f"spalten[{i}]", problems)
-        for i, c in enumerate(raw.pop("spalten", None) or [])
+        for i, c in enumerate(_entries(raw.pop("spalten", None), "spalten", problems))
     ]
     mapping = raw.pop("mapping", None)
     if mapping is None:
         problems.append("mapping: section is missing")
+    elif not isinstance(mapping, dict):
+        problems.append("mapping: a mapping is expected")
     else:
         mapping = dict(mapping)
-        rules = [_build(Rule, r, "mapping.regeln", problems) for r in mapping.pop("regeln", ())]
+        rules = [
+            _build(Rule, r, "mapping.regeln", problems)
+            for r in _entries(mapping.pop("regeln", None), "mapping.regeln", problems)
+        ]
         derived = [
             _build(DerivedField, d, "mapping.abgeleitete_felder", problems)
-            for d in mapping.pop("abgeleitete_felder", ())
+            for d in _entries(mapping.pop("abgeleitete_felder", None), "mapping.abgeleitete_felder", problems)
         ]
         problems += [f"mapping: unknown key '{k}'" for k in mapping]
         mapping = Mapping(tuple(rules), tuple(derived))
@@ -180,13 +234,14 @@ def source_from_dict(raw: dict) -> SourceDef:
     if target is None:
         problems.append("zielsystem: section is missing")
     else:
-        target = dict(target)
-        target["upsert_key"] = tuple(target.get("upsert_key") or ())
+        if isinstance(target, dict):
+            target = dict(target)
+            target["upsert_key"] = target.get("upsert_key") or ()
         target = _build(Target, target, "zielsystem", problems)
     name = raw.pop("name", None)
-    if not name:
-        problems.append("name: value is missing")
-    text = raw.pop("beschreibung", "")
+    if not name or not isinstance(name, str):
+        problems.append("name: a text is expected")
+    text = raw.pop("beschreibung", None) or ""
     problems += [f"unknown key '{k}'" for k in raw]
     if problems:
         raise CatalogError(problems)
@@ -244,17 +299,67 @@ def source_problems(source: SourceDef) -> list[str]:
     return found
 
 
+def java_pattern(pattern: str) -> str:
+    """A pattern in the catalog's dialect (Python's) for Java.
+
+    Classes are read as sets of characters, so a bracket or an ampersand inside one is a plain
+    character; named groups and the end of text are written differently.  Flags: classes such as
+    ``\\w`` mean Unicode, and only a line feed ends a line.
+    """
+    out, i, inside, first = [], 0, False, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            out.append("\\z" if pattern[i + 1] == "Z" and not inside else pattern[i : i + 2])
+            i, first = i + 2, False
+        elif inside:
+            if c == "]" and not first:
+                inside = False
+                out.append(c)
+            else:
+                out.append("\\" + c if c in "[]&" else c)
+            i, first = i + 1, False
+        elif c == "[":
+            start = "[^" if pattern.startswith("[^", i) else "["
+            out.append(start)
+            i, inside, first = i + len(start), True, True
+        elif pattern.startswith("(?P<", i):
+            out.append("(?<")
+            i += 4
+        elif pattern.startswith("(?P=", i):
+            end = pattern.find(")", i)
+            out.append(f"\\k<{pattern[i + 4 : end]}>")
+            i = end + 1
+        else:
+            out.append(c)
+            i += 1
+    return f"(?Ud)^(?:{''.join(out)})"
+
+
 def pattern_problems(pattern: str) -> list[str]:
-    """Patterns that are invalid, or that Java reads differently from Python."""
+    """Patterns that the catalog's dialect refuses (see refused_patterns for the JVM)."""
     try:
         re.compile(pattern)
     except re.error as e:
         return [f"pattern is invalid ({e})"]
-    if "&&" in pattern or re.search(r"\[[^\]]*(?<!\\)\[", pattern):
-        return ["pattern uses '&&' or '[' inside a class, which regex dialects read differently"]
     return []
 
 
+def refused_patterns(spark: SparkSession, sources: Iterable[SourceDef]) -> dict[str, list[str]]:
+    """Problems by source of patterns that the JVM can't run: each is tried once."""
+    problems: dict[str, list[str]] = {}
+    for source in sources:
+        for c in source.spalten:
+            if c.muster is None:
+                continue
+            try:
+                spark.range(1).select(F.col("id").cast("string").rlike(java_pattern(c.muster))).collect()
+            except Exception as e:  # whatever the engine says against it, it concerns this source only
+                reason = str(e).splitlines()[0][:200]
+                problems.setdefault(source.name, []).append(f"spalten.{c.name}: pattern can't be run ({reason})")
+    return problems
+
+
 class Catalog(dict):
     """Usable sources by name, in catalog order (the order breaks ties in the ranking)."""
 
@@ -266,8 +371,11 @@ class Catalog(dict):
         return sorted({s.datei.trennzeichen for s in self.values()})
 
 
-def load_catalog(folder: str | Path) -> tuple[Catalog, dict[str, list[str]]]:
-    """Read ``*.yaml`` then ``*.yml``; return the usable sources and the problems by file."""
+def load_catalog(folder: str | Path, spark: SparkSession | None = None) -> tuple[Catalog, dict[str, list[str]]]:
+    """Read ``*.yaml`` then ``*.yml``; return the usable sources and the problems by file.
+
+    Whatever is wrong with one file stays with that file.  With a session, patterns are also
+    tried in the JVM."""
     import yaml
 
     folder = Path(folder)
@@ -275,13 +383,17 @@ def load_catalog(folder: str | Path) -> tuple[Catalog, dict[str, list[str]]]:
     for path in sorted(folder.glob("*.yaml")) + sorted(folder.glob("*.yml")):
         try:
             source = source_from_dict(yaml.safe_load(path.read_text(encoding="utf-8")))
-        except (CatalogError, yaml.YAMLError, OSError) as e:
+        except (CatalogError, yaml.YAMLError, OSError, UnicodeError, ValueError, TypeError) as e:
             problems[path.stem] = getattr(e, "problems", None) or [str(e)]
             continue
         if source.name != path.stem:
             problems[path.stem] = [f"file name does not match name '{source.name}'"]
         else:
             catalog[source.name] = source
+    if spark is not None:
+        for name, found in refused_patterns(spark, list(catalog.values())).items():
+            problems[name] = found
+            del catalog[name]
     return catalog, problems
 
 

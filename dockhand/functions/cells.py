@@ -12,9 +12,10 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dockhand.catalog import NUMERIC_TYPES, ColumnDef
+from dockhand.catalog import NUMERIC_TYPES, ColumnDef, java_pattern
 
-# Cell syntax per type, and the words that are booleans.
+# Cell syntax per type, and the words that are booleans.  The common form of a
+# decimal stands first and repeats are possessive, as a failed match then gives up at once.
 INTEGER = r"^-?\d+$"
 DECIMAL_DE = r"^-?\d++(?:,\d++)?$|^-?\d{1,3}(?:\.\d{3})++(?:,\d++)?$"
 DECIMAL_EN = r"^-?\d++(?:\.\d++)?$|^-?\d{1,3}(?:,\d{3})++(?:\.\d++)?$"
@@ -94,10 +95,8 @@ def type_fits(cell: Column, typ: str) -> Column:
     if typ == "string":
         return F.lit(True)
     if typ == "integer":
-        # The cast settles nearly every cell; it takes a plus sign and refuses over 64 bits.
-        return F.when(cell.try_cast("bigint").isNotNull(), ~cell.startswith("+")).otherwise(
-            cell.rlike(INTEGER)
-        )
+        # A cast alone won't do: it trims control characters and takes a plus sign.
+        return cell.rlike(INTEGER)
     if typ == "decimal_de":
         return cell.rlike(DECIMAL_DE)
     if typ == "decimal_en":
@@ -113,7 +112,7 @@ def type_fits(cell: Column, typ: str) -> Column:
 
 def pattern_fits(cell: Column, pattern: str) -> Column:
     """Regular expression anchored at the start only."""
-    return cell.rlike(f"^(?:{pattern})")
+    return cell.rlike(java_pattern(pattern))
 
 
 def filled_fits(cell: Column, column: ColumnDef) -> Column:
@@ -124,11 +123,6 @@ def filled_fits(cell: Column, column: ColumnDef) -> Column:
     return fits
 
 
-def cell_fits(cell: Column, column: ColumnDef) -> Column:
-    """Does a stripped cell fit its column?  An empty cell fits an optional column."""
-    return F.when(cell == "", F.lit(not column.pflicht)).otherwise(filled_fits(cell, column))
-
-
 def convert(cell: Column, typ: str) -> Column:
     """Typed value of a stripped cell that fits its type; empty becomes NULL."""
     if typ == "string":

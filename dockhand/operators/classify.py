@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dockhand.catalog import CELL_TYPES, Catalog
+from dockhand.catalog import CELL_TYPES, Catalog, java_pattern
 from dockhand.functions.cells import strip, tokenize, type_fits
 from dockhand.functions.text import percent, round_half_even
 from dockhand.session import small_table
@@ -43,7 +43,7 @@ def scoring_table(spark: SparkSession, catalog: Catalog) -> DataFrame:
             s.name, order, ids[s.datei.trennzeichen, s.datei.encoding], s.width,
             s.datei.hat_header, s.klassifikation.stichprobe_zeilen,
             float(s.klassifikation.schwellenwert),
-            [(c.typ, c.muster, c.pflicht) for c in s.columns],
+            [(c.typ, None if c.muster is None else java_pattern(c.muster), c.pflicht) for c in s.columns],
         )
         for order, s in enumerate(catalog.values())
     ]
@@ -71,9 +71,7 @@ def _fits(cell: Column, column: Column) -> Column:
     typ = F.lit(False)
     for name in CELL_TYPES:
         typ = F.when(column["typ"] == name, type_fits(cell, name)).otherwise(typ)
-    pattern = column["pattern"].isNull() | F.rlike(
-        cell, F.concat(F.lit("^(?:"), column["pattern"], F.lit(")"))
-    )
+    pattern = column["pattern"].isNull() | F.rlike(cell, column["pattern"])
     return F.when(cell == "", ~column["required"]).otherwise(typ & pattern)
 
 

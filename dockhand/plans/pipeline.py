@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockhand.catalog import Catalog, SourceDef
+from dockhand.catalog import Catalog, SourceDef, refused_patterns
 from dockhand.functions.text import file_name
 from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
@@ -114,11 +114,16 @@ class ImportEngine:
         load_time: datetime | None = None,
         user_mode: str = "batch",
         jdbc: dict[str, str] | None = None,
+        checked: dict[str, list[str]] | None = None,
     ) -> None:
-        if not catalog:
-            raise ValueError("the catalog holds no usable source")
         self.spark = configure(spark)
-        self.catalog = catalog
+        # Sources whose patterns the JVM refuses are left out; they don't stop the others.
+        self.refused = refused_patterns(self.spark, catalog.values()) if checked is None else checked
+        self.catalog = Catalog.of(*(s for s in catalog.values() if s.name not in self.refused))
+        if not self.catalog:
+            raise ValueError("the catalog holds no usable source")
+        for name, problems in self.refused.items():
+            logger.warning("source '%s' is left out: %s", name, "; ".join(problems))
         self.store = store.rstrip("/")
         self.load_time = load_time or datetime.now()
         self.user_mode = user_mode
@@ -127,7 +132,7 @@ class ImportEngine:
     def at(self, load_time: datetime) -> ImportEngine:
         """The same engine with another load time."""
         return ImportEngine(
-            self.spark, self.catalog, self.store, load_time, self.user_mode, self.jdbc
+            self.spark, self.catalog, self.store, load_time, self.user_mode, self.jdbc, self.refused
         )
 
     # --- prepare -----------------------------------------------------------------

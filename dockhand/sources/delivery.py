@@ -27,7 +27,7 @@ from dockhand.sources.quoting import leaves_open
 from dockhand.session import small_table
 
 # A side table is broadcast only below this measured size; above it the join shuffles.
-BROADCAST_LIMIT_BYTES = 512 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 RAW_SCHEMA = "file string, block bigint, rid bigint, raw binary"

@@ -13,10 +13,6 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: order in which encodings are tried when none but utf-8 is declared.
-FALLBACK_CHAIN = ("utf-8", "utf-8-sig", "cp1252", "iso-8859-1", "latin-1")
-
-
 def _char(data: bytes, encoding: str) -> str | None:
     try:
         return data.decode(encoding)

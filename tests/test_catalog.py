@@ -38,7 +38,17 @@ def test_defaults_and_schema():
     ({"zielsystem": {"tabelle": "t", "upsert_key": ["zz"]}}, "not a target"),
     ({"datei": {"trennzeichen": "||"}}, "one character"),
     ({"datei": {"encoding": "utf-16"}}, "not supported"),
-    ({"spalten": [{"position": 0, "name": "k", "muster": "[a[b]"}, {"position": 1, "name": "v"}]}, "dialects"),
+    ({"spalten": 5}, "list is expected"),
+    ({"spalten": [5]}, "mapping is expected"),
+    ({"mapping": []}, "mapping is expected"),
+    ({"mapping": {"regeln": "k"}}, "list is expected"),
+    ({"zielsystem": "t"}, "mapping is expected"),
+    ({"zielsystem": {"tabelle": "t", "upsert_key": "k"}}, "zielsystem.upsert_key"),
+    ({"datei": {"hat_header": "perhaps"}}, "datei.hat_header"),
+    ({"datei": {"trennzeichen": 5}}, "datei.trennzeichen"),
+    ({"klassifikation": {"stichprobe_zeilen": "many"}}, "stichprobe_zeilen"),
+    ({"klassifikation": {"stichprobe_zeilen": 2.5}}, "stichprobe_zeilen"),
+    ({"name": 5}, "name"),
 ])
 def test_faulty_definitions(changes, word):
     with pytest.raises(cat.CatalogError) as e:
@@ -54,6 +64,20 @@ def test_one_faulty_file_does_not_block_the_others(tmp_path):
     assert list(catalog) == ["preise"] and set(problems) == {"other", "bad"}
 
 
+def test_faults_of_any_kind_stay_with_their_file(tmp_path, spark):
+    good = definition(klassifikation={"stichprobe_zeilen": "20", "schwellenwert": "0.5"}, datei={"trennzeichen": "|", "hat_header": "yes"})
+    (tmp_path / "preise.yaml").write_text(yaml.safe_dump(good))
+    (tmp_path / "five.yaml").write_text(yaml.safe_dump(definition(name="five", spalten=5)))
+    (tmp_path / "text.yaml").write_text("just text")
+    (tmp_path / "bytes.yaml").write_bytes(b"name: M\xfcller")
+    columns = [{"position": 0, "name": "k", "muster": "(?P<a_b>x)"}, {"position": 1, "name": "v", "typ": "integer"}]
+    (tmp_path / "group.yaml").write_text(yaml.safe_dump(definition(name="group", spalten=columns)))
+    catalog, problems = cat.load_catalog(tmp_path, spark)
+    assert list(catalog) == ["preise"] and set(problems) == {"five", "text", "bytes", "group"}
+    assert catalog["preise"].klassifikation.stichprobe_zeilen == 20 and catalog["preise"].datei.hat_header is True
+    assert "can't be run" in problems["group"][0]
+
+
 def test_tables_and_problems(spark):
     tables = cat.catalog_tables(spark, [cat.source_from_dict(definition())])
     assert cat.catalog_problems(tables).count() == 0

@@ -161,6 +161,8 @@ c AS (
                                || '.' || year(o_orderdate) FROM o
   UNION ALL SELECT 'status', o_orderstatus FROM o
   UNION ALL SELECT 'flag', CAST(o_orderkey % 3 AS VARCHAR) FROM o
+  UNION ALL SELECT 'control', CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN chr(127) ELSE '' END FROM o
+  UNION ALL SELECT 'umlaut', 'Müller' || CAST(o_orderkey AS VARCHAR) FROM o
 )
 SELECT kind, count(*) AS n, count(*) AS n_string,
   count(*) FILTER (WHERE regexp_matches(cell, '^-?\\d+$')) AS n_integer,
@@ -174,6 +176,20 @@ SELECT kind, count(*) AS n, count(*) AS n_string,
   CAST(sum(CASE WHEN regexp_matches(cell, '^-?\\d+$') THEN CAST(cell AS BIGINT) END) AS BIGINT) AS sum_integer
 FROM c GROUP BY kind"""
 
+SQL["pattern_checks"] = """
+WITH c AS (
+  SELECT 'word' AS kind, CASE WHEN o_orderkey % 2 = 0 THEN 'Müller' ELSE 'M ller' END || o_orderkey AS cell FROM orders
+  UNION ALL SELECT 'bracket', '[' || o_orderkey || CASE WHEN o_orderkey % 3 = 0 THEN ']' ELSE '[' END FROM orders
+  UNION ALL SELECT 'twice', substr(o_orderpriority, 1, 1) || (o_orderkey % 5 + 1) FROM orders
+  UNION ALL SELECT 'end', o_orderkey || CASE WHEN o_orderkey % 4 = 0 THEN 'x' ELSE '' END FROM orders
+)
+SELECT kind, count(*) AS n, count(*) FILTER (WHERE CASE kind
+    WHEN 'word' THEN regexp_full_match(cell, '[\\p{L}\\p{N}_]+')
+    WHEN 'bracket' THEN regexp_full_match(cell, '\\[[0-9]+\\]')
+    WHEN 'twice' THEN regexp_full_match(cell, '[0-9]{2}') AND substr(cell, 1, 1) = substr(cell, 2, 1)
+    ELSE regexp_full_match(cell, '[0-9]+') END) AS n_fitting
+FROM c GROUP BY kind"""
+
 SQL["map_derived"] = """
 SELECT p_partkey AS part_key, p_name AS name, p_brand AS brand, p_type AS kind,
        CAST(p_size AS BIGINT) AS size, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price,

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from dockhand import catalog as cat
 from dockhand.catalog import CELL_TYPES, Catalog
-from dockhand.functions.cells import convert, strip, type_fits
+from dockhand.functions.cells import convert, pattern_fits, strip, type_fits
 from dockhand.functions.text import archive_path, quarantine_path, reject_path
 from dockhand.operators import audit, classify, load, mapping, report, validate
 from dockhand.operators.tables import APPEND, SnapshotTable
@@ -156,6 +156,9 @@ def type_checks(spark, sf_dir):
         ),
         "status": F.col("o_orderstatus"),
         "flag": (F.col("o_orderkey") % 3).cast("string"),
+        # Control characters are no digits; letters beyond ASCII are text.
+        "control": F.concat(d.text("o_orderkey"), F.when(F.col("o_orderkey") % 2 == 0, F.lit("\x7f")).otherwise(F.lit(""))),
+        "umlaut": F.concat(F.lit("Müller"), d.text("o_orderkey")),
     }
     cells = d.table(spark, sf_dir, "orders").select(
         F.inline(F.array(*(
@@ -168,6 +171,28 @@ def type_checks(spark, sf_dir):
     return cells.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), *fits, values.alias("sum_integer"))
 
 
+@query
+def pattern_checks(spark, sf_dir):
+    """Cells of orders against patterns of the catalog's dialect."""
+    key = F.col("o_orderkey")
+    cells = {
+        "word": F.concat(F.when(key % 2 == 0, F.lit("Müller")).otherwise(F.lit("M ller")), d.text("o_orderkey")),
+        "bracket": F.concat(F.lit("["), d.text("o_orderkey"), F.when(key % 3 == 0, F.lit("]")).otherwise(F.lit("["))),
+        "twice": F.concat(F.substring("o_orderpriority", 1, 1), (key % 5 + 1).cast("string")),
+        "end": F.concat(d.text("o_orderkey"), F.when(key % 4 == 0, F.lit("x")).otherwise(F.lit(""))),
+    }
+    patterns = {
+        "word": r"^\w+$", "bracket": r"^\[[0-9]+\]$", "twice": r"(?P<first>[0-9])(?P=first)", "end": r"[0-9[&&]+\Z",
+    }
+    rows = d.table(spark, sf_dir, "orders").select(
+        F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("cell")) for k, v in cells.items())))
+    )
+    fits = F.lit(False)
+    for kind, pattern in patterns.items():
+        fits = F.when(F.col("kind") == kind, pattern_fits(F.col("cell"), pattern)).otherwise(fits)
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(fits).alias("n_fitting"))
+
+
 @query
 def map_derived(spark, sf_dir):
     """Header files to target rows with load month, load date and file name."""
