@@ -55,6 +55,7 @@ class Prepared:
     outcome: DataFrame  # decisions plus row counts and validation verdict
     sources: tuple[SourceDef, ...]  # sources that files were assigned to
     spark: SparkSession
+    pieces: DataFrame | None = None  # lines of records too long for one value
 
     def staged(self, source: SourceDef) -> DataFrame:
         schema = T.StructType(
@@ -198,8 +199,8 @@ class ImportEngine:
     def _prepare_landed(
         self, landing, run_id, folder, source, require_unambiguous, min_lead
     ) -> Prepared:
-        spanning, oversized = self._spanning_records(landing, folder)
-        files = self._with_unreadable(landing.files, oversized)
+        spanning, pieces = self._spanning_records(landing, folder)
+        files = self._with_unreadable(landing.files)
         ranking = None
         if source is None:
             ranking = self._saved(self._ranking(landing, files, spanning), f"{folder}/ranking")
@@ -220,7 +221,7 @@ class ImportEngine:
         outcome = self._outcome(prepared)
         return Prepared(
             run_id, folder, landing.files, ranking, decisions,
-            self._saved(outcome, f"{folder}/outcome"), sources, self.spark,
+            self._saved(outcome, f"{folder}/outcome"), sources, self.spark, pieces,
         )
 
     def _saved(self, frame: DataFrame, path: str) -> DataFrame:
@@ -231,31 +232,24 @@ class ImportEngine:
         pair = (source.datei.trennzeichen, source.datei.encoding)
         return classify.dialects(self.catalog).index(pair)
 
-    def _with_unreadable(self, files: DataFrame, oversized: dict[str, DataFrame]) -> DataFrame:
-        """Add the dialects that cannot read a file: wrong encoding or endless quote."""
-        dialects = classify.dialects(self.catalog)
+    def _with_unreadable(self, files: DataFrame) -> DataFrame:
+        """Add the dialects whose encoding cannot read a file."""
         failed = [F.lit(None).cast("int")]
-        for i, (_, encoding) in enumerate(dialects):
+        for i, (_, encoding) in enumerate(classify.dialects(self.catalog)):
             if encoding.lower() != "utf-8":
                 failed.append(F.when(F.col(delivery.undecodable_name(encoding)), F.lit(i)))
-        for n, (delimiter, too_long) in enumerate(oversized.items()):
-            files = files.join(too_long.withColumn(f"_long_{n}", F.lit(True)), "file", "left")
-            failed += [
-                F.when(F.col(f"_long_{n}"), F.lit(i))
-                for i, (d, _) in enumerate(dialects) if d == delimiter
-            ]
         return files.withColumn("unreadable", F.array_compact(F.array(*failed)))
 
     def _spanning_records(
         self, landing, folder: str
-    ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    ) -> tuple[dict[str, DataFrame], DataFrame | None]:
         """Records of the files with quoted line breaks, per delimiter that sees them so.
 
         Quotes, delimiters and line feeds are ASCII bytes in every supported encoding, so
         the work is done on the bytes read as Latin-1, which loses nothing.  The second
-        result names the files with a record too long to put together.
+        result holds the lines of records too long to put together, if there are any.
         """
-        found, oversized = {}, {}
+        found, pieces = {}, None
         for i, delimiter in enumerate(self.catalog.delimiters()):
             files = landing.files.filter(delivery.spans_name(i)).select("file")
             if files.isEmpty():
@@ -269,15 +263,17 @@ class ImportEngine:
             numbered = self._saved(
                 quoting.number_records(as_text, delimiter), f"{folder}/numbered-{i}"
             )
-            too_long = self._saved(quoting.oversized_files(numbered), f"{folder}/oversized-{i}")
-            if not too_long.isEmpty():
-                oversized[delimiter] = too_long
-                numbered = numbered.join(too_long, "file", "left_anti")
-            records = quoting.join_lines(numbered).select(
+            widths = tuple(sorted({s.width for s in self.catalog.values() if s.datei.trennzeichen == delimiter}))
+            records = quoting.join_lines(numbered, delimiter, widths).select(
                 "file", "nr", F.encode("line", "ISO-8859-1").alias("raw")
             )
+            long = self._saved(quoting.long_records(numbered), f"{folder}/long-{i}")
+            if not long.isEmpty():
+                lines = quoting.pieces(numbered, long).withColumn("line", F.encode("line", "ISO-8859-1"))
+                lines = lines.withColumnRenamed("line", "raw").withColumn("delimiter", F.lit(delimiter))
+                pieces = lines if pieces is None else pieces.unionByName(lines)
             found[delimiter] = self._saved(records, f"{folder}/records-{i}")
-        return found, oversized
+        return found, pieces
 
     def _ranking(self, landing, files: DataFrame, spanning: dict[str, DataFrame]) -> DataFrame:
         rows = max(s.klassifikation.stichprobe_zeilen for s in self.catalog.values())
@@ -543,6 +539,11 @@ class ImportEngine:
         run = f"run_id={prepared.run_id}"
         named = prepared.quarantine().withColumn("dateiname", file_name(F.col("file")))
         named.write.mode("overwrite").parquet(f"{self.store}/quarantine/{run}")
+        if prepared.pieces is not None:
+            of_source = [F.when(F.col("quelle") == s.name, F.lit(s.datei.trennzeichen)) for s in prepared.sources]
+            used = results.select("file", F.coalesce(*of_source, F.lit(None).cast("string")).alias("delimiter"))
+            lines = prepared.pieces.join(used, ["file", "delimiter"])
+            lines.write.mode("overwrite").parquet(f"{self.store}/quarantine_pieces/{run}")
         moves = report.dispositions(results, "archive", "reject", self.load_time)
         moves.write.mode("overwrite").parquet(f"{self.store}/dispositions/{run}")
         text = report.reject_report(results, self._details(prepared, results), self.load_time)

@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A record above this length is not put together: its file counts as unreadable.  Readers of
-# such files refuse cells of more than 131,072 characters, so only a quote that is never
-# closed, or a record of far over a hundred cells, gets here.
+from dockhand.functions.cells import tokenize
+
+# A record of several lines above this length, as an open quote makes it, is not put together
+# into one value.  It stays one record with the number of cells it has, its text goes to the
+# quarantine line by line, and the other records of its file are not concerned.
 MAX_RECORD_CHARS = 16 * 1024 * 1024
+LONG_RECORD = "Datensatz mit {} Zeichen"
 
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 
@@ -99,25 +102,50 @@ def number_records(lines: DataFrame, delimiter: str) -> DataFrame:
     )
 
 
-def oversized_files(numbered: DataFrame) -> DataFrame:
-    """Files with a record above the limit, found by summing lengths, not by joining lines."""
-    sizes = numbered.filter("inside").groupBy("file", "nr").agg(
-        F.sum(F.length("line") + 1).alias("chars")
+def long_records(numbered: DataFrame) -> DataFrame:
+    """(file, nr, chars) of the records above the limit, by summing lengths, not by joining lines."""
+    lengths = numbered.groupBy("file", "nr").agg(
+        F.sum(F.length("line") + 1).alias("chars"), F.count(F.lit(1)).alias("lines")
     )
-    return sizes.filter(F.col("chars") > MAX_RECORD_CHARS).select("file").distinct()
+    return lengths.filter((F.col("chars") > MAX_RECORD_CHARS) & (F.col("lines") > 1)).drop("lines")
+
+
+def pieces(numbered: DataFrame, long: DataFrame) -> DataFrame:
+    """The lines of long records: (file, zeile_nr, block, rid, line)."""
+    lines = numbered.join(long.select("file", "nr"), ["file", "nr"], "left_semi")
+    return lines.select("file", F.col("nr").alias("zeile_nr"), "block", "rid", "line")
 
 
-def join_lines(numbered: DataFrame) -> DataFrame:
+def _stand_ins(numbered: DataFrame, long: DataFrame, delimiter: str, widths: tuple[int, ...]) -> DataFrame:
+    """One line per long record with as many cells as it has, the first telling its length.
+
+    Cells are counted per line: a line that starts inside of quotes is cut as if it began with
+    one.  A record as wide as a source would pass for one of it, so it gets a cell too many.
+    """
+    cut = tokenize(F.when(F.col("inside"), F.concat(F.lit('"'), F.col("line"))).otherwise(F.col("line")), delimiter)
+    counted = numbered.join(long, ["file", "nr"]).groupBy("file", "nr", "chars").agg((F.sum(F.size(cut) - 1) + 1).alias("cells"))
+    fits = F.col("cells").isin(*widths) if widths else F.lit(False)
+    cells = F.when(fits, F.lit(max(widths, default=0) + 1)).otherwise(F.col("cells"))
+    before, after = LONG_RECORD.split("{}")
+    text = F.concat(F.lit(before), F.col("chars").cast("string"), F.lit(after))
+    # More cells than any source has are one kind of wrong; there is no need for all of them.
+    blanks = F.least(cells - 1, F.lit(max(widths, default=0) + 1_000)).cast("int")
+    return counted.select("file", "nr", F.concat(text, F.repeat(F.lit(delimiter), blanks)).alias("line"))
+
+
+def join_lines(numbered: DataFrame, delimiter: str, widths: tuple[int, ...] = ()) -> DataFrame:
     """One row per record: (file, nr, line); lines of a record are joined by a line feed.
 
-    Only records of several lines are grouped.
+    Only records of several lines are grouped.  ``widths`` are the cell counts of the sources.
     """
     inner = numbered.filter("inside").select("file", "nr").distinct()
     single = numbered.join(inner, ["file", "nr"], "left_anti").select("file", "nr", "line")
+    long = long_records(numbered)
     parts = F.transform(F.sort_array(F.collect_list(F.struct("block", "rid", "line"))), lambda p: p["line"])
     several = (
         numbered.join(inner, ["file", "nr"], "left_semi")
+        .join(long, ["file", "nr"], "left_anti")
         .groupBy("file", "nr")
         .agg(F.concat_ws("\n", parts).alias("line"))
     )
-    return single.unionByName(several)
+    return single.unionByName(several).unionByName(_stand_ins(numbered, long, delimiter, widths))

@@ -225,16 +225,21 @@ def test_many_sources_are_routed(spark, tmp_path, inbox):
     assert {r["zeilen_geladen"] for r in rows.values()} == {5}
 
 
-def test_endless_quote_makes_a_file_unreadable(spark, tmp_path, inbox, monkeypatch):
+def test_endless_quote_costs_one_record(spark, tmp_path, inbox, monkeypatch):
     from dockhand.sources import quoting
 
     monkeypatch.setattr(quoting, "MAX_RECORD_CHARS", 100)
-    source = make_source("e", [{"name": "k"}, {"name": "v"}])
-    inbox("endless.csv", 'a|"never closed\n' + "more|text\n" * 50)
+    source = make_source("e", [{"name": "k"}, {"name": "v"}], fehler_modus="partiell")
+    inbox("endless.csv", "x|y\n" * 30 + 'a|"never closed\n' + "more|text\n" * 50)
+    inbox("closed.csv", 'a|"long\n' + "more text\n" * 50 + 'end"\nb|c\n')
     inbox("short.csv", 'a|"two\nlines"\nb|c\n')
     e = engine(spark, tmp_path, source)
-    rows = by_name(e.run(inbox.folder))
-    assert rows["endless.csv"]["status"] == "abgelehnt_unbekannt"
-    assert (rows["short.csv"]["status"], rows["short.csv"]["zeilen_geladen"]) == ("geladen", 2)
-    forced = by_name(e.run(inbox.folder, source="e"))
-    assert forced["endless.csv"]["status"] == "abgelehnt_ungueltig"
+    rows = by_name(e.run(inbox.folder, source="e"))
+    counts = {n: (r["status"], r["zeilen_gesamt"], r["zeilen_geladen"], r["zeilen_quarantaene"]) for n, r in rows.items()}
+    assert counts == {
+        "endless.csv": ("geladen", 31, 30, 1), "closed.csv": ("geladen", 2, 1, 1), "short.csv": ("geladen", 2, 2, 0),
+    }
+    bad = {r["dateiname"]: r for r in spark.read.parquet(f"{e.store}/quarantine").collect()}
+    assert bad["endless.csv"]["zeile_nr"] == 31 and bad["endless.csv"]["original_zeile"].startswith("Datensatz mit 516 Zeichen")
+    pieces = spark.read.parquet(f"{e.store}/quarantine_pieces").filter("file like '%endless.csv'").orderBy("block", "rid").collect()
+    assert b"\n".join(r["raw"] for r in pieces).decode() == 'a|"never closed\n' + "more|text\n" * 49 + "more|text"

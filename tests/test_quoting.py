@@ -26,7 +26,7 @@ def test_same_records_as_the_csv_module(spark, seed):
             block += rng.random() < 0.3
             lines.append((f, block, rid, line))
     frame = spark.createDataFrame(lines, "file int, block int, rid bigint, line string")
-    records = join_lines(number_records(frame, "|"))
+    records = join_lines(number_records(frame, "|"), "|")
     got = {
         (r["file"], r["nr"]): r["cells"]
         for r in records.filter("line <> ''").select("file", "nr", tokenize(F.col("line"), "|").alias("cells")).collect()

@@ -246,7 +246,7 @@ def spanning_records(spark, sf_dir):
     )
     rid = F.col("nr") * 1_000_000 + F.col("pos")
     lines = cut.select("file", "block", rid.alias("rid"), "line")
-    records = quoting.join_lines(quoting.number_records(lines, ","))
+    records = quoting.join_lines(quoting.number_records(lines, ","), ",")
     return _digest(mapping.import_rows(records, DOCUMENTS, d.LOAD_TIME))
 
 
