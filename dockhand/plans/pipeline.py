@@ -36,6 +36,12 @@ INVALID = "abgelehnt_ungueltig"
 KEY_CONFLICT = "abgelehnt_pk_konflikt"
 LOAD_ERROR = "abgelehnt_ladefehler"
 
+# Reasons of refusals.
+REFUSED_NAME = "Datei nicht lesbar: Name beginnt mit '_'"
+REFUSED_ARCHIVE = "Archiv nicht lesbar: {}"
+UNREADABLE_REASON = "Datei nicht lesbar: Kodierung {} passt nicht"
+LOAD_FAILED = "Fehler beim Laden: {}"
+
 # With more matched sources than this, lines are first written apart by source; up to it,
 # scanning the landing table once per source is cheaper than writing it a second time.
 SCANS_BEFORE_ROUTING = 3
@@ -148,9 +154,11 @@ class ImportEngine:
         run_id: str | None = None,
     ) -> Prepared:
         """Classify (or take ``source``), validate and map every file of a folder."""
-        text, paths = delivery.open_inbox(self.spark, inbox, changed_before)
-        raw = None if text is None else delivery.raw_lines(text)
-        return self.prepare_lines(raw, paths, source, require_unambiguous, min_lead, run_id)
+        found = delivery.open_inbox(self.spark, inbox, changed_before)
+        refused = {p: REFUSED_NAME for p in found.hidden}
+        return self.prepare_lines(
+            delivery.raw_lines(found), found.paths, source, require_unambiguous, min_lead, run_id, refused
+        )
 
     def prepare_archives(
         self, archives: str | DataFrame, source: str | None = None,
@@ -159,7 +167,7 @@ class ImportEngine:
         """Same for the members of archives: a folder, or a table (path, content).
 
         Only unambiguous files are accepted.  An archive that fails a check contributes no
-        member; :func:`dockhand.sources.archive.failures` of the expansion names it.
+        member; it has a row of its own in the results, with the reason.
         """
         run_id = run_id or uuid.uuid4().hex
         path = f"{new_work_folder(self.spark, f'archives-{run_id}')}/expanded"
@@ -167,7 +175,11 @@ class ImportEngine:
             archives = self.spark.read.format("binaryFile").load(archives)
         expanded = self._saved(archive.expand(archives.select("path", "content")), path)
         names = [r["file"] for r in archive.members(expanded).orderBy("archive", "member_seq").collect()]
-        return self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id)
+        refused = {
+            r["archive"]: REFUSED_ARCHIVE.format(r["error"])
+            for r in archive.failures(expanded).orderBy("archive").collect()
+        }
+        return self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id, refused)
 
     def prepare_lines(
         self,
@@ -177,19 +189,24 @@ class ImportEngine:
         require_unambiguous: bool = False,
         min_lead: float | None = None,
         run_id: str | None = None,
+        refused: dict[str, str] | None = None,
     ) -> Prepared:
-        """Same for raw lines (file, block, rid, raw) of the given files, in that order."""
+        """Same for raw lines (file, block, rid, raw) of the given files, in that order.
+
+        ``refused`` names further deliveries that can't be read, with the reason of each; they
+        come after the others."""
         if source is not None and source not in self.catalog:
             raise ValueError(f"source '{source}' is not in the catalog")
         run_id = run_id or uuid.uuid4().hex
         folder = new_work_folder(self.spark, f"run-{run_id}")
-        files = delivery.file_table(self.spark, paths)
+        refused = refused or {}
+        files = delivery.file_table(self.spark, [*paths, *refused])
         landing = delivery.land(
             self.spark, raw, files, f"{folder}/landing", self.catalog.delimiters(),
             self._single_byte_encodings(),
         )
         return self._prepare_landed(
-            landing, run_id, folder, source, require_unambiguous, min_lead
+            landing, run_id, folder, source, require_unambiguous, min_lead, refused
         )
 
     def _single_byte_encodings(self) -> tuple[str, ...]:
@@ -197,7 +214,7 @@ class ImportEngine:
         return tuple(sorted(e for e in declared if e.lower() != "utf-8"))
 
     def _prepare_landed(
-        self, landing, run_id, folder, source, require_unambiguous, min_lead
+        self, landing, run_id, folder, source, require_unambiguous, min_lead, refused
     ) -> Prepared:
         spanning, pieces = self._spanning_records(landing, folder)
         files = self._with_unreadable(landing.files)
@@ -210,18 +227,28 @@ class ImportEngine:
                 "file", F.lit(source).alias("source"), F.lit(None).cast("double").alias("score"),
                 F.lit(classify.ACCEPTED).alias("decision"), F.lit(None).cast("string").alias("reason"),
             )
+        if refused:
+            why = small_table(self.spark, list(refused.items()), "file string, why string")
+            told = F.col("why").isNotNull()
+            decisions = decisions.join(why, "file", "left").withColumns({
+                "decision": F.when(told, F.lit(classify.UNKNOWN)).otherwise(F.col("decision")),
+                "source": F.when(~told, F.col("source")),
+                "score": F.when(~told, F.col("score")),
+                "reason": F.when(told, F.col("why")).otherwise(F.col("reason")),
+            }).drop("why")
         decisions = self._saved(decisions, f"{folder}/decisions")
         accepted = decisions.filter(F.col("decision") == classify.ACCEPTED)
         names = sorted(r["source"] for r in accepted.select("source").distinct().collect())
         sources = tuple(self.catalog[n] for n in names)
-        self._stage(landing, files, accepted, sources, spanning, folder)
+        failed = self._stage(landing, files, accepted, sources, spanning, folder)
+        staged = tuple(s for s in sources if s.name not in failed)
         prepared = Prepared(
-            run_id, folder, landing.files, ranking, decisions, decisions, sources, self.spark
+            run_id, folder, landing.files, ranking, decisions, decisions, staged, self.spark
         )
-        outcome = self._outcome(prepared)
+        outcome = self._outcome(prepared, failed).join(self._unreadable(files, decisions), "file", "left")
         return Prepared(
             run_id, folder, landing.files, ranking, decisions,
-            self._saved(outcome, f"{folder}/outcome"), sources, self.spark, pieces,
+            self._saved(outcome, f"{folder}/outcome"), staged, self.spark, pieces,
         )
 
     def _saved(self, frame: DataFrame, path: str) -> DataFrame:
@@ -301,8 +328,10 @@ class ImportEngine:
                 text[declared] = decode_as(F.col("raw"), declared)
         return classify.cut_samples(samples, self.catalog, text)
 
-    def _stage(self, landing, files, accepted, sources, spanning, folder: str) -> None:
-        """Parse, check and convert the accepted files; one written table per source."""
+    def _stage(self, landing, files, accepted, sources, spanning, folder: str) -> dict[str, str]:
+        """Parse, check and convert the accepted files; one written table per source.
+
+        A source that fails does not stop the others; the result names it with the reason."""
         assigned = self._saved(
             reduce(DataFrame.unionByName, [self._assigned(files, accepted, s) for s in sources])
             if sources else files.select("file").limit(0),
@@ -315,7 +344,15 @@ class ImportEngine:
             lines.write.mode("overwrite").partitionBy("source").parquet(f"{folder}/routed")
             routed = self.spark.read.parquet(f"{folder}/routed")
 
-        def stage(source: SourceDef) -> None:
+        def stage(source: SourceDef) -> str | None:
+            try:
+                stage_one(source)
+            except Exception as e:
+                logger.exception("staging of '%s' failed", source.name)
+                return _message(e)
+            return None
+
+        def stage_one(source: SourceDef) -> None:
             mine = assigned.filter(F.col("source") == source.name).drop("source")
             if routed is None:
                 lines = delivery.number_lines(landing, mine, carried)
@@ -327,7 +364,8 @@ class ImportEngine:
                 lines = lines.filter(~F.col("spans")).unionByName(records.join(side, "file"))
             self._stage_source(lines, source, folder)
 
-        _side_by_side(stage, sources)
+        failed = _side_by_side(stage, sources)
+        return {s.name: why for s, why in zip(sources, failed, strict=True) if why is not None}
 
     def _assigned(self, files: DataFrame, accepted: DataFrame, source: SourceDef) -> DataFrame:
         """Readable files of one source: (file, file_seq, source, encoding, spans)."""
@@ -360,8 +398,18 @@ class ImportEngine:
         )
         staged.write.mode("overwrite").partitionBy("bad").parquet(f"{folder}/staged/{source.name}")
 
-    def _outcome(self, prepared: Prepared) -> DataFrame:
-        """Row counts and validation verdict of each file."""
+    def _unreadable(self, files: DataFrame, decisions: DataFrame) -> DataFrame:
+        """Files that the encoding of their source can't read: (file, unreadable_as)."""
+        encodings = [
+            F.when((F.col("source") == s.name) & F.array_contains("unreadable", F.lit(self._dialect(s))), F.lit(s.datei.encoding))
+            for s in self.catalog.values()
+        ]
+        found = decisions.select("file", "source").join(files.select("file", "unreadable"), "file")
+        return found.select("file", F.coalesce(*encodings).alias("unreadable_as")).filter("unreadable_as is not null")
+
+    def _outcome(self, prepared: Prepared, failed: dict[str, str]) -> DataFrame:
+        """Row counts and validation verdict of each file; ``failed`` names sources whose staging
+        failed."""
         counts = small_table(
             self.spark, [], "file string, rows_total bigint, rows_bad bigint, n_errors bigint, rows_overflow bigint"
         )
@@ -372,6 +420,10 @@ class ImportEngine:
             "partial", F.coalesce(F.col("source").isin(partial), F.lit(False))
         )
         judged = validate.verdicts(flags, counts, F.col("partial"))
+        why = small_table(self.spark, list(failed.items()), "source string, stage_failure string")
+        judged = judged.join(F.broadcast(why), "source", "left") if failed else judged.withColumn(
+            "stage_failure", F.lit(None).cast("string")
+        )
         return prepared.files.select("file", "name", "file_seq").join(judged, "file", "left")
 
     # --- commit ------------------------------------------------------------------
@@ -413,8 +465,7 @@ class ImportEngine:
                 return self._load_source(prepared, source, ready)
             except Exception as e:
                 logger.exception("load into '%s' failed", source.zielsystem.tabelle)
-                message = str(e).splitlines()[0] if str(e) else type(e).__name__
-                return _effect(ready, failure=F.lit(message))
+                return _effect(ready, failure=F.lit(_message(e)))
 
         def load_table(group: list[SourceDef]) -> list[DataFrame]:
             return [load_one(s) for s in group]
@@ -495,6 +546,14 @@ class ImportEngine:
         overflow = F.col("rows_overflow")
         steps: list[tuple[Column, Column, Column]] = [
             (F.col("decision") != classify.ACCEPTED, F.col("decision"), F.col("reason")),
+            (
+                F.col("stage_failure").isNotNull(), F.lit(LOAD_ERROR),
+                F.concat(F.lit(LOAD_FAILED.format("")), F.col("stage_failure")),
+            ),
+            (
+                F.col("unreadable_as").isNotNull(), F.lit(INVALID),
+                F.replace(F.lit(UNREADABLE_REASON), F.lit("{}"), F.col("unreadable_as")),
+            ),
             (~F.col("valid"), F.lit(INVALID), F.col("invalid_reason")),
             (
                 overflow > 0, F.lit(LOAD_ERROR),
@@ -566,11 +625,15 @@ class ImportEngine:
         # Several findings of one row share a line number and sort by column position.
         line_nr = F.col("nr") * 100_000 + F.col("position") + 1
         details = listed.select("file", line_nr.alias("line_nr"), text.alias("text"))
+        unreadable = F.startswith(F.col("fehler_grund"), F.lit(UNREADABLE_REASON.split("{}")[0]))
         empty = results.filter(
             (F.col("status") == INVALID) & (F.col("zeilen_gesamt") == 0)
         ).select(
             "file", F.lit(0).cast("bigint").alias("line_nr"),
-            F.lit(f"Zeile 0: {validate.NO_ROWS_REASON}").alias("text"),
+            F.concat(
+                F.lit("Zeile 0: "),
+                F.when(unreadable, F.col("fehler_grund")).otherwise(F.lit(validate.NO_ROWS_REASON)),
+            ).alias("text"),
         )
         details = details.unionByName(empty)
         if prepared.ranking is not None:
@@ -594,6 +657,10 @@ def _side_by_side(work: Callable, items: Iterable) -> list:
         return list(pool.map(work, items))
 
 
+def _message(error: Exception) -> str:
+    return str(error).splitlines()[0] if str(error) else type(error).__name__
+
+
 def _decoded(encoding: Column) -> Column:
     """Text of ``raw`` for sources that leave the encoding to detection."""
     return decode_by(F.col("raw"), encoding, ["utf-8", "cp1252", "iso-8859-1"])

@@ -12,9 +12,11 @@ over the splits of a file, a small table, gives the offset of each split.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime
 from urllib.parse import unquote
+from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +32,8 @@ from dockhand.session import small_table
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
+_WILD = re.compile(r"([*?{}\[\]\\])")
+
 RAW_SCHEMA = "file string, block bigint, rid bigint, raw binary"
 
 
@@ -43,25 +47,79 @@ class Landing:
     index_bytes: int  # measured size of ``blocks``
 
 
-def open_inbox(
-    spark: SparkSession, folder: str, before: datetime | None = None
-) -> tuple[DataFrame | None, list[str]]:
-    """Text scan of a folder, and its visible files in the order of their names.
+@dataclass(frozen=True)
+class Inbox:
+    """One listing of an inbox: what Spark reads of it, and the files it must refuse."""
+
+    text: DataFrame | None  # text scan; may reach into subfolders, so see ``paths``
+    paths: list[str]  # files of the inbox itself, in the order of their names
+    hidden: list[str]  # files that Spark's readers pass over
+
+
+def open_inbox(spark: SparkSession, folder: str, before: datetime | None = None) -> Inbox:
+    """Text scan of a folder, and its files in the order of their names.
 
     Scan and list come from one listing, so files that arrive later are in neither.  A
-    missing folder counts as empty.  ``before`` leaves out files changed at or after that
-    time, which may still be in writing.
+    missing folder counts as empty.  Subfolders are not looked into, whatever their name; dot
+    files are no delivery.  ``before`` leaves out files changed at or after that time, which may
+    still be in writing; without a time zone it is local time.
     """
-    reader = spark.read
+    reader = spark.read.option("recursiveFileLookup", True)
     if before is not None:
-        reader = reader.option("modifiedBefore", f"{before:%Y-%m-%dT%H:%M:%S}")
+        at = before.astimezone(ZoneInfo(spark.conf.get("spark.sql.session.timeZone")))
+        reader = reader.option("modifiedBefore", f"{at:%Y-%m-%dT%H:%M:%S}")
     try:
         text = reader.text(folder)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return None, []
+            return Inbox(None, [], [])
         raise
-    return text, sorted(text.inputFiles(), key=_name)
+    listed, root = _listed(spark, folder)
+    listed = [f for f in listed if _name(f[0]).startswith("_")]
+    paths = sorted((p for p in text.inputFiles() if root is None or _parent(p) == root), key=_name)
+    limit = None if before is None else before.timestamp() * 1000
+    hidden = sorted((p for p, changed, _ in listed if limit is None or changed < limit), key=_name)
+    return Inbox(text, paths, hidden)
+
+
+def open_files(spark: SparkSession, folder: str, names: list[str]) -> Inbox:
+    """The same for listed files of a folder; others, of folders in it, are left out."""
+    root = _listed(spark, folder)[1]
+    own = [n for n in names if root is None or unquote(_parent(_plain(n))) == unquote(root)]
+    if not own:
+        return Inbox(None, [], [])
+    text = spark.read.option("recursiveFileLookup", True).text([_WILD.sub(r"\\\1", n) for n in own])
+    return Inbox(text, sorted(text.inputFiles(), key=_name), [])
+
+
+def unread_files(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
+    """Files that no scan shows, as they are empty, and those whose names begin with '_'."""
+    listed = _listed(spark, folder)[0]
+    hidden = sorted((p for p, _, _ in listed if _name(p).startswith("_")), key=_name)
+    return sorted((p for p, _, n in listed if not n and p not in hidden), key=_name), hidden
+
+
+def _listed(spark: SparkSession, folder: str) -> tuple[list[tuple[str, int, int]], str | None]:
+    """Files of a folder with the time of their last change and their length, and the folder as it
+    stands in paths; neither for a path with wildcards.  Dot files are no delivery."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return [], None
+    found = [
+        (_plain(f.getPath().toUri().toString()), f.getModificationTime(), f.getLen())
+        for f in fs.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(".")
+    ]
+    return found, _plain(fs.makeQualified(path).toUri().toString()).rstrip("/")
+
+
+def _plain(uri: str) -> str:
+    """Local paths as Spark writes them in its file lists."""
+    return "file:///" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
+
+
+def _parent(path: str) -> str:
+    return path.rsplit("/", 1)[0]
 
 
 def _name(path: str) -> str:
@@ -74,9 +132,15 @@ def file_table(spark: SparkSession, paths: list[str]) -> DataFrame:
     return small_table(spark, rows, "file string, file_seq int")
 
 
-def raw_lines(text: DataFrame) -> DataFrame:
-    """Lines of a text scan with their split and rising id."""
-    return text.select(
+def raw_lines(inbox: Inbox) -> DataFrame | None:
+    """Lines of the files of an inbox with their split and rising id."""
+    if inbox.text is None:
+        return None
+    own = inbox.text
+    if len(own.inputFiles()) > len(inbox.paths):
+        parents = {_parent(p) for p in inbox.paths}
+        own = own.filter(F.regexp_replace(F.input_file_name(), "/[^/]*$", "").isin(*parents) if parents else F.lit(False))
+    return own.select(
         F.input_file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),

@@ -9,11 +9,34 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dockhand.plans.pipeline import ImportEngine
+from dockhand.plans.pipeline import REFUSED_NAME, ImportEngine
+from dockhand.session import small_table
+from dockhand.sources import delivery
+
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _not_reported(engine: ImportEngine, name: str, run_id: str, paths: list[str]) -> list[str]:
+    """Of the files that no scan shows those without a result so far, or with one of this very
+    batch, if it is retried.  What is new is noted beside the tables."""
+    if not paths:
+        return []
+    log = f"{engine.store}/unread_files/{name}"
+    try:
+        rows = engine.spark.read.parquet(log).collect()  # a row per empty or hidden file
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    known = {r["path"]: r["run_id"] for r in rows}
+    new = [(p, run_id) for p in paths if p not in known]
+    if new:
+        small_table(engine.spark, new, "path string, run_id string").write.mode("append").parquet(log)
+    return [p for p in paths if known.get(p, run_id) == run_id]
 
 
 def stream_inbox(
@@ -32,31 +55,28 @@ def stream_inbox(
     Producers must move finished files into the inbox: the source takes a file as soon as it
     appears.  With ``archive_folder`` Spark moves completed files there.
     """
-    reader = engine.spark.readStream.format("text")
+    # The stream only carries names; a batch then reads its files like any others.
+    reader = engine.spark.readStream.format("binaryFile").schema(_FILES)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if archive_folder is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_folder)
-    lines = reader.load(inbox).select(
-        F.input_file_name().alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").cast("binary").alias("raw"),
-    )
+    # Only files of the folder itself, not of folders in it.
+    names = reader.option("recursiveFileLookup", True).load(inbox).select("path")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id}"
-        numbered = batch.select(
-            "file", "block", F.monotonically_increasing_id().alias("rid"), "raw"
-        )
-        paths = sorted(
-            (r["file"] for r in batch.select("file").distinct().collect()),
-            key=lambda p: p.rsplit("/", 1)[-1],
-        )
-        if paths:
+        listed = [r["path"] for r in batch.select("path").distinct().collect()]
+        found = delivery.open_files(engine.spark, inbox, listed)
+        empty, hidden = (_not_reported(engine, name, run_id, x) for x in delivery.unread_files(engine.spark, inbox))
+        refused = {p: REFUSED_NAME for p in hidden}
+        paths = sorted([*found.paths, *empty], key=lambda p: p.rsplit("/", 1)[-1])
+        if paths or refused:
             own = engine.at(datetime.now())
-            own.commit(own.prepare_lines(numbered, paths, source=source, run_id=run_id))
+            lines = delivery.raw_lines(found)
+            own.commit(own.prepare_lines(lines, paths, source=source, run_id=run_id, refused=refused))
 
-    writer = lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = names.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name)
     if available_now:
         return writer.trigger(availableNow=True).start()

@@ -75,4 +75,7 @@ def test_archives_run_through_the_engine(spark, tmp_path, prices):
     assert rows["deep/p.zip/good.csv"]["status"] == "geladen"
     assert rows["deep/p.zip/good.csv"]["dateiname"] == "good.csv"
     assert rows["odd.txt"]["status"] == "abgelehnt_unbekannt"
+    broken = next(r for f, r in rows.items() if f.endswith("b.zip"))
+    assert broken["status"] == "abgelehnt_unbekannt" and broken["fehler_grund"].startswith("Archiv nicht lesbar: BadZipFile")
+    assert spark.read.parquet(f"{engine.store}/import_runs").count() == 3
     assert engine.table(prices).read().count() == 3

@@ -243,3 +243,60 @@ def test_endless_quote_costs_one_record(spark, tmp_path, inbox, monkeypatch):
     assert bad["endless.csv"]["zeile_nr"] == 31 and bad["endless.csv"]["original_zeile"].startswith("Datensatz mit 516 Zeichen")
     pieces = spark.read.parquet(f"{e.store}/quarantine_pieces").filter("file like '%endless.csv'").orderBy("block", "rid").collect()
     assert b"\n".join(r["raw"] for r in pieces).decode() == 'a|"never closed\n' + "more|text\n" * 49 + "more|text"
+
+
+def test_everything_in_an_inbox_has_a_result(spark, tmp_path, inbox, prices):
+    inbox("a.csv", GOOD)
+    inbox("_b.csv", GOOD)
+    inbox(".hidden.csv", GOOD)
+    inbox("c [1]{2}*.csv", GOOD.replace("ABC123", "NEW1"))
+    for name in ("jahr=2024", "archive"):
+        folder = tmp_path / "inbox" / name
+        folder.mkdir()
+        (folder / "old.csv").write_text(GOOD)
+    e = engine(spark, tmp_path, prices)
+    rows = by_name(e.run(inbox.folder))
+    assert {n: r["status"] for n, r in rows.items()} == {
+        "a.csv": "geladen", "_b.csv": "abgelehnt_unbekannt", "c [1]{2}*.csv": "geladen",
+    }
+    assert rows["_b.csv"]["fehler_grund"].startswith("Datei nicht lesbar") and rows["a.csv"]["zeilen_gesamt"] == 3
+    assert spark.read.parquet(f"{e.store}/import_runs").count() == 3
+    assert not spark.read.parquet(f"{e.store}/reject_reports").filter("file like '%_b.csv'").isEmpty()
+
+
+def test_forced_source_that_cannot_read_a_file(spark, tmp_path, inbox):
+    source = make_source("greek", [{"name": "k"}, {"name": "v"}], encoding="cp1252")
+    inbox("a.csv", b"a|\x81\x8d\n")
+    e = engine(spark, tmp_path, source)
+    row = by_name(e.run(inbox.folder, source="greek"))["a.csv"]
+    assert row["status"] == "abgelehnt_ungueltig" and row["fehler_grund"] == "Datei nicht lesbar: Kodierung cp1252 passt nicht"
+    text = [r["text"] for r in spark.read.parquet(f"{e.store}/reject_reports").collect()]
+    assert any("Zeile 0: Datei nicht lesbar" in t for t in text)
+
+
+def test_failing_sources_do_not_stop_others(spark, tmp_path, inbox, prices, monkeypatch):
+    other = make_source("paar", [{"name": "k"}, {"name": "v", "typ": "integer"}])
+    inbox("a.csv", GOOD)
+    inbox("b.csv", "x|1\ny|2\n")
+    e = engine(spark, tmp_path, prices, other)
+    stage = ImportEngine._stage_source
+
+    def broken(self, lines, source, folder):
+        if source.name == "paar":
+            raise RuntimeError("disk is full")
+        return stage(self, lines, source, folder)
+
+    monkeypatch.setattr(ImportEngine, "_stage_source", broken)
+    rows = by_name(e.run(inbox.folder))
+    assert {n: (r["status"], r["fehler_grund"]) for n, r in rows.items()} == {
+        "a.csv": ("geladen", ""), "b.csv": ("abgelehnt_ladefehler", "Fehler beim Laden: disk is full"),
+    }
+    assert spark.read.parquet(f"{e.store}/import_runs").count() == 2
+
+
+def test_pattern_that_the_jvm_refuses_leaves_out_its_source_only(spark, tmp_path, inbox, prices):
+    odd = make_source("odd", [{"name": "k", "muster": "(?P<a_b>x)"}, {"name": "v"}])
+    inbox("a.csv", GOOD)
+    e = engine(spark, tmp_path, prices, odd)
+    assert list(e.catalog) == ["oe_preise"] and set(e.refused) == {"odd"}
+    assert by_name(e.run(inbox.folder))["a.csv"]["status"] == "geladen"

@@ -24,9 +24,9 @@ def tiny_splits(spark):
 def test_numbers_do_not_depend_on_splits(spark, tmp_path, inbox, tiny_splits):
     for name, n in (("a.csv", 1500), ("b.csv", 3), ("c.csv", 700)):
         inbox(name, "".join((f"{name}|{i}" if i % 7 else "") + "\n" for i in range(1, n + 1)))
-    text, paths = delivery.open_inbox(spark, inbox.folder)
-    files = delivery.file_table(spark, paths)
-    landing = delivery.land(spark, delivery.raw_lines(text), files, str(tmp_path / "l"), ["|"])
+    found = delivery.open_inbox(spark, inbox.folder)
+    files = delivery.file_table(spark, found.paths)
+    landing = delivery.land(spark, delivery.raw_lines(found), files, str(tmp_path / "l"), ["|"])
     assert landing.blocks.count() > 6
     rows = delivery.number_lines(landing, landing.files).select("nr", F.col("raw").cast("string").alias("t"))
     got = [(r["nr"], r["t"]) for r in rows.collect()]
@@ -120,7 +120,7 @@ def test_content_hash_and_missing_inbox(spark, tmp_path, inbox):
     inbox("a.csv", "abc")
     row = delivery.content_hashes(spark, inbox.folder).first()
     assert row["dateihash"] == hashlib.sha256(b"abc").hexdigest()
-    assert delivery.open_inbox(spark, str(tmp_path / "missing")) == (None, [])
+    assert delivery.open_inbox(spark, str(tmp_path / "missing")) == delivery.Inbox(None, [], [])
 
 
 def test_empty_inbox_and_unavailable_target(spark, tmp_path, inbox):

@@ -25,3 +25,23 @@ def test_stream_takes_each_file_once(spark, tmp_path, inbox, prices):
         ("a.csv", "geladen"), ("b.csv", "abgelehnt_unbekannt"),
     ]
     assert engine.table(prices).read().count() == 4
+
+
+def test_stream_reports_empty_files_and_leaves_folders_alone(spark, tmp_path, inbox, prices):
+    inbox("empty.csv", "")
+    inbox("good ü [1].csv", GOOD)
+    inbox("_b.csv", GOOD)
+    folder = tmp_path / "inbox" / "jahr=2024"
+    folder.mkdir()
+    (folder / "old.csv").write_text(GOOD)
+    engine = ImportEngine(spark, Catalog.of(prices), str(tmp_path / "store"), LOAD_TIME)
+    query = stream_inbox(engine, inbox.folder, str(tmp_path / "cp"), available_now=True)
+    assert query.awaitTermination(120)
+    inbox("next.csv", GOOD.replace("ABC123", "NEW1"))
+    query = stream_inbox(engine, inbox.folder, str(tmp_path / "cp"), available_now=True)
+    assert query.awaitTermination(120)
+    runs = spark.read.parquet(f"{engine.store}/import_runs").collect()
+    assert sorted((r["dateiname"], r["status"]) for r in runs) == [
+        ("_b.csv", "abgelehnt_unbekannt"), ("empty.csv", "abgelehnt_unbekannt"),
+        ("good ü [1].csv", "geladen"), ("next.csv", "geladen"),
+    ]

@@ -280,9 +280,9 @@ def record_numbers(spark, sf_dir):
     folder = new_work_folder(spark, "numbers")
     lines = d.table(spark, sf_dir, "lineitem").select(F.concat_ws("|", *d.lineitem_cells()).alias("value"))
     lines.write.text(f"{folder}/inbox")
-    text, paths = delivery.open_inbox(spark, f"{folder}/inbox")
-    files = delivery.file_table(spark, paths)
-    landing = delivery.land(spark, delivery.raw_lines(text), files, f"{folder}/landing", ["|"])
+    found = delivery.open_inbox(spark, f"{folder}/inbox")
+    files = delivery.file_table(spark, found.paths)
+    landing = delivery.land(spark, delivery.raw_lines(found), files, f"{folder}/landing", ["|"])
     n, nr = F.count(F.lit(1)), F.col("nr")
     per_file = delivery.number_lines(landing, landing.files).groupBy("file").agg(
         n.alias("n"),
