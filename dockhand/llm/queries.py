@@ -125,5 +125,77 @@ def op10_decontamination(spark, sf_dir):
     return found.select("doc_id", (F.size("spans") > 0).alias("contaminated"), items.alias("item_ids"), longest.alias("longest"), "spans")
 
 
-#: DuckDB SQL for the queries that SQL can express.
-SQL: dict[str, str] = {}
+def _escaped_length(text: str) -> str:
+    """Length of a text after escaping: one character more for each backslash and control string."""
+    controls = ("\\", *chat.TEMPLATE.control)
+    counts = " + ".join(f"(length({text}) - length(replace({text}, '{c}', ''))) // {len(c)}" for c in controls)
+    return f"(length({text}) + {counts})"
+
+
+def _chat_sql() -> str:
+    t = chat.TEMPLATE
+    marks = {role: len(x.open) + len(x.close) for role, x in t.turns.items()}
+    other = len(t.other_open) + len(t.other_name) + len(t.other_close)
+    length = "CASE role " + " ".join(f"WHEN '{r}' THEN {n}" for r, n in marks.items())
+    length += f" ELSE {other} + {_escaped_length('role')} END + {_escaped_length('text')}"
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' {order}) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({length}) AS BIGINT) AS formatted_chars,
+  regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, '' {order}),
+    's?(ua)+') AS valid
+FROM said GROUP BY conv_id"""
+
+
+def _mixing_sql() -> str:
+    domains = " ".join(f"WHEN 'src{i}' THEN '{k}'" for k, v in DOMAINS.items() for i in v)
+    tables = (WEIGHTS.domains, WEIGHTS.languages, WEIGHTS.sources)
+    steps, above = [], "SELECT (SELECT least(CAST(floor(sum(n_tokens) * {share}) AS BIGINT), sum(n_tokens) * {max_epochs}) FROM d) AS share".format(**MIX)
+    steps.append(f"level0 AS ({above})")
+    for level, known in enumerate(tables, 1):
+        here, parents = list(mixing.LEVELS[:level]), list(mixing.LEVELS[: level - 1])
+        weight = f"CASE {here[-1]} " + " ".join(f"WHEN '{k}' THEN {w}" for k, w in known.items()) + f" ELSE {WEIGHTS.default} END"
+        group = f"PARTITION BY {', '.join(parents)}" if parents else ""
+        order = f"{group} ORDER BY CAST(capacity AS DOUBLE) / weight, {here[-1]}"
+        join = f"JOIN level{level - 1} USING ({', '.join(parents)})" if parents else "CROSS JOIN level0"
+        steps.append(f"""level{level} AS (
+  WITH nodes AS (SELECT {', '.join(here)}, sum(n_tokens) * {MIX['max_epochs']} AS capacity, {weight} AS weight FROM d GROUP BY {', '.join(here)}),
+  placed AS (SELECT nodes.*, share AS budget,
+      coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+      sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM nodes {join}),
+  judged AS (SELECT *, capacity * open_weight <= weight * (budget - before) AS filled FROM placed),
+  summed AS (SELECT *, sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({group}) AS used,
+      sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({group}) AS rest FROM judged)
+  SELECT {', '.join(here)}, CASE WHEN filled THEN capacity ELSE (weight * (budget - used)) // rest END AS share FROM summed)""")
+    return f"""
+WITH d AS (
+  SELECT doc_id, CASE source {domains} ELSE 'other' END AS domain, coalesce(lang, 'unknown') AS language,
+    coalesce(source, 'unknown') AS origin, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_tokens
+  FROM documents WHERE regexp_matches(text, '[^\x20\x09-\x0D]')
+),
+{', '.join(steps)},
+leaves AS (
+  SELECT domain, language, origin, share // tokens AS epochs, share % tokens AS goal
+  FROM level3 JOIN (SELECT domain, language, origin, sum(n_tokens) AS tokens FROM d GROUP BY ALL) USING (domain, language, origin)
+),
+whole AS (SELECT doc_id, domain, language, origin, unnest(range(CAST(epochs AS BIGINT))) AS epoch, n_tokens, n_tokens AS taken
+  FROM d JOIN leaves USING (domain, language, origin)),
+running AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, language, origin
+    ORDER BY md5('{MIX['seed']}:' || CAST(epochs AS BIGINT) || ':' || doc_id)) - n_tokens AS before
+  FROM d JOIN leaves USING (domain, language, origin))
+SELECT doc_id, domain, language, origin, epoch, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(taken AS BIGINT) AS taken FROM whole
+UNION ALL SELECT doc_id, domain, language, origin, CAST(epochs AS BIGINT), CAST(n_tokens AS BIGINT),
+  CAST(least(n_tokens, goal - before) AS BIGINT) FROM running WHERE before < goal"""
+
+
+#: DuckDB SQL for the queries that SQL can express; the others are tested against brute force.
+SQL: dict[str, str] = {"op6_chat_format": _chat_sql(), "op8_mixing": _mixing_sql()}
