@@ -65,12 +65,12 @@ def test_lines_survive_chunk_borders(monkeypatch):
         assert list(archive._lines(io.BytesIO(text))) == text.splitlines(), text
 
 
-def test_archives_run_through_the_engine(spark, tmp_path, prices):
+def test_archives_run_through_the_engine(spark, tmp_path, readings):
     folder = tmp_path / "zips"
     folder.mkdir()
     (folder / "a.zip").write_bytes(zipped(("deep/p.zip", zipped(("good.csv", GOOD))), ("odd.txt", "?\n")))
     (folder / "b.zip").write_bytes(b"broken")
-    engine = ImportEngine(spark, Catalog.of(prices), str(tmp_path / "store"), LOAD_TIME)
+    engine = ImportEngine(spark, Catalog.of(readings), str(tmp_path / "store"), LOAD_TIME)
     rows = {r["file"].rsplit("a.zip/")[-1]: r for r in engine.commit(engine.prepare_archives(str(folder))).collect()}
     assert rows["deep/p.zip/good.csv"]["status"] == "geladen"
     assert rows["deep/p.zip/good.csv"]["dateiname"] == "good.csv"
@@ -78,4 +78,4 @@ def test_archives_run_through_the_engine(spark, tmp_path, prices):
     broken = next(r for f, r in rows.items() if f.endswith("b.zip"))
     assert broken["status"] == "abgelehnt_unbekannt" and broken["fehler_grund"].startswith("Archiv nicht lesbar: BadZipFile")
     assert spark.read.parquet(f"{engine.store}/import_runs").count() == 3
-    assert engine.table(prices).read().count() == 3
+    assert engine.table(readings).read().count() == 4

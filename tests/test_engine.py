@@ -1,4 +1,4 @@
-from conftest import BROKEN, GOOD, LOAD_TIME, PRICE_COLUMNS, UNKNOWN, make_source
+from conftest import FAULTY, GOOD, LOAD_TIME, READING_COLUMNS, UNKNOWN, make_source
 
 from dockhand.catalog import Catalog
 from dockhand.plans.pipeline import ImportEngine
@@ -12,12 +12,12 @@ def by_name(results):
     return {r["dateiname"]: r for r in results.collect()}
 
 
-def test_statuses_of_a_mixed_inbox(spark, tmp_path, inbox, prices):
+def test_statuses_of_a_mixed_inbox(spark, tmp_path, inbox, readings):
     inbox("good file ü+1.csv", GOOD)
-    inbox("broken.csv", BROKEN)
+    inbox("broken.csv", FAULTY)
     inbox("unknown.csv", UNKNOWN)
     inbox("empty.csv", "")
-    e = engine(spark, tmp_path, prices)
+    e = engine(spark, tmp_path, readings)
     rows = by_name(e.run(inbox.folder))
     assert {n: r["status"] for n, r in rows.items()} == {
         "good file ü+1.csv": "geladen",
@@ -26,16 +26,17 @@ def test_statuses_of_a_mixed_inbox(spark, tmp_path, inbox, prices):
         "empty.csv": "abgelehnt_unbekannt",
     }
     good = rows["good file ü+1.csv"]
-    assert (good["score"], good["zeilen_gesamt"], good["zeilen_geladen"]) == (1.0, 3, 3)
+    assert (good["score"], good["zeilen_gesamt"], good["zeilen_geladen"]) == (1.0, 4, 4)
     assert rows["broken.csv"]["score"] == 0.7
     assert rows["broken.csv"]["fehler_grund"] == (
         "Kein sicherer Vorschlag (bester Score 70% < Schwellenwert 90%)"
     )
     assert rows["unknown.csv"]["fehler_grund"] == "Keine Config passt zu dieser Datei"
-    table = e.table(prices).read()
-    assert table.columns == ["hersteller", "oeno", "bezeichnung", "preis", "stichtag", "jahrmonat"]
-    assert {(r["oeno"], r["preis"], r["jahrmonat"]) for r in table.collect()} == {
-        ("ABC123", 12.5, "202607"), ("XYZ999", 4.2, "202607"), ("DEF456", 89.9, "202607"),
+    table = e.table(readings).read()
+    assert table.columns == ["geraet", "kanal", "wert", "am", "monat"]
+    assert {(r["geraet"], r["kanal"], r["wert"], r["monat"]) for r in table.collect()} == {
+        ("pumpe-1", 1, 20.5, "202607"), ("pumpe-1", 2, 1204.75, "202607"), ("ofen-7", 1, -3.0, "202607"),
+        ("ofen-8", 4, 0.25, "202607"),
     }
     runs = spark.read.parquet(f"{e.store}/import_runs")
     assert runs.count() == 4 and runs.select("id").distinct().count() == 4
@@ -44,70 +45,71 @@ def test_statuses_of_a_mixed_inbox(spark, tmp_path, inbox, prices):
     assert text == [
         "Datei:     unknown.csv", "Rejected:  2026-07-17 10:30:00",
         "Grund:     Keine Config passt zu dieser Datei", "", "Details:",
-        "  - oe_preise: Spaltenanzahl 1 statt 5",
+        "  - messung: Spaltenanzahl 1 statt 4",
     ]
     moves = {r["file"].rsplit("/")[-1]: r["target_path"]
              for r in spark.read.parquet(f"{e.store}/dispositions").collect()}
     assert moves["broken.csv"] == "reject/broken__20260717_103000.csv"
 
 
-def test_second_load_skips_everything(spark, tmp_path, inbox, prices):
+def test_second_load_skips_everything(spark, tmp_path, inbox, readings):
     inbox("good.csv", GOOD)
-    e = engine(spark, tmp_path, prices)
+    e = engine(spark, tmp_path, readings)
     e.run(inbox.folder)
     again = by_name(e.run(inbox.folder))["good.csv"]
-    assert (again["status"], again["zeilen_geladen"], again["zeilen_uebersprungen"]) == ("geladen", 0, 3)
-    assert e.table(prices).read().count() == 3
+    assert (again["status"], again["zeilen_geladen"], again["zeilen_uebersprungen"]) == ("geladen", 0, 4)
+    assert e.table(readings).read().count() == 4
 
 
-def test_prepare_writes_nothing_and_commit_twice_changes_nothing(spark, tmp_path, inbox, prices):
+def test_prepare_writes_nothing_and_commit_twice_changes_nothing(spark, tmp_path, inbox, readings):
     inbox("good.csv", GOOD)
-    e = engine(spark, tmp_path, prices)
+    e = engine(spark, tmp_path, readings)
     prepared = e.prepare(inbox.folder)
-    assert e.table(prices).read().count() == 0
+    assert e.table(readings).read().count() == 0
     assert not (tmp_path / "store").exists()
-    shown = prepared.preview(prices, rows=2).orderBy("nr").collect()
-    assert [(r["nr"], r["oeno"], r["more"]) for r in shown] == [(1, "ABC123", 1), (2, "XYZ999", 1)]
+    shown = prepared.preview(readings, rows=2).orderBy("nr").collect()
+    assert [(r["nr"], r["kanal"], r["more"]) for r in shown] == [(1, 1, 2), (2, 2, 2)]
     first = e.commit(prepared).collect()
     assert e.commit(prepared).collect() == first
-    assert e.table(prices).read().count() == 3
+    assert e.table(readings).read().count() == 4
     assert spark.read.parquet(f"{e.store}/import_runs").count() == 1
 
 
-def test_forced_source_reports_line_exact_errors(spark, tmp_path, inbox, prices):
-    inbox("broken.csv", BROKEN)
-    e = engine(spark, tmp_path, prices)
-    prepared = e.prepare(inbox.folder, source="oe_preise")
+def test_forced_source_reports_line_exact_errors(spark, tmp_path, inbox, readings):
+    inbox("broken.csv", FAULTY)
+    e = engine(spark, tmp_path, readings)
+    prepared = e.prepare(inbox.folder, source="messung")
     found = {(r["nr"], r["column"], r["code"]) for r in prepared.errors().collect()}
     assert found == {
-        (2, "preis", "BELOW_MIN"), (3, "stichtag", "TYPE_OR_PATTERN"), (4, None, "COLUMN_COUNT"),
+        (2, "kanal", "BELOW_MIN"), (3, "geraet", "TYPE_OR_PATTERN"), (4, "am", "TYPE_OR_PATTERN"), (5, None, "COLUMN_COUNT"),
     }
     row = by_name(e.commit(prepared))["broken.csv"]
-    assert (row["status"], row["score"], row["zeilen_gesamt"]) == ("abgelehnt_ungueltig", None, 4)
-    assert row["fehler_grund"] == "3 von 4 Zeilen fehlerhaft"
+    assert (row["status"], row["score"], row["zeilen_gesamt"]) == ("abgelehnt_ungueltig", None, 5)
+    assert row["fehler_grund"] == "4 von 5 Zeilen fehlerhaft"
     details = spark.read.parquet(f"{e.store}/reject_reports").filter("part = 2").orderBy("line_nr")
     assert details.first()["text"] == (
-        "  - Zeile 2, Spalte 'preis': '-5.00' — kleiner als Minimum 0.0"
+        "  - Zeile 2, Spalte 'kanal': '0' — kleiner als Minimum 1.0"
     )
 
 
 def test_partial_mode_quarantines_the_bad_rows(spark, tmp_path, inbox):
-    source = make_source("p", PRICE_COLUMNS, upsert_key=["oeno"], fehler_modus="partiell")
-    inbox("broken.csv", BROKEN)
-    inbox("hopeless.csv", "a|b|c|d|e\nx\n")
+    source = make_source("p", READING_COLUMNS, upsert_key=["geraet"], fehler_modus="partiell")
+    inbox("broken.csv", FAULTY)
+    inbox("hopeless.csv", "a|b|c|d\nx\n")
     e = engine(spark, tmp_path, source)
     rows = by_name(e.run(inbox.folder, source="p"))
     broken, hopeless = rows["broken.csv"], rows["hopeless.csv"]
-    assert (broken["status"], broken["zeilen_geladen"], broken["zeilen_quarantaene"]) == ("geladen", 1, 3)
+    assert (broken["status"], broken["zeilen_geladen"], broken["zeilen_quarantaene"]) == ("geladen", 1, 4)
     assert hopeless["status"] == "abgelehnt_ungueltig"
     assert hopeless["fehler_grund"] == (
         "Alle 2 Zeilen fehlerhaft (partieller Modus, aber nichts zu laden)"
     )
     kept = spark.read.parquet(f"{e.store}/quarantine").filter("dateiname = 'broken.csv'")
     assert {(r["zeile_nr"], r["fehler_grund"], r["original_zeile"]) for r in kept.collect()} == {
-        (2, "preis: kleiner als Minimum 0.0", "Toyota|XYZ|Test|-5.00|2026-01-15"),
-        (3, "stichtag: passt nicht zu Typ 'date_iso'", "Toyota|DEF|Test|10.00|2026-13-45"),
-        (4, "Spaltenanzahl 4 statt 5", "Toyota|GHI|Test|10.00"),
+        (2, "kanal: kleiner als Minimum 1.0", "ofen-7|0|99,5|25.12.2025"),
+        (3, "geraet: passt nicht zu Typ 'string' / Muster '^[a-z]+-\\d+$'", "Ofen 7|2|99,5|26.12.2025"),
+        (4, "am: passt nicht zu Typ 'date_dmy'", "ofen-7|3|99,5|30.02.2026"),
+        (5, "Spaltenanzahl 3 statt 4", "ofen-7|4|99,5"),
     }
 
 
@@ -245,21 +247,21 @@ def test_endless_quote_costs_one_record(spark, tmp_path, inbox, monkeypatch):
     assert b"\n".join(r["raw"] for r in pieces).decode() == 'a|"never closed\n' + "more|text\n" * 49 + "more|text"
 
 
-def test_everything_in_an_inbox_has_a_result(spark, tmp_path, inbox, prices):
+def test_everything_in_an_inbox_has_a_result(spark, tmp_path, inbox, readings):
     inbox("a.csv", GOOD)
     inbox("_b.csv", GOOD)
     inbox(".hidden.csv", GOOD)
-    inbox("c [1]{2}*.csv", GOOD.replace("ABC123", "NEW1"))
+    inbox("c [1]{2}*.csv", GOOD.replace("|1|", "|8|"))
     for name in ("jahr=2024", "archive"):
         folder = tmp_path / "inbox" / name
         folder.mkdir()
         (folder / "old.csv").write_text(GOOD)
-    e = engine(spark, tmp_path, prices)
+    e = engine(spark, tmp_path, readings)
     rows = by_name(e.run(inbox.folder))
     assert {n: r["status"] for n, r in rows.items()} == {
         "a.csv": "geladen", "_b.csv": "abgelehnt_unbekannt", "c [1]{2}*.csv": "geladen",
     }
-    assert rows["_b.csv"]["fehler_grund"].startswith("Datei nicht lesbar") and rows["a.csv"]["zeilen_gesamt"] == 3
+    assert rows["_b.csv"]["fehler_grund"].startswith("Datei nicht lesbar") and rows["a.csv"]["zeilen_gesamt"] == 4
     assert spark.read.parquet(f"{e.store}/import_runs").count() == 3
     assert not spark.read.parquet(f"{e.store}/reject_reports").filter("file like '%_b.csv'").isEmpty()
 
@@ -274,11 +276,11 @@ def test_forced_source_that_cannot_read_a_file(spark, tmp_path, inbox):
     assert any("Zeile 0: Datei nicht lesbar" in t for t in text)
 
 
-def test_failing_sources_do_not_stop_others(spark, tmp_path, inbox, prices, monkeypatch):
+def test_failing_sources_do_not_stop_others(spark, tmp_path, inbox, readings, monkeypatch):
     other = make_source("paar", [{"name": "k"}, {"name": "v", "typ": "integer"}])
     inbox("a.csv", GOOD)
     inbox("b.csv", "x|1\ny|2\n")
-    e = engine(spark, tmp_path, prices, other)
+    e = engine(spark, tmp_path, readings, other)
     stage = ImportEngine._stage_source
 
     def broken(self, lines, source, folder):
@@ -294,9 +296,9 @@ def test_failing_sources_do_not_stop_others(spark, tmp_path, inbox, prices, monk
     assert spark.read.parquet(f"{e.store}/import_runs").count() == 2
 
 
-def test_pattern_that_the_jvm_refuses_leaves_out_its_source_only(spark, tmp_path, inbox, prices):
+def test_pattern_that_the_jvm_refuses_leaves_out_its_source_only(spark, tmp_path, inbox, readings):
     odd = make_source("odd", [{"name": "k", "muster": "(?P<a_b>x)"}, {"name": "v"}])
     inbox("a.csv", GOOD)
-    e = engine(spark, tmp_path, prices, odd)
-    assert list(e.catalog) == ["oe_preise"] and set(e.refused) == {"odd"}
+    e = engine(spark, tmp_path, readings, odd)
+    assert list(e.catalog) == ["messung"] and set(e.refused) == {"odd"}
     assert by_name(e.run(inbox.folder))["a.csv"]["status"] == "geladen"

@@ -1,7 +1,7 @@
 """Operators on small fixtures: numbering over splits, report cap, decisions, groups."""
 
 import pytest
-from conftest import LOAD_TIME, PRICE_COLUMNS, make_source
+from conftest import FAULTY, LOAD_TIME, READING_COLUMNS, make_source
 from pyspark.sql import functions as F
 
 from dockhand.catalog import Catalog
@@ -46,13 +46,13 @@ def test_spanning_records_over_real_splits(spark, tmp_path, inbox, tiny_splits):
     assert {(r["k"], r["v"]) for r in table} == {(i, f"part {i}\n{'x' * 300}\n|end {i}") for i in range(200)}
 
 
-def test_report_stops_at_fifty_but_totals_are_full(spark, prices):
-    rows = [("f", i, f"T|bad-{i}|x|1.0|2026-01-01") for i in range(1, 61)]
-    parsed = validate.parse(spark.createDataFrame(rows, "file string, nr bigint, line string"), prices)
-    found = validate.errors(parsed, prices)
+def test_report_stops_at_fifty_but_totals_are_full(spark, readings):
+    rows = [("f", i, f"Geraet {i}|1|1,0|1.1.2026") for i in range(1, 61)]
+    parsed = validate.parse(spark.createDataFrame(rows, "file string, nr bigint, line string"), readings)
+    found = validate.errors(parsed, readings)
     assert sorted(r["nr"] for r in validate.error_report(found).collect()) == list(range(1, 51))
     files = spark.createDataFrame([("f",), ("empty",)], "file string")
-    verdict = validate.verdicts(files, validate.file_counts(validate.check(parsed, prices)), False)
+    verdict = validate.verdicts(files, validate.file_counts(validate.check(parsed, readings)), False)
     by_file = {r["file"]: r for r in verdict.collect()}
     assert (by_file["f"]["rows_total"], by_file["f"]["rows_bad"], by_file["f"]["report_capped"]) == (60, 60, True)
     assert by_file["f"]["invalid_reason"] == (
@@ -70,30 +70,29 @@ def scores(spark, catalog, files, rows):
     )
 
 
-def test_scores_and_knock_outs(spark, prices):
+def test_scores_and_knock_outs(spark, readings):
     header = make_source("kopf", [{"name": "a"}, {"name": "b"}], delimiter=";", header=True)
     ranking = scores(
-        spark, Catalog.of(prices, header), ["broken", "cell", "unknown", "head", "none"],
+        spark, Catalog.of(readings, header), ["broken", "cell", "unknown", "head", "none"],
         [
-            ("broken", 1, "Toyota|ABC123|Bremse|12.50|2026-01-15"), ("broken", 2, "Toyota|XYZ|Test|-5.00|2026-01-15"),
-            ("broken", 3, "Toyota|DEF|Test|10.00|2026-13-45"), ("broken", 4, "Toyota|GHI|Test|10.00"),
-            ("cell", 1, "Toyota||Test|10.0|2026-01-01"), ("unknown", 1, "a,b"), ("unknown", 2, ""),
+            *(("broken", i, line) for i, line in enumerate(FAULTY.splitlines(), 1)),
+            ("cell", 1, "ofen-7||99,5|24.12.2025"), ("unknown", 1, "a,b"), ("unknown", 2, ""),
             ("head", 1, "x;y"),
         ],
     )
     got = {(r["file"], r["source"]): (r["score"], r["ko_reason"]) for r in ranking.collect()}
-    assert got["broken", "oe_preise"] == (0.7, None)
-    assert got["cell", "oe_preise"] == (0.8, None)
-    assert got["unknown", "oe_preise"] == (0.0, "Spaltenanzahl 1 statt 5")
+    assert got["broken", "messung"] == (0.7, None)
+    assert got["cell", "messung"] == (0.75, None)
+    assert got["unknown", "messung"] == (0.0, "Spaltenanzahl 1 statt 4")
     assert got["head", "kopf"] == (0.0, "Nur Header, keine Datenzeilen")
-    assert got["none", "kopf"] == got["none", "oe_preise"] == (0.0, "Datei nicht lesbar/leer")
+    assert got["none", "kopf"] == got["none", "messung"] == (0.0, "Datei nicht lesbar/leer")
 
 
-def test_two_sources_of_equal_shape(spark, prices):
-    twin = make_source("zwilling", PRICE_COLUMNS)
-    ranking = scores(spark, Catalog.of(prices, twin), ["f"], [("f", 1, "T|A1|x|1.0|2026-01-01")]).cache()
+def test_two_sources_of_equal_shape(spark, readings):
+    twin = make_source("zwilling", READING_COLUMNS)
+    ranking = scores(spark, Catalog.of(readings, twin), ["f"], [("f", 1, "a-1|1|1,0|1.1.2026")]).cache()
     batch = classify.decide(ranking).first()
-    assert (batch["source"], batch["decision"], batch["category"]) == ("oe_preise", "geladen", "unsicher")
+    assert (batch["source"], batch["decision"], batch["category"]) == ("messung", "geladen", "unsicher")
     strict = classify.decide(ranking, require_unambiguous=True).first()
     assert strict["decision"] == "abgelehnt_unsicher"
     assert classify.decide(ranking, min_lead=0.0).first()["category"] == "sicher"

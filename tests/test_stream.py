@@ -5,10 +5,10 @@ from dockhand.plans.pipeline import ImportEngine
 from dockhand.streaming.inbox import stream_inbox
 
 
-def test_stream_takes_each_file_once(spark, tmp_path, inbox, prices):
+def test_stream_takes_each_file_once(spark, tmp_path, inbox, readings):
     inbox("a.csv", GOOD)
     inbox("b.csv", UNKNOWN)
-    engine = ImportEngine(spark, Catalog.of(prices), str(tmp_path / "store"), LOAD_TIME)
+    engine = ImportEngine(spark, Catalog.of(readings), str(tmp_path / "store"), LOAD_TIME)
 
     def drain():
         query = stream_inbox(
@@ -17,27 +17,27 @@ def test_stream_takes_each_file_once(spark, tmp_path, inbox, prices):
         assert query.awaitTermination(120)
 
     drain()
-    inbox("c.csv", GOOD.replace("ABC123", "NEW1"))
+    inbox("c.csv", GOOD.replace("ofen-8", "ofen-9"))
     drain()
     runs = spark.read.parquet(f"{engine.store}/import_runs").orderBy("id").collect()
     assert [(r["dateiname"], r["status"], r["zeilen_geladen"]) for r in runs][2] == ("c.csv", "geladen", 1)
     assert sorted((r["dateiname"], r["status"]) for r in runs[:2]) == [
         ("a.csv", "geladen"), ("b.csv", "abgelehnt_unbekannt"),
     ]
-    assert engine.table(prices).read().count() == 4
+    assert engine.table(readings).read().count() == 5
 
 
-def test_stream_reports_empty_files_and_leaves_folders_alone(spark, tmp_path, inbox, prices):
+def test_stream_reports_empty_files_and_leaves_folders_alone(spark, tmp_path, inbox, readings):
     inbox("empty.csv", "")
     inbox("good ü [1].csv", GOOD)
     inbox("_b.csv", GOOD)
     folder = tmp_path / "inbox" / "jahr=2024"
     folder.mkdir()
     (folder / "old.csv").write_text(GOOD)
-    engine = ImportEngine(spark, Catalog.of(prices), str(tmp_path / "store"), LOAD_TIME)
+    engine = ImportEngine(spark, Catalog.of(readings), str(tmp_path / "store"), LOAD_TIME)
     query = stream_inbox(engine, inbox.folder, str(tmp_path / "cp"), available_now=True)
     assert query.awaitTermination(120)
-    inbox("next.csv", GOOD.replace("ABC123", "NEW1"))
+    inbox("next.csv", GOOD.replace("ofen-8", "ofen-9"))
     query = stream_inbox(engine, inbox.folder, str(tmp_path / "cp"), available_now=True)
     assert query.awaitTermination(120)
     runs = spark.read.parquet(f"{engine.store}/import_runs").collect()
