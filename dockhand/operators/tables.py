@@ -1,8 +1,9 @@
 """Target tables as Parquet parts plus a log of committed parts.
 
 A run writes its part first and the log entry last, so readers see all of a run or nothing,
-and a run that is repeated after a failure finds its own entry and changes nothing.  One
-writer per table at a time.
+and a run that is repeated after a failure finds its own entry and changes nothing.  The log
+also holds the fields of the table; who comes with other ones is refused.  One writer per table
+at a time: the next version is the last one read plus one.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from dockhand.session import small_table
 
-_LOG = "version int, run_id string, action string, part string"
+_LOG = "version int, run_id string, action string, part string, fields string"
 APPEND, REPLACE = "append", "replace"
 
 
@@ -25,11 +26,15 @@ class SnapshotTable:
     def _entries(self) -> list:
         try:
             log = self.spark.read.schema(_LOG).json(f"{self.path}/log")
-            return log.orderBy("version").collect()
+            entries = log.orderBy("version").collect()
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
+        for entry in entries:
+            if entry["fields"] not in (None, self.schema.simpleString()):
+                raise ValueError(f"table holds other fields: {entry['fields']}")
+        return entries
 
     def _parts(self, before_run: str | None = None) -> list[str]:
         parts: list[str] = []
@@ -66,5 +71,5 @@ class SnapshotTable:
         if any(e["run_id"] == run_id for e in entries):
             return
         version = entries[-1]["version"] + 1 if entries else 1
-        entry = small_table(self.spark, [(version, run_id, action, f"parts/{run_id}")], _LOG)
+        entry = small_table(self.spark, [(version, run_id, action, f"parts/{run_id}", self.schema.simpleString())], _LOG)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")

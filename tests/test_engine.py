@@ -302,3 +302,15 @@ def test_pattern_that_the_jvm_refuses_leaves_out_its_source_only(spark, tmp_path
     e = engine(spark, tmp_path, readings, odd)
     assert list(e.catalog) == ["messung"] and set(e.refused) == {"odd"}
     assert by_name(e.run(inbox.folder))["a.csv"]["status"] == "geladen"
+
+
+def test_sources_of_other_fields_cannot_share_a_table(spark, tmp_path, inbox):
+    first = make_source("eins", [{"name": "k"}, {"name": "v", "typ": "integer"}], tabelle="t")
+    second = make_source("zwei", [{"name": "k"}, {"name": "w"}, {"name": "x"}], tabelle="t")
+    inbox("a.csv", "a|1\n")
+    inbox("b.csv", "b|c|d\n")
+    e = engine(spark, tmp_path, first, second)
+    rows = by_name(e.run(inbox.folder))
+    assert (rows["a.csv"]["status"], rows["b.csv"]["status"]) == ("geladen", "abgelehnt_ladefehler")
+    assert "other fields" in rows["b.csv"]["fehler_grund"]
+    assert [tuple(r) for r in e.table(first).read().collect()] == [("a", 1)]
