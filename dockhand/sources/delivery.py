@@ -101,14 +101,16 @@ def unread_files(spark: SparkSession, folder: str) -> tuple[list[str], list[str]
 
 def _listed(spark: SparkSession, folder: str) -> tuple[list[tuple[str, int, int]], str | None]:
     """Files of a folder with the time of their last change and their length, and the folder as it
-    stands in paths; neither for a path with wildcards.  Dot files are no delivery."""
+    stands in paths; neither for a path with wildcards.  Dot files and the mark that a finished
+    Spark job leaves are no delivery."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return [], None
     found = [
         (_plain(f.getPath().toUri().toString()), f.getModificationTime(), f.getLen())
-        for f in fs.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(".")
+        for f in fs.listStatus(path)
+        if f.isFile() and not f.getPath().getName().startswith(".") and f.getPath().getName() != "_SUCCESS"
     ]
     return found, _plain(fs.makeQualified(path).toUri().toString()).rstrip("/")
 
