@@ -496,3 +496,10 @@ SELECT 'kunden' AS quelle, 'geladen' AS status, count(*) AS zeilen_gesamt, count
        CAST(0 AS BIGINT) AS zeilen_uebersprungen, CAST(0 AS BIGINT) AS zeilen_quarantaene FROM customer
 UNION ALL
 SELECT NULL, 'abgelehnt_unbekannt', 0, 0, 0, 0"""
+
+SQL["archive_refused"] = """
+WITH b AS (SELECT c_custkey // 100 AS block, count(*) AS n FROM customer GROUP BY 1)
+SELECT 'kunden_' || block || '.zip/orders.csv' AS file, 'geladen' AS status, n AS zeilen_geladen, false AS refused
+FROM b WHERE block % 3 <> 2
+UNION ALL SELECT 'kunden_' || block || '.zip/teile.zip/items.csv', 'abgelehnt_unbekannt', 0, false FROM b WHERE block % 3 <> 2
+UNION ALL SELECT 'kunden_' || block || '.zip', 'abgelehnt_unbekannt', 0, true FROM b WHERE block % 3 = 2"""

@@ -246,7 +246,9 @@ def spanning_records(spark, sf_dir):
     )
     rid = F.col("nr") * 1_000_000 + F.col("pos")
     lines = cut.select("file", "block", rid.alias("rid"), "line")
-    records = quoting.join_lines(quoting.number_records(lines, ","), ",")
+    folder = f"{new_work_folder(spark, 'spanning')}/numbered"
+    quoting.number_records(lines, ",").write.parquet(folder)  # once, as the engine does
+    records = quoting.join_lines(spark.read.parquet(folder), ",")
     return _digest(mapping.import_rows(records, DOCUMENTS, d.LOAD_TIME))
 
 
@@ -626,3 +628,23 @@ def archive_run(spark, sf_dir):
     folder = new_work_folder(spark, "archive")
     engine = ImportEngine(spark, Catalog.of(d.CUSTOMERS, d.SUPPLIERS), f"{folder}/store", d.LOAD_TIME)
     return _totals(engine.commit(engine.prepare_archives(archives)))
+
+
+@query
+def archive_refused(spark, sf_dir):
+    """Archives of a hundred customers each, every third unreadable: a result for each delivery."""
+    pack = F.pandas_udf(_zip, T.BinaryType())
+    block = F.floor(F.col("c_custkey") / 100)
+    groups = d.table(spark, sf_dir, "customer").groupBy(block.alias("block")).agg(
+        F.concat_ws("\n", F.sort_array(F.collect_list(d.customer_line()))).alias("lines")
+    )
+    broken = F.col("lines").cast("binary")
+    archives = groups.select(
+        F.concat(F.lit("kunden_"), d.text("block"), F.lit(".zip")).alias("path"),
+        F.when(F.col("block") % 3 == 2, broken).otherwise(pack(F.col("lines"), F.lit("?"))).alias("content"),
+    )
+    folder = new_work_folder(spark, "archive")
+    engine = ImportEngine(spark, Catalog.of(d.CUSTOMERS, d.SUPPLIERS), f"{folder}/store", d.LOAD_TIME)
+    refused = F.startswith(F.col("fehler_grund"), F.lit("Archiv nicht lesbar: BadZipFile"))
+    results = engine.commit(engine.prepare_archives(archives))
+    return results.select("file", "status", "zeilen_geladen", refused.alias("refused"))
