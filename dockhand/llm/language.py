@@ -127,7 +127,7 @@ def _score(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
     full = np.flatnonzero(np.diff(offsets) > 0)
     if len(full):
         readable[full] = np.logical_or.reduceat(letter, offsets[full])
-    step = max(1 << 12, (1 << 22) // max(1, width))
+    step = max(1 << 12, (1 << 20) // max(1, width))
     for order in model.orders if width else ():
         feature = _features(points, offsets, order, len(model.scores) - 1)
         for low in range(0, len(points), step):

@@ -51,7 +51,7 @@ def text_bytes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-SLICE_BYTES = 4 << 20  # of text worked on at once; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # of text worked on at once; a longer text is a slice of its own
 
 
 def sliced(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
