@@ -17,6 +17,18 @@ def record(**fields: str | T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v if isinstance(v, T.DataType) else _TYPES[v]()) for k, v in fields.items()])
 
 
+# Rows of whole texts are large: fewer of them in a batch between the JVM and Python.
+_BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000")
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Smaller Arrow batches, where the user has not chosen their size."""
+    key, default, value = _BATCH_ROWS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, value)
+    return spark
+
+
 def written(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """The frame's rows from a table in the shared work folder: computed once, safe from the
     loss of executors, and without the lineage behind it."""
