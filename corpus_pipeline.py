@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from dockhand.llm import contamination, language, minhash, mixing, pii
 from dockhand.llm.queries import MIX, PII_KEY, WEIGHTS, domain, table
-from dockhand.llm.store import written
+from dockhand.llm.store import bounded, written
 
 SHINGLE, PERCENT = 5, 80
 LEAST_SCORE = 0.5  # a language must be likelier than all others together
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identifiable language go; a missing lang is filled in."""
+    bounded(spark)
     found = language.predict(docs, language.fit(docs), language="found lang", score="found score")
     found = found.where((F.col("found lang") != language.UNKNOWN) & (F.col("found score") >= LEAST_SCORE))
     return found.select(*[F.coalesce("lang", "found lang").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
@@ -32,6 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near-duplicates the document with the smallest id stays.  Rows with one id
     are one document, of which the first row by text and the other plain columns stays; rows
     without id stay."""
+    bounded(spark)
     found = written(minhash.near_duplicates(docs, SHINGLE, PERCENT), "pipeline-near")
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
@@ -59,6 +61,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets become pseudonyms; n_chars follows the text."""
+    bounded(spark)
     hidden = pii.pseudonymize(docs, PII_KEY)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
