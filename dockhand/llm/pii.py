@@ -9,7 +9,9 @@ A format is a mixed-radix number (digits, letters) of size N.  The network works
 a = b = ceil(sqrt(N)); results of N or more are sent through again, which keeps it a permutation.
 
 Defined cases: a null text stays null; an empty one stays empty.  At one place the first kind of
-KINDS that validates wins; values found don't overlap.  Repeated rows get the same pseudonyms.
+KINDS that validates wins; values found don't overlap.  Of cards, IBANs and international phones
+all lengths that end with a group are tried, the longest first (the length of its country before
+others), so that what follows a value doesn't hide it.  Repeated rows get the same pseudonyms.
 """
 
 from __future__ import annotations
@@ -164,15 +166,73 @@ def phone(m: re.Match, change: Change) -> str | None:
     return head + alike(rest, change, f"phone{head}")
 
 
-# At one place the first kind that validates wins.
-KINDS: tuple[tuple[str, re.Pattern, Callable], ...] = (
-    ("iban", re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), iban),
-    ("date", re.compile(r"(?:(?P<iso>\d{4})-(?P<im>\d\d)-(?P<id>\d\d)|(?P<a>\d\d)(?P<sep>[./])(?P<b>\d\d)(?P=sep)(?P<end>\d{4}))(?![\w-])"), date),
-    ("ipv4", re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?![\w-])(?!\.\d)"), address),
-    ("ssn", re.compile(r"(\d{3})-(\d\d)-(\d{4})(?![\w-])"), social),
-    ("card", re.compile(r"\d(?:[ -]?\d){12,18}(?![\w-])"), card),
-    ("phone", re.compile(r"(?P<code>\+\d{1,3})[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?![\w-])"), phone),
-    ("phone", re.compile(r"(?P<code>)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"), phone),
+# Characters of an IBAN by country.
+_IBAN_LENGTH = {
+    code: int(n)
+    for n, codes in (line.split(":") for line in (
+        "15:NO", "16:BE", "18:DK FI FO GL NL SD FK", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS VA",
+        "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM",
+        "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU",
+    ))
+    for code in codes.split()
+}
+# Digits of a phone number with its country code, where all numbers of a country have one length.
+_PHONE_DIGITS = {
+    "1": 11, "7": 11, "27": 11, "30": 12, "33": 11, "34": 11, "40": 11, "41": 11, "44": 12, "45": 10, "47": 10, "48": 11, "57": 12,
+    "61": 11, "65": 10, "90": 12, "91": 12, "351": 12, "380": 12, "420": 12, "421": 12, "852": 11,
+}
+
+
+def _no_word(text: str, at: int) -> bool:
+    """Nothing that continues a value, but perhaps a further group of digits."""
+    after = text[at : at + 2]
+    return not after or not (after[0].isalnum() or after[0] == "_") and (after[0] != "-" or after[1:].isdigit())
+
+
+def _no_letter(text: str, at: int) -> bool:
+    return not (text[at : at + 1].isascii() and text[at : at + 1].isalnum())
+
+
+def _size(value: str) -> int:
+    return sum(c.isalnum() for c in value)
+
+
+def _iban_size(value: str) -> int | None:
+    return _IBAN_LENGTH.get(value[:2])
+
+
+def _phone_size(value: str) -> int | None:
+    digits = re.sub(r"\D", "", value[:8])
+    return next((_PHONE_DIGITS[digits[:n]] for n in (1, 2, 3) if digits[:n] in _PHONE_DIGITS), None)
+
+
+_RUN = re.compile(r"[A-Z\d+(). -]{1,80}")  # reaches over the longest IBAN
+
+
+def _candidates(pattern: re.Pattern, open_end: tuple[Callable, Callable] | None, text: str, start: int) -> Iterator[re.Match]:
+    """What the pattern matches at start; with an open end, at all lengths that end with a group:
+    first the size that is told by how the value begins, then the longest."""
+    m = pattern.match(text, start)
+    if m is None or open_end is None:
+        if m is not None:
+            yield m
+        return
+    ends, expected = open_end
+    found = [hit for end in range(_RUN.match(text, start).end(), start, -1) if text[end - 1].isalnum() and ends(text, end) and (hit := pattern.fullmatch(text, start, end))]
+    size = expected(m[0])
+    yield from sorted(found, key=lambda hit: _size(hit[0]) != size)  # stable: else the longest first
+
+
+# At one place the first kind that validates wins.  With an open end: what may follow, and the
+# number of digits and letters that the value's beginning tells.
+KINDS: tuple[tuple[str, re.Pattern, tuple[Callable, Callable] | None, Callable], ...] = (
+    ("iban", re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]){11,30}"), (_no_letter, _iban_size), iban),
+    ("date", re.compile(r"(?:(?P<iso>\d{4})-(?P<im>\d\d)-(?P<id>\d\d)|(?P<a>\d\d)(?P<sep>[./])(?P<b>\d\d)(?P=sep)(?P<end>\d{4}))(?:(?![\w-])|(?<=-\d\d)(?=[Tt](?:[01]\d|2[0-4])(?::?[0-5]\d|(?!\w))))"), None, date),
+    ("ipv4", re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?![\w-])(?!\.\d)"), None, address),
+    ("ssn", re.compile(r"(\d{3})-(\d\d)-(\d{4})(?![\w-])"), None, social),
+    ("card", re.compile(r"\d(?:[ -]?\d){12,18}"), (_no_word, lambda value: None), card),
+    ("phone", re.compile(r"(?P<code>\+\d{1,3})[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"), (_no_word, _phone_size), phone),
+    ("phone", re.compile(r"(?P<code>)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"), None, phone),
 )
 
 _ANY = re.compile(r"[0-9@]")
@@ -204,8 +264,9 @@ def find(text: str, change: Change) -> list[tuple[str, int, int, str]]:
     at = 0
     while m := _START.search(text, at):
         at = m.start() + 1
-        for kind, pattern, replace in KINDS:
-            if (hit := pattern.match(text, m.start())) and (new := replace(hit, change)) is not None:
+        tried = ((kind, hit, replace) for kind, pattern, open_end, replace in KINDS for hit in _candidates(pattern, open_end, text, m.start()))
+        for kind, hit, replace in tried:
+            if (new := replace(hit, change)) is not None:
                 if not any(a < hit.end() and hit.start() < b for a, b in taken):
                     found.append((kind, *hit.span(), new))
                 at = hit.end()

@@ -187,6 +187,31 @@ def test_pseudonyms_keep_format_and_links():
     datetime.date.fromisoformat(next(f[3] for f in found if f[0] == "date"))
 
 
+def spans(text):
+    return [(k, text[a:b]) for k, a, b, _ in pii.find(text, pii.permutation(b"key"))]
+
+
+def test_what_follows_a_value_does_not_hide_it():
+    assert spans("4111 1111 1111 1111 12/27") == [("card", "4111 1111 1111 1111")]
+    assert spans("4111111111111111 123") == [("card", "4111111111111111")]
+    assert spans("4111-1111-1111-1111-123") == [("card", "4111-1111-1111-1111")]
+    assert spans("4111-1111-1111-1111-x, 41111111111111112 4111111111111111x") == []
+    assert spans("DE89 3704 0044 0532 0130 00 BIC COBADEFF") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert spans("DE89370400440532013000 2024") == [("iban", "DE89370400440532013000")]
+    assert spans("GB82 WEST 1234 5698 7654 32 EUR 12") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert spans("at 2024-01-31T10:00:00Z, 2024-01-31T10:00:00.123+01:00") == [("date", "2024-01-31")] * 2
+    assert spans("20240131T10 2024-01-31Txy 2024-01-31x 2024-01-31T99:00") == []
+
+
+def test_equal_phones_stay_equal_before_other_numbers():
+    change = pii.permutation(b"key")
+    for number in ("+1 415-555-2671", "+33 12 34 56 78", "+33 612345678", "+41 44 668 18 00", "+14155552671"):
+        alone = pii.find(number, change)
+        assert [(a, b) for _, a, b, _ in alone] == [(0, len(number))]
+        for after in (" 12", " 2024", ", 12", " 1234567"):
+            assert pii.find(number + after, change)[0] == alone[0]
+
+
 @given(st.text("0123456789.-+() @:=/abAB\n", max_size=80))
 @settings(deadline=None, max_examples=200)
 def test_found_spans_are_ordered_and_apart(text):
