@@ -31,6 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from dockhand.llm.store import record
 
 ROUNDS = 8
+PIECE = 256  # most symbols that are one number
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 FOUND = T.ArrayType(record(kind="string", start="int", end="int", pseudonym="string"))
 
@@ -62,7 +63,20 @@ def permutation(key: bytes) -> Change:
 
 
 def permute_symbols(text: str, alphabets: list[str], change: Change, tweak: str) -> str:
-    """text's symbols as a mixed-radix number, permuted."""
+    """text's symbols as a mixed-radix number, permuted.
+
+    A text longer than PIECE goes piece by piece, once forwards and once backwards: the tweak of
+    each piece names all that went before, so that the whole is still a permutation and every
+    symbol of the result depends on the whole text, in linear time."""
+    if len(text) > PIECE:
+        places = range(0, len(text), PIECE)
+        pieces = [text[i : i + PIECE] for i in places]
+        for turn, order in enumerate((range(len(pieces)), reversed(range(len(pieces))))):
+            seen = hashlib.blake2b(f"{tweak}|{len(text)}".encode())
+            for k in order:
+                pieces[k] = permute_symbols(pieces[k], alphabets[places[k] : places[k] + PIECE], change, f"{tweak}|{turn}|{k}|{seen.hexdigest()}")
+                seen.update(pieces[k].encode())
+        return "".join(pieces)
     value, size = 0, 1
     for c, alphabet in zip(text, alphabets, strict=True):
         value, size = value * len(alphabet) + alphabet.index(c), size * len(alphabet)
@@ -77,6 +91,8 @@ def alike(text: str, change: Change, tweak: str) -> str:
     """Digits, small and capital letters permuted together; other characters keep their place."""
     kept = [(i, DIGITS if c.isdigit() else LOWER if c.islower() else UPPER) for i, c in enumerate(text) if c.isascii() and c.isalnum()]
     shape = "".join("0" if c in DIGITS else "a" if c in LOWER else "A" if c in UPPER else c for c in text)
+    if len(shape) > PIECE:
+        shape = hashlib.blake2b(shape.encode()).hexdigest()
     new = permute_symbols("".join(text[i] for i, _ in kept), [a for _, a in kept], change, f"{tweak}|{shape}")
     out = list(text)
     for (i, _), c in zip(kept, new, strict=True):
@@ -237,9 +253,9 @@ KINDS: tuple[tuple[str, re.Pattern, tuple[Callable, Callable] | None, Callable],
 
 _ANY = re.compile(r"[0-9@]")
 _START = re.compile(r"(?<![\w@.+-])(?:\+\d|\(\d|\d|[A-Z]{2}\d\d)")
-_EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _KEY = re.compile(r"(?<![A-Za-z0-9])AKIA([A-Z0-9]{16})(?![A-Za-z0-9])")
-_SECRET = re.compile(r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9/+_.-]{8,256})""")
+_SECRET = re.compile(r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9/+_.-]{8,})""")
 
 
 def _hidden(value: str, change: Change, kind: str) -> str:

@@ -212,6 +212,33 @@ def test_equal_phones_stay_equal_before_other_numbers():
             assert pii.find(number + after, change)[0] == alone[0]
 
 
+@pytest.mark.parametrize("size", [8, 255, 256, 257, 604, 100_000])
+def test_long_secrets_and_names_are_hidden_whole(size):
+    change = pii.permutation(b"key")
+    rng = np.random.default_rng(size)
+    value = "Q7-" + "".join(rng.choice(list("abcXYZ0189_-./"), size - 3))
+    name = "n" + "".join(rng.choice(list("abcXYZ0189"), size - 1))
+    text = f"token={value} mail {name}@example.com hex: secret={'0a1b' * (size // 4)}"
+    found = pii.find(text, change)
+    assert [(k, text[a:b]) for k, a, b, _ in found] == [("secret", value), ("email", name), ("secret", "0a1b" * (size // 4))]
+    for _, a, b, new in found:
+        assert len(new) == b - a
+        for i in range(0, size - 200, 97):
+            assert new[i : i + 40] != text[a + i : a + i + 40]
+    assert pii.apply(text, pii.find(text, change)) == pii.apply(text, found)
+
+
+def test_long_values_are_permuted_as_a_whole(monkeypatch):
+    monkeypatch.setattr(pii, "PIECE", 2)
+    change = pii.permutation(b"key")
+    values = [str(i).zfill(3) for i in range(1000)]
+    new = [pii.permute_symbols(v, [pii.DIGITS] * 3, change, "t") for v in values]
+    assert sorted(new) == values
+    # Neither a common beginning nor a common end stays one.
+    assert len({x[:2] for v, x in zip(values, new, strict=True) if v[:2] == "12"}) > 1
+    assert len({x[2] for v, x in zip(values, new, strict=True) if v[2] == "5"}) > 1
+
+
 @given(st.text("0123456789.-+() @:=/abAB\n", max_size=80))
 @settings(deadline=None, max_examples=200)
 def test_found_spans_are_ordered_and_apart(text):
