@@ -164,6 +164,28 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_duplicates(table.where("false")).count() == 0
 
 
+def skewed(n, pairs, seed=1, dim=64, common=0.9):
+    """n vectors of which a third has pairwise cosines of about `common`, and as many more pairs of
+    cosine 0.955 as told in that third: (vectors, their number of links by brute force)."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    cloud = unit(math.sqrt(common) * unit(rng.standard_normal(dim)) + math.sqrt(1 - common) * unit(rng.standard_normal((n // 3, dim))))
+    first = cloud[:pairs]
+    side = rng.standard_normal((pairs, dim))
+    side = unit(side - (side * first).sum(1, keepdims=True) * first)
+    all_of = np.concatenate([cloud, unit(rng.standard_normal((n - n // 3, dim))), 0.955 * first + math.sqrt(1 - 0.955**2) * side])
+    return all_of, np.concatenate([(all_of[i : i + 1000] @ all_of.T >= 0.95).sum(1) - 1 for i in range(0, len(all_of), 1000)])
+
+
+@pytest.mark.parametrize("tile", [32, 4096])
+def test_links_in_a_dense_cloud_are_found(spark, tile):
+    given, links = skewed(4000, 150)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(given)], "vec_id bigint, embedding array<double>").repartition(4)
+    found = {r.vec_id: r.n_links for r in vectors.near_duplicates(table, window=32, tile=tile).collect()}
+    got, expected = np.array([found[i] for i in range(len(given))]), links
+    assert (got <= expected).all() and got.sum() >= 0.98 * expected.sum() > 0
+
+
 def test_passes_grow_with_the_number_of_vectors():
     assert vectors.passes_for(1000, 0.95, 1024) == 4
     assert vectors.passes_for(10**6, 0.95, 1024) < vectors.passes_for(10**9, 0.95, 1024)
