@@ -2,7 +2,7 @@ import io
 import zipfile
 
 import pytest
-from conftest import GOOD, LOAD_TIME
+from import_data import GOOD, LOAD_TIME
 
 from dockhand.catalog import Catalog
 from dockhand.plans.pipeline import ImportEngine

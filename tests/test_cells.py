@@ -15,7 +15,7 @@ from dockhand.functions.text import (
     reject_path,
     round_half_even,
 )
-from conftest import LOAD_TIME
+from import_data import LOAD_TIME
 
 
 @pytest.fixture(scope="module")

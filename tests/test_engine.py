@@ -1,4 +1,4 @@
-from conftest import FAULTY, GOOD, LOAD_TIME, READING_COLUMNS, UNKNOWN, make_source
+from import_data import FAULTY, GOOD, LOAD_TIME, READING_COLUMNS, UNKNOWN, make_source
 
 from dockhand.catalog import Catalog
 from dockhand.plans.pipeline import ImportEngine

@@ -1,7 +1,7 @@
 """Operators on small fixtures: numbering over splits, report cap, decisions, groups."""
 
 import pytest
-from conftest import FAULTY, LOAD_TIME, READING_COLUMNS, make_source
+from import_data import FAULTY, LOAD_TIME, READING_COLUMNS, make_source
 from pyspark.sql import functions as F
 
 from dockhand.catalog import Catalog

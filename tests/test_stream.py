@@ -1,4 +1,4 @@
-from conftest import GOOD, LOAD_TIME, UNKNOWN
+from import_data import GOOD, LOAD_TIME, UNKNOWN
 
 from dockhand.catalog import Catalog
 from dockhand.plans.pipeline import ImportEngine
