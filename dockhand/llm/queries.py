@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, scoring, substrings, vectors
+from dockhand.llm import (
+    chat, collocations, contamination, fingerprints, language, licenses, minhash, mixing, pii, resampling, scoring, substrings, vectors,
+)
 from dockhand.llm.store import bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +128,24 @@ def op10_decontamination(spark, sf_dir):
     return found.select("doc_id", (F.size("spans") > 0).alias("contaminated"), items.alias("item_ids"), longest.alias("longest"), "spans")
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("words")
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_fingerprints(spark, sf_dir):
+    found = fingerprints.edit_next(table(spark, sf_dir, "documents"))
+    text = {k: F.lower(F.hex(k)) for k in ("fingerprint", "edited_fingerprint")}
+    return found.select("doc_id", "n_chars", "edited_sha256", *[c.alias(k) for k, c in text.items()], "near_edited", "near_next")
+
+
 def _escaped_length(text: str) -> str:
     """Length of a text after escaping: one character more for each backslash and control string."""
     controls = ("\\", *chat.TEMPLATE.control)
@@ -198,5 +218,90 @@ UNION ALL SELECT doc_id, domain, language, origin, CAST(epochs AS BIGINT), CAST(
   CAST(least(n_tokens, goal - before) AS BIGINT) FROM running WHERE before < goal"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _collocations_sql() -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+cut AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w)) AS n FROM cut GROUP BY lang),
+grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM cut
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM cut
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM cut
+),
+counts AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM candidates WHERE k = 3) GROUP BY ALL
+),
+cuts AS (
+  SELECT lang, phrase, a, 1 AS place, w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM candidates
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE k = 3
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, place, l.f AS l, r.f AS r, 1000000 * a * a // (l.f * r.f) AS score
+  FROM cuts JOIN counts l ON l.lang = cuts.lang AND l.phrase = cuts.head JOIN counts r ON r.lang = cuts.lang AND r.phrase = cuts.rest
+    LEFT JOIN longer ON longer.lang = cuts.lang AND longer.phrase = cuts.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
+
+def _resampling_sql() -> str:
+    """CRC-32 is worked out byte by byte, from a table that is made in the query."""
+    p = resampling.Plan()
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    rounds = ["r0 AS (SELECT range AS i, CAST(range AS BIGINT) AS c FROM range(256))"]
+    rounds += [f"r{k} AS (SELECT i, {step} AS c FROM r{k - 1})" for k in range(1, 9)]
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS w FROM documents),
+b AS (SELECT {words} AS w FROM benchmark),
+spelled AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+{', '.join(rounds)},
+bytes AS (SELECT word, hex(encode(word)) AS x FROM spelled),
+hashed AS (
+  SELECT word, xor(list_reduce(
+      list_transform(range(0, len(x) // 2), lambda i: CAST(CAST('0x' || x[2 * i + 1:2 * i + 2] AS INT) AS BIGINT)),
+      lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % {p.buckets} AS bucket
+  FROM bytes, (SELECT list(c ORDER BY i) AS t FROM r8)
+),
+of_documents AS (SELECT bucket, count(*) AS s FROM (SELECT unnest(w) AS word FROM d) JOIN hashed USING (word) GROUP BY bucket),
+of_target AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS word FROM b) JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT sum(len(w)) FROM d) AS all_s, coalesce((SELECT sum(len(w)) FROM b), 0) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(all_s + {p.buckets} AS DOUBLE))
+    / (CAST(s + 1 AS DOUBLE) * CAST(all_t + {p.buckets} AS DOUBLE)))) AS BIGINT) AS gain
+  FROM of_documents LEFT JOIN of_target USING (bucket), totals
+),
+summed AS (
+  SELECT doc_id, sum(gain) AS gain FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+),
+weighed AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(floor(CAST(gain AS DOUBLE) / len(w)), 0) AS BIGINT) AS weight,
+    CAST('0x' || sha256('{p.seed}:' || doc_id)[1:8] AS BIGINT) AS h
+  FROM d LEFT JOIN summed USING (doc_id)
+),
+scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weighed),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= {p.least_words}
+)
+SELECT doc_id, n_features, weight, score, rank
+FROM scored LEFT JOIN (SELECT * FROM drawn WHERE rank <= (SELECT {p.percent} * count(*) // 100 FROM drawn)) USING (doc_id)"""
+
+
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {"op6_chat_format": _chat_sql(), "op8_mixing": _mixing_sql()}
+SQL: dict[str, str] = {
+    "op6_chat_format": _chat_sql(), "op8_mixing": _mixing_sql(), "op11_collocations": _collocations_sql(), "op12_resampling": _resampling_sql(),
+}
