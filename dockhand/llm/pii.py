@@ -12,15 +12,22 @@ Defined cases: a null text stays null; an empty one stays empty.  At one place t
 KINDS that validates wins; values found don't overlap.  Of cards, IBANs and international phones
 all lengths that end with a group are tried, the longest first (the length of its country before
 others), so that what follows a value doesn't hide it.  Repeated rows get the same pseudonyms.
+Other decimal digits of Unicode count as the ASCII digits of their value, which take their place in
+a pseudonym; other letters end a value like punctuation and are never part of one, but for the
+names of e-mail addresses, where they stay.  Work is linear in the text.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
+import ipaddress
 import math
 import re
-from collections.abc import Callable, Iterator
+import sys
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from dockhand.llm import words as W
 from dockhand.llm.store import record
 
 ROUNDS = 8
@@ -109,12 +117,12 @@ def luhn(digits: str) -> int:
 def _spread(shape: str, digits: str) -> str:
     """digits in the places of shape's digits."""
     left = iter(digits)
-    return "".join(next(left) if c.isdigit() else c for c in shape)
+    return "".join(next(left) if c in DIGITS else c for c in shape)
 
 
 def card(m: re.Match, change: Change) -> str | None:
     """Payment card: the first digit stays, the check digit is made anew."""
-    d = re.sub(r"\D", "", m[0])
+    d = "".join(c for c in m[0] if c in DIGITS)
     if d[0] not in "3456" or int(d[-1]) != luhn(d[:-1]):
         return None
     body = d[0] + permute_symbols(d[1:-1], [DIGITS] * (len(d) - 2), change, f"card{d[0]}")
@@ -174,7 +182,7 @@ def date(m: re.Match, change: Change) -> str | None:
 
 def phone(m: re.Match, change: Change) -> str | None:
     """7 to 15 digits; the country code stays."""
-    n = sum(c.isdigit() for c in m[0])
+    n = sum(c in DIGITS for c in m[0])
     if not 7 <= n <= 15:
         return None
     head = m["code"] or ""
@@ -218,11 +226,11 @@ def _iban_size(value: str) -> int | None:
 
 
 def _phone_size(value: str) -> int | None:
-    digits = re.sub(r"\D", "", value[:8])
+    digits = "".join(c for c in value[:8] if c in DIGITS)
     return next((_PHONE_DIGITS[digits[:n]] for n in (1, 2, 3) if digits[:n] in _PHONE_DIGITS), None)
 
 
-_RUN = re.compile(r"[A-Z\d+(). -]{1,80}")  # reaches over the longest IBAN
+_RUN = re.compile(r"[A-Z0-9+(). -]{1,80}")  # reaches over the longest IBAN
 
 
 def _candidates(pattern: re.Pattern, open_end: tuple[Callable, Callable] | None, text: str, start: int) -> Iterator[re.Match]:
@@ -242,20 +250,54 @@ def _candidates(pattern: re.Pattern, open_end: tuple[Callable, Callable] | None,
 # At one place the first kind that validates wins.  With an open end: what may follow, and the
 # number of digits and letters that the value's beginning tells.
 KINDS: tuple[tuple[str, re.Pattern, tuple[Callable, Callable] | None, Callable], ...] = (
-    ("iban", re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]){11,30}"), (_no_letter, _iban_size), iban),
-    ("date", re.compile(r"(?:(?P<iso>\d{4})-(?P<im>\d\d)-(?P<id>\d\d)|(?P<a>\d\d)(?P<sep>[./])(?P<b>\d\d)(?P=sep)(?P<end>\d{4}))(?:(?![\w-])|(?<=-\d\d)(?=[Tt](?:[01]\d|2[0-4])(?::?[0-5]\d|(?!\w))))"), None, date),
-    ("ipv4", re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?![\w-])(?!\.\d)"), None, address),
-    ("ssn", re.compile(r"(\d{3})-(\d\d)-(\d{4})(?![\w-])"), None, social),
-    ("card", re.compile(r"\d(?:[ -]?\d){12,18}"), (_no_word, lambda value: None), card),
-    ("phone", re.compile(r"(?P<code>\+\d{1,3})[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"), (_no_word, _phone_size), phone),
-    ("phone", re.compile(r"(?P<code>)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"), None, phone),
+    ("iban", re.compile(r"[A-Z]{2}[0-9][0-9](?: ?[A-Z0-9]){11,30}"), (_no_letter, _iban_size), iban),
+    ("date", re.compile(r"(?:(?P<iso>[0-9]{4})-(?P<im>[0-9][0-9])-(?P<id>[0-9][0-9])|(?P<a>[0-9][0-9])(?P<sep>[./])(?P<b>[0-9][0-9])(?P=sep)(?P<end>[0-9]{4}))(?:(?![\w-])|(?<=-[0-9][0-9])(?=[Tt](?:[01][0-9]|2[0-4])(?::?[0-5][0-9]|(?!\w))))"), None, date),
+    ("ipv4", re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-])(?!\.[0-9])"), None, address),
+    ("ssn", re.compile(r"([0-9]{3})-([0-9][0-9])-([0-9]{4})(?![\w-])"), None, social),
+    ("card", re.compile(r"[0-9](?:[ -]?[0-9]){12,18}"), (_no_word, lambda value: None), card),
+    ("phone", re.compile(r"(?P<code>\+[0-9]{1,3})[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"), (_no_word, _phone_size), phone),
+    ("phone", re.compile(r"(?P<code>)(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])"), None, phone),
 )
 
-_ANY = re.compile(r"[0-9@]")
-_START = re.compile(r"(?<![\w@.+-])(?:\+\d|\(\d|\d|[A-Z]{2}\d\d)")
-_EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_ANY = re.compile(r"[0-9@=:]|ghp_|gho_|sk[-_]|xox|glpat|AIza")
+_START = re.compile(r"(?<![\w@.+-])(?:\+[0-9]|\([0-9]|[0-9]|[A-Z]{2}[0-9][0-9])")
+_EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _KEY = re.compile(r"(?<![A-Za-z0-9])AKIA([A-Z0-9]{16})(?![A-Za-z0-9])")
-_SECRET = re.compile(r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9/+_.-]{8,})""")
+# Public prefixes of access tokens.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9])(?:gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk_test_|sk-|AIza)([A-Za-z0-9_-]{16,})")
+_SECRET = re.compile(r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)(?P<sign>\s{0,3}[=:]\s{0,3})["']?(?P<value>[^\s"'`,;<>(){}\[\]]{8,})""")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])")
+
+
+def _digit_table() -> dict[int, int]:
+    """Every other decimal digit of Unicode to the ASCII one of its value."""
+    digits = ((c, unicodedata.decimal(chr(c), None)) for c in range(128, sys.maxunicode + 1))
+    return {c: ord("0") + d for c, d in digits if d is not None}
+
+
+_DIGIT_TABLE = _digit_table()
+_OTHER_DIGIT = re.compile("[" + "".join(map(chr, _DIGIT_TABLE)) + "]")
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Values after a word for secrets.  After a plain "=" any value counts, elsewhere prose may
+    follow and the value must hold a digit."""
+    for m in _SECRET.finditer(text):
+        value = m["value"].rstrip(".!?:")
+        if len(value) >= 8 and (m["sign"] == "=" or any(c in DIGITS for c in value)):
+            yield m.start("value"), m.start("value") + len(value)
+
+
+def wide_address(text: str, change: Change) -> str | None:
+    """IPv6: any address to any other.  Fewer than three written groups, as in `a::b`, are as
+    likely to be something else and stay."""
+    if sum(map(bool, text.split(":"))) < 3:
+        return None
+    try:
+        at = ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    return str(ipaddress.IPv6Address(change(int(at), 1 << 128, "ipv6")))
 
 
 def _hidden(value: str, change: Change, kind: str) -> str:
@@ -265,25 +307,49 @@ def _hidden(value: str, change: Change, kind: str) -> str:
     return alike(value, change, kind)
 
 
+class _Spans:
+    """Places in a text, united where they overlap."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect.bisect_left(self.starts, b) - 1  # the last span that begins before b
+        return i >= 0 and self.ends[i] > a
+
+
 def find(text: str, change: Change) -> list[tuple[str, int, int, str]]:
     """kind, start, end and pseudonym of all that is found, in order."""
-    if not _ANY.search(text):
+    other = not text.isascii() and _OTHER_DIGIT.search(text)
+    if not other and not _ANY.search(text):
         return []
+    if other:
+        text = text.translate(_DIGIT_TABLE)  # one character each, so places stay
     found: list[tuple[str, int, int, str]] = []
     if "@" in text:
         found += [("email", m.start(), m.start() + m[0].index("@"), alike(m[0][: m[0].index("@")], change, "email")) for m in _EMAIL.finditer(text)]
     if "AKIA" in text:
         found += [("access_key", *m.span(1), alike(m[1], change, "akia")) for m in _KEY.finditer(text)]
+    found += [("access_token", *m.span(1), alike(m[1], change, "token")) for m in _TOKEN.finditer(text)]
     if "=" in text or ":" in text:
-        found += [("secret", *m.span(1), _hidden(m[1], change, "secret")) for m in _SECRET.finditer(text) if any(c.isdigit() for c in m[1])]
-    taken = sorted((a, b) for _, a, b, _ in found)
+        found += [("secret", a, b, _hidden(text[a:b], change, "secret")) for a, b in _secrets(text)]
+    if text.count(":") > 1:
+        found += [("ipv6", *m.span(), new) for m in _IPV6.finditer(text) if (new := wide_address(m[0], change)) is not None]
+    taken = _Spans((a, b) for _, a, b, _ in found)
     at = 0
     while m := _START.search(text, at):
         at = m.start() + 1
         tried = ((kind, hit, replace) for kind, pattern, open_end, replace in KINDS for hit in _candidates(pattern, open_end, text, m.start()))
         for kind, hit, replace in tried:
             if (new := replace(hit, change)) is not None:
-                if not any(a < hit.end() and hit.start() < b for a, b in taken):
+                if not taken.meets(*hit.span()):
                     found.append((kind, *hit.span(), new))
                 at = hit.end()
                 break
@@ -312,7 +378,7 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", found: str | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = permutation(key)
-        for batch in batches:
+        for batch in W.sliced(batches, place):
             new, hits = [], []
             for value in batch.column(place):
                 value = value.as_py()
