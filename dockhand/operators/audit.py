@@ -8,12 +8,16 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from dockhand.session import small_table
+from dockhand.session import bounded_broadcast, small_table
 
 logger = logging.getLogger(__name__)
 
 LOADED = "geladen"
 
+# Wording of the reasons why a repeated delivery is refused.
+REPEATED_BEFORE = "Inhalt wurde bereits geladen: {} am "
+REPEATED_HERE = "Inhalt gleicht {} derselben Lieferung"
+
 # Columns of the audit table.
 AUDIT_SCHEMA = (
     "id bigint, zeitstempel string, dateiname string, dateihash string, quelle string, "
@@ -81,6 +85,31 @@ def not_yet_loaded(incoming: DataFrame, runs: DataFrame, hash_column: str = "dat
     )
 
 
+def repeated(
+    files: DataFrame, runs: DataFrame, run_id: str, index_bytes: int = 0
+) -> DataFrame:
+    """(file, reason) of the files whose content was loaded by another run, or which repeat an
+    earlier one of the same delivery.
+
+    ``files``: file, name, file_seq, dateihash.  Of the history only runs of these contents take
+    part, so its size costs a scan and no shuffle of it where the delivery can be broadcast.
+    """
+    hashes = files.select("dateihash").distinct()
+    loaded = runs.filter((F.col("status") == LOADED) & (F.col("run_id") != run_id))
+    loaded = loaded.join(bounded_broadcast(hashes, index_bytes), "dateihash", "left_semi")
+    before = loaded.groupBy("dateihash").agg(F.min_by(F.struct("dateiname", "zeitstempel"), "id").alias("before"))
+    first = files.groupBy("dateihash").agg(F.min(F.struct("file_seq", "name")).alias("first"))
+    earlier = F.when(
+        F.col("first.file_seq") < F.col("file_seq"), F.replace(F.lit(REPEATED_HERE), F.lit("{}"), F.col("first.name"))
+    )
+    ever = F.when(
+        F.col("before").isNotNull(),
+        F.concat(F.replace(F.lit(REPEATED_BEFORE), F.lit("{}"), F.col("before.dateiname")), F.col("before.zeitstempel")),
+    )
+    found = files.join(first, "dateihash").join(before, "dateihash", "left")
+    return found.select("file", F.coalesce(ever, earlier).alias("reason")).filter("reason is not null")
+
+
 def run_stats(runs: DataFrame) -> DataFrame:
     """Files per status."""
     return runs.groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))

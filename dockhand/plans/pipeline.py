@@ -23,8 +23,8 @@ from dockhand.catalog import Catalog, SourceDef, refused_patterns
 from dockhand.functions.text import file_name
 from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
-from dockhand.operators.tables import APPEND, REPLACE, SnapshotTable
-from dockhand.session import configure, new_work_folder, small_table
+from dockhand.operators.tables import APPEND, ConcurrentChange, SnapshotTable
+from dockhand.session import bounded_broadcast, configure, new_work_folder, small_table
 from dockhand.sources import archive, delivery, quoting
 from dockhand.sources.encoding import decode_as, decode_by, effective_encoding
 
@@ -35,6 +35,8 @@ LOADED = "geladen"
 INVALID = "abgelehnt_ungueltig"
 KEY_CONFLICT = "abgelehnt_pk_konflikt"
 LOAD_ERROR = "abgelehnt_ladefehler"
+# Added here: the content of the file was loaded before.
+REPEATED = "abgelehnt_wiederholt"
 
 # Reasons of refusals.
 REFUSED_NAME = "Datei nicht lesbar: Name beginnt mit '_'"
@@ -47,6 +49,8 @@ LOAD_FAILED = "Fehler beim Laden: {}"
 SCANS_BEFORE_ROUTING = 3
 # Jobs of different sources run side by side, so a small one does not leave executors idle.
 PARALLEL_SOURCES = 4
+# A load starts anew if another run has changed the buckets it had read.
+LOAD_ATTEMPTS = 5
 
 
 @dataclass(frozen=True)
@@ -122,7 +126,11 @@ class ImportEngine:
         user_mode: str = "batch",
         jdbc: dict[str, str] | None = None,
         checked: dict[str, list[str]] | None = None,
+        refuse_repeats: bool | None = None,
     ) -> None:
+        """``refuse_repeats``: whether a file whose content was loaded before is refused.  If not
+        said, files for tables without a key are: a key settles repeated rows, without one they
+        would double."""
         self.spark = configure(spark)
         # Sources whose patterns the JVM refuses are left out; they don't stop the others.
         self.refused = refused_patterns(self.spark, catalog.values()) if checked is None else checked
@@ -135,11 +143,13 @@ class ImportEngine:
         self.load_time = load_time or datetime.now()
         self.user_mode = user_mode
         self.jdbc = jdbc
+        self.refuse_repeats = refuse_repeats
 
     def at(self, load_time: datetime) -> ImportEngine:
         """The same engine with another load time."""
         return ImportEngine(
-            self.spark, self.catalog, self.store, load_time, self.user_mode, self.jdbc, self.refused
+            self.spark, self.catalog, self.store, load_time, self.user_mode, self.jdbc, self.refused,
+            self.refuse_repeats,
         )
 
     # --- prepare -----------------------------------------------------------------
@@ -236,7 +246,7 @@ class ImportEngine:
                 "score": F.when(~told, F.col("score")),
                 "reason": F.when(told, F.col("why")).otherwise(F.col("reason")),
             }).drop("why")
-        decisions = self._saved(decisions, f"{folder}/decisions")
+        decisions = self._saved(self._without_repeats(landing, decisions, run_id), f"{folder}/decisions")
         accepted = decisions.filter(F.col("decision") == classify.ACCEPTED)
         names = sorted(r["source"] for r in accepted.select("source").distinct().collect())
         sources = tuple(self.catalog[n] for n in names)
@@ -251,6 +261,25 @@ class ImportEngine:
             self._saved(outcome, f"{folder}/outcome"), staged, self.spark, pieces,
         )
 
+    def _without_repeats(self, landing, decisions: DataFrame, run_id: str) -> DataFrame:
+        """Decisions in which files of contents that were loaded before are refused."""
+        names = [s.name for s in self.catalog.values() if self._refuses_repeats(s)]
+        if not names:
+            return decisions
+        mine = (F.col("decision") == classify.ACCEPTED) & F.col("source").isin(names)
+        files = landing.files.filter("n_lines > 0").select("file", "name", "file_seq", "dateihash")
+        files = files.join(decisions.filter(mine).select("file"), "file")
+        runs = audit.read_runs(self.spark, f"{self.store}/import_runs")
+        found = audit.repeated(files, runs, run_id, landing.index_bytes).withColumnRenamed("reason", "why")
+        told = F.col("why").isNotNull()
+        return decisions.join(found, "file", "left").withColumns({
+            "decision": F.when(told, F.lit(REPEATED)).otherwise(F.col("decision")),
+            "reason": F.when(told, F.col("why")).otherwise(F.col("reason")),
+        }).drop("why")
+
+    def _refuses_repeats(self, source: SourceDef) -> bool:
+        return not source.zielsystem.upsert_key if self.refuse_repeats is None else self.refuse_repeats
+
     def _saved(self, frame: DataFrame, path: str) -> DataFrame:
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
@@ -282,19 +311,17 @@ class ImportEngine:
             if files.isEmpty():
                 continue
             lines = landing.lines.join(
-                delivery.bounded_broadcast(files, landing.index_bytes), "file", "left_semi"
+                bounded_broadcast(files, landing.index_bytes), "file", "left_semi"
             )
             as_text = lines.select(
                 "file", "block", "rid", F.decode("raw", "ISO-8859-1").alias("line")
             )
-            numbered = self._saved(
-                quoting.number_records(as_text, delimiter), f"{folder}/numbered-{i}"
-            )
+            numbered = quoting.number_records(as_text, delimiter)
             widths = tuple(sorted({s.width for s in self.catalog.values() if s.datei.trennzeichen == delimiter}))
-            records = quoting.join_lines(numbered, delimiter, widths).select(
+            long = self._saved(quoting.long_records(numbered, delimiter, widths), f"{folder}/long-{i}")
+            records = quoting.join_lines(numbered, delimiter, widths, long).select(
                 "file", "nr", F.encode("line", "ISO-8859-1").alias("raw")
             )
-            long = self._saved(quoting.long_records(numbered), f"{folder}/long-{i}")
             if not long.isEmpty():
                 lines = quoting.pieces(numbered, long).withColumn("line", F.encode("line", "ISO-8859-1"))
                 lines = lines.withColumnRenamed("line", "raw").withColumn("delimiter", F.lit(delimiter))
@@ -306,7 +333,7 @@ class ImportEngine:
         rows = max(s.klassifikation.stichprobe_zeilen for s in self.catalog.values())
         heads = delivery.head_lines(landing, rows)
         encodings = files.select("file", delivery.file_encoding().alias("detected"))
-        side = delivery.bounded_broadcast(encodings, landing.index_bytes)
+        side = bounded_broadcast(encodings, landing.index_bytes)
         cut = self._cut(heads.join(side, "file"))
         for delimiter, records in spanning.items():
             i = self.catalog.delimiters().index(delimiter)
@@ -360,7 +387,7 @@ class ImportEngine:
                 lines = routed.filter(F.col("source") == source.name).drop("source")
             records = spanning.get(source.datei.trennzeichen)
             if records is not None:
-                side = delivery.bounded_broadcast(mine.filter("spans"), landing.index_bytes)
+                side = bounded_broadcast(mine.filter("spans"), landing.index_bytes)
                 lines = lines.filter(~F.col("spans")).unionByName(records.join(side, "file"))
             self._stage_source(lines, source, folder)
 
@@ -446,8 +473,9 @@ class ImportEngine:
         return results
 
     def table(self, source: SourceDef) -> SnapshotTable:
+        target = source.zielsystem
         return SnapshotTable(
-            self.spark, f"{self.store}/tables", source.zielsystem.tabelle, source.target_schema()
+            self.spark, f"{self.store}/tables", target.tabelle, source.target_schema(), target.upsert_key
         )
 
     def _load(self, prepared: Prepared) -> DataFrame:
@@ -489,30 +517,34 @@ class ImportEngine:
         table = self.table(source)
         run_id = f"{prepared.run_id}-{source.name}"
         key = list(target.upsert_key)
-        before = table.read(before_run=run_id)
-        if key and target.pk_konflikt == "skip":
-            written = table.write_part(load.rows_to_skip_load(rows, before, key).drop("nr"), run_id)
-            kept = written.groupBy("file_seq").agg(F.count(F.lit(1)).alias("loaded"))
-            effect = ready.join(kept, "file_seq", "left").withColumn(
-                "loaded", F.coalesce("loaded", F.lit(0))
-            )
-            effect = _effect(effect, F.col("loaded"), F.col("rows_good") - F.col("loaded"))
-            table.publish(run_id, APPEND)
-        elif key and target.pk_konflikt == "update":
-            incoming = load.rows_to_update_load(rows, key).select(*source.target_fields())
-            merged = load.rows_kept(before, incoming, key).unionByName(incoming)
-            table.write_part(merged, run_id)
-            table.publish(run_id, REPLACE)
-            effect = _effect(ready, F.col("rows_good"))
-        elif key:
-            effect = self._load_or_reject(prepared, source, rows, ready, table, before, run_id)
-        else:
+        for attempt in range(LOAD_ATTEMPTS):
+            try:
+                return self._load_table(prepared, source, rows, ready, table, key, run_id)
+            except ConcurrentChange:
+                if attempt == LOAD_ATTEMPTS - 1:
+                    raise
+        raise AssertionError("not reached")
+
+    def _load_table(self, prepared, source, rows, ready, table, key, run_id) -> DataFrame:
+        mode = source.zielsystem.pk_konflikt
+        if not key:
             table.write_part(rows.drop("nr"), run_id)
             table.publish(run_id, APPEND)
-            effect = _effect(ready, F.col("rows_good"))
-        return effect
-
-    def _load_or_reject(self, prepared, source, rows, ready, table, before, run_id) -> DataFrame:
+            return _effect(ready, F.col("rows_good"))
+        if mode == "update":
+            table.merge(load.rows_to_update_load(rows, key).select(*source.target_fields()), run_id)
+            return _effect(ready, F.col("rows_good"))
+        seen = table.state(before_run=run_id)
+        before = table.rows(seen, table.buckets_of(rows)).select(*key)
+        if mode == "reject":
+            return self._load_or_reject(prepared, source, rows, ready, table, before, run_id, seen)
+        written = table.write_part(load.rows_to_skip_load(rows, before, key).drop("nr"), run_id)
+        kept = written.groupBy("file_seq").agg(F.count(F.lit(1)).alias("loaded"))
+        effect = ready.join(kept, "file_seq", "left").withColumn("loaded", F.coalesce("loaded", F.lit(0)))
+        table.publish(run_id, APPEND, seen=seen)
+        return _effect(effect, F.col("loaded"), F.col("rows_good") - F.col("loaded"))
+
+    def _load_or_reject(self, prepared, source, rows, ready, table, before, run_id, seen) -> DataFrame:
         key = list(source.zielsystem.upsert_key)
         folder = f"{prepared.folder}/reject-{source.name}"
         found = load.reject_verdicts(
@@ -529,7 +561,7 @@ class ImportEngine:
         )
         clean = effect.filter("conflicts = 0 and failure is null").select("file_seq")
         table.write_part(rows.join(clean, "file_seq", "left_semi").drop("nr"), run_id)
-        table.publish(run_id, APPEND)
+        table.publish(run_id, APPEND, seen=seen)
         return effect
 
     def _load_jdbc(self, rows: DataFrame, source: SourceDef, ready: DataFrame) -> DataFrame:
@@ -579,10 +611,8 @@ class ImportEngine:
             status = F.when(condition, value).otherwise(status)
             reason = F.when(condition, text).otherwise(reason)
         joined = prepared.outcome.join(effects, "file_seq", "left")
-        if hashes is not None:
-            joined = joined.join(hashes, "file", "left")
-        else:
-            joined = joined.withColumn("dateihash", F.lit(None).cast("string"))
+        own = prepared.files.select("file", "dateihash") if hashes is None else hashes
+        joined = joined.join(own, "file", "left")
         return joined.select(
             "file", "file_seq", F.col("name").alias("dateiname"), "dateihash",
             F.col("source").alias("quelle"), "score", status.alias("status"),

@@ -6,7 +6,9 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -23,6 +25,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A side table is broadcast only below this measured size; above it the join shuffles.
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def bounded_broadcast(side: DataFrame, size: int) -> DataFrame:
+    """Broadcast a side table of measured size, or leave it to a shuffled join."""
+    return F.broadcast(side) if size <= BROADCAST_LIMIT_BYTES else side
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for working tables: the one the cluster names, a local one in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +51,36 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def publish_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish a small file at once and only if there is none of its name; False if there is.
+
+    The text is written beside it and then takes the name: by a hard link on local disks, by a
+    rename elsewhere, which must not replace files (as on HDFS; plain object stores can't do that)."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = target.getParent()
+    written = jvm.org.apache.hadoop.fs.Path(f"{folder}-unpublished/{uuid.uuid4().hex}")
+    out = fs.create(written)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.mkdirs(folder)
+    try:
+        if fs.getUri().getScheme() != "file":
+            return not fs.exists(target) and fs.rename(written, target)
+        local = lambda x: jvm.java.io.File(x.toUri().getPath()).toPath()
+        jvm.java.nio.file.Files.createLink(local(target), local(written))
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(written, False)
+
+
 def small_table(
     spark: SparkSession, rows: list[tuple], schema: str | T.StructType
 ) -> DataFrame:

@@ -26,11 +26,7 @@ from pyspark.sql.window import Window
 from dockhand.functions.text import file_name
 from dockhand.sources.encoding import detected_encoding, undecodable
 from dockhand.sources.quoting import leaves_open
-from dockhand.session import small_table
-
-# A side table is broadcast only below this measured size; above it the join shuffles.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
+from dockhand.session import bounded_broadcast, small_table
 
 _WILD = re.compile(r"([*?{}\[\]\\])")
 
@@ -43,7 +39,7 @@ class Landing:
 
     lines: DataFrame  # file, block, rid, raw (BINARY), evidence flags
     blocks: DataFrame  # file, block, n, first_rid, start: one row per file split
-    files: DataFrame  # file, name, file_seq, n_lines, all_utf8, all_cp1252, spans_<i>
+    files: DataFrame  # file, name, file_seq, n_lines, dateihash, all_utf8, all_cp1252, spans_<i>
     index_bytes: int  # measured size of ``blocks``
 
 
@@ -51,7 +47,7 @@ class Landing:
 class Inbox:
     """One listing of an inbox: what Spark reads of it, and the files it must refuse."""
 
-    text: DataFrame | None  # text scan; may reach into subfolders, so see ``paths``
+    text: DataFrame | None  # text scan
     paths: list[str]  # files of the inbox itself, in the order of their names
     hidden: list[str]  # files that Spark's readers pass over
 
@@ -76,7 +72,10 @@ def open_inbox(spark: SparkSession, folder: str, before: datetime | None = None)
         raise
     listed, root = _listed(spark, folder)
     listed = [f for f in listed if _name(f[0]).startswith("_")]
-    paths = sorted((p for p in text.inputFiles() if root is None or _parent(p) == root), key=_name)
+    every = text.inputFiles()
+    paths = sorted((p for p in every if root is None or _parent(p) == root), key=_name)
+    if len(paths) < len(every):  # folders in it: read the files of the inbox alone
+        text = _text_of(spark, [unquote(p) for p in paths])
     limit = None if before is None else before.timestamp() * 1000
     hidden = sorted((p for p, changed, _ in listed if limit is None or changed < limit), key=_name)
     return Inbox(text, paths, hidden)
@@ -88,10 +87,17 @@ def open_files(spark: SparkSession, folder: str, names: list[str]) -> Inbox:
     own = [n for n in names if root is None or unquote(_parent(_plain(n))) == unquote(root)]
     if not own:
         return Inbox(None, [], [])
-    text = spark.read.option("recursiveFileLookup", True).text([_WILD.sub(r"\\\1", n) for n in own])
+    text = _text_of(spark, own)
     return Inbox(text, sorted(text.inputFiles(), key=_name), [])
 
 
+def _text_of(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """Text scan of these files and no others."""
+    if not paths:
+        return None
+    return spark.read.option("recursiveFileLookup", True).text([_WILD.sub(r"\\\1", p) for p in paths])
+
+
 def unread_files(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
     """Files that no scan shows, as they are empty, and those whose names begin with '_'."""
     listed = _listed(spark, folder)[0]
@@ -138,11 +144,7 @@ def raw_lines(inbox: Inbox) -> DataFrame | None:
     """Lines of the files of an inbox with their split and rising id."""
     if inbox.text is None:
         return None
-    own = inbox.text
-    if len(own.inputFiles()) > len(inbox.paths):
-        parents = {_parent(p) for p in inbox.paths}
-        own = own.filter(F.regexp_replace(F.input_file_name(), "/[^/]*$", "").isin(*parents) if parents else F.lit(False))
-    return own.select(
+    return inbox.text.select(
         F.input_file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),
@@ -158,6 +160,9 @@ def with_evidence(lines: DataFrame, delimiters: list[str]) -> DataFrame:
         spans_name(i): leaves_open(raw.cast("string"), d) for i, d in enumerate(delimiters)
     }
     return lines.withColumns({
+        # Two marks of the line's bytes; with its number they make up the identity of the file.
+        "mark_a": F.xxhash64(F.lit(1), raw),
+        "mark_b": F.xxhash64(F.lit(2), raw),
         "utf8_ok": ~bad_utf8,
         "cp1252_ok": F.when(bad_utf8, ~undecodable(raw, "cp1252")).otherwise(True),
         **spans,
@@ -207,27 +212,43 @@ def land(
         F.bool_and("cp1252_ok").alias("all_cp1252"),
         *(F.bool_or(f).alias(f) for f in flags),
     )
-    listed = files.join(per_file, "file", "left").select(
+    size = blocks.agg(F.sum(F.length("file") + F.lit(64)).alias("size")).first()["size"] or 0
+    identity = content_identity(lines, blocks, size)
+    listed = files.join(per_file, "file", "left").join(identity, "file", "left").select(
         "file",
         file_name(F.col("file")).alias("name"),
         "file_seq",
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        F.coalesce("dateihash", _identity_text(F.lit(0), F.lit(0), F.lit(0))).alias("dateihash"),
         F.coalesce("all_utf8", F.lit(True)).alias("all_utf8"),
         F.coalesce("all_cp1252", F.lit(True)).alias("all_cp1252"),
         *(F.coalesce(f, F.lit(False)).alias(f) for f in flags),
     )
     listed.write.mode("overwrite").parquet(f"{folder}/files")
-    size = blocks.agg(F.sum(F.length("file") + F.lit(64)).alias("size")).first()["size"] or 0
     return Landing(lines, blocks, spark.read.parquet(f"{folder}/files"), size)
 
 
-def undecodable_name(encoding: str) -> str:
-    return "undecodable_" + encoding.replace("-", "_")
+def content_identity(lines: DataFrame, blocks: DataFrame, index_bytes: int) -> DataFrame:
+    """(file, dateihash): an identity of what a file holds, whatever its name.
+
+    Every line gives a mark that depends on its bytes and its number; marks are combined in any
+    order, so splits, tasks and the size of a file play no part, and members of archives have an
+    identity too.  Files are equal if they have the same lines: line ends and a byte order mark
+    don't count.  Two sums of 64 bits tell files apart that differ by accident; they are no
+    protection against files made to collide.
+    """
+    side = bounded_broadcast(blocks.select("file", "block", "first_rid", "start"), index_bytes)
+    marks = lines.select("file", "block", "rid", "mark_a", "mark_b").join(side, ["file", "block"])
+    sums = [F.bit_xor(F.xxhash64(line_number(), F.col(m))) for m in ("mark_a", "mark_b")]
+    return marks.groupBy("file").agg(_identity_text(F.count(F.lit(1)), *sums).alias("dateihash"))
+
 
+def _identity_text(n: Column, a: Column, b: Column) -> Column:
+    return F.sha2(F.concat_ws(":", n.cast("string"), F.hex(a.cast("bigint")), F.hex(b.cast("bigint"))), 256)
 
-def bounded_broadcast(side: DataFrame, size: int) -> DataFrame:
-    """Broadcast a side table of measured size, or leave it to a shuffled join."""
-    return F.broadcast(side) if size <= BROADCAST_LIMIT_BYTES else side
+
+def undecodable_name(encoding: str) -> str:
+    return "undecodable_" + encoding.replace("-", "_")
 
 
 def number_lines(landing: Landing, files: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:

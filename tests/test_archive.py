@@ -1,4 +1,6 @@
 import io
+import re
+import struct
 import zipfile
 
 import pytest
@@ -8,6 +10,8 @@ from dockhand.catalog import Catalog
 from dockhand.plans.pipeline import ImportEngine
 from dockhand.sources import archive
 
+METHODS = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)
+
 
 def zipped(*entries):
     buffer = io.BytesIO()
@@ -62,7 +66,82 @@ def test_flat_nested_and_refused(expanded):
 def test_lines_survive_chunk_borders(monkeypatch):
     monkeypatch.setattr(archive, "_CHUNK", 3)
     for text in (b"ab\r\ncd\r\n", b"a\rb\r\r\nc", b"\n\n\r\nx", b"abc\rdef", b"ab\r"):
-        assert list(archive._lines(io.BytesIO(text))) == text.splitlines(), text
+        for size in (1, 2, 3, 100):
+            pieces = (text[i : i + size] for i in range(0, len(text), size))
+            chunks = list(archive._chunks(pieces))
+            assert [line for c in chunks for line in re.split(b"\r\n|\n|\r", c)] == text.splitlines(), (text, size)
+
+
+def flipped(data, member):
+    """Some bytes of a packed member changed."""
+    info = zipfile.ZipFile(io.BytesIO(data)).getinfo(member)
+    at = info.header_offset + 30 + len(member) + info.compress_size // 2
+    return data[:at] + bytes(b ^ 0x5A for b in data[at : at + 8]) + data[at + 8 :]
+
+
+def test_any_damage_is_an_error_of_its_archive(expanded):
+    long = ("a.csv", "".join(f"{i}|{i * i}\n" for i in range(3000)))
+    whole = zipped(long, ("b.csv", "b\n"))
+    encrypted = bytearray(whole)
+    at = encrypted.index(b"PK\x01\x02")
+    encrypted[at + 8] |= 1
+    unknown = bytearray(whole)
+    unknown[at + 10 : at + 12] = struct.pack("<H", 99)
+    lying = bytearray(whole)
+    lying[at + 24 : at + 28] = struct.pack("<I", 100)
+    out = expanded(
+        whole=whole, flipped=flipped(whole, "a.csv"), encrypted=bytes(encrypted), unknown=bytes(unknown), lying=bytes(lying),
+        inner=zipped(("in.zip", flipped(whole, "a.csv")), ("c.csv", "c\n")), none=None,
+    ).cache()
+    failed = {r["archive"]: r["error"] for r in archive.failures(out).collect()}
+    assert set(failed) == {"flipped", "encrypted", "unknown", "lying", "inner", "none"}
+    assert "encrypted" in failed["encrypted"] and "99" in failed["unknown"] and "more than the 100 bytes" in failed["lying"]
+    assert {r["file"] for r in archive.members(out).collect()} == {"whole/a.csv", "whole/b.csv"}
+    assert archive.lines(out).count() == 3001
+
+
+def test_equal_names_and_all_methods(spark, expanded):
+    buffer = io.BytesIO()
+    text = "".join(f"line {i} of a file that is packed in its own way\n" for i in range(50_000))
+    with zipfile.ZipFile(buffer, "w") as z, pytest.warns(UserWarning, match="Duplicate name"):
+        for method in METHODS:
+            z.writestr("a.csv", f"{method}\n{text}", method)
+        z.writestr("plain", "x")
+        z.writestr("plain", "y\n\nz")
+    out = expanded(x=buffer.getvalue()).cache()
+    names = {r["member"]: r["size"] for r in archive.members(out).collect()}
+    assert set(names) == {"a.csv", "a~2.csv", "a~3.csv", "a~4.csv", "plain", "plain~2"}
+    lines = archive.lines(out)
+    assert {r["raw"].decode() for r in lines.filter("file like 'x/a%' and block = 0 and rid = 0").collect()} == {str(m) for m in METHODS}
+    assert lines.count() == 4 * 50_001 + 1 + 3
+    per_file = {r["file"]: r["n"] for r in lines.filter("file like 'x/a%'").selectExpr("file", "md5(raw) as m").distinct().groupBy("file").count().withColumnRenamed("count", "n").collect()}
+    assert set(per_file.values()) == {50_001}
+
+
+def test_limits_are_parameters(spark):
+    rows = spark.createDataFrame([("deep", nested(2)), ("large", zipped(("a.csv", "x" * 1000)))], "path string, content binary")
+    assert archive.failures(archive.expand(rows)).count() == 0
+    assert {r["archive"] for r in archive.failures(archive.expand(rows, max_depth=1)).collect()} == {"deep"}
+    assert {r["archive"] for r in archive.failures(archive.expand(rows, max_bytes=999)).collect()} == {"large"}
+
+
+def test_line_longer_than_a_value(expanded, monkeypatch):
+    monkeypatch.setattr(archive, "_CHUNK", 8)
+    monkeypatch.setattr(archive, "MAX_LINE_BYTES", 64)
+    assert list(archive._chunks(iter([b"x" * 10] * 6))) == [b"x" * 60]
+    with pytest.raises(archive.ArchiveError, match="64 bytes"):
+        list(archive._chunks(iter([b"x" * 10] * 20)))
+
+
+def test_members_of_one_archive_go_to_several_tasks(spark):
+    data = zipped(*((f"{i}.csv", "".join(f"{j * i}\n" for j in range(2000))) for i in range(64)))
+    out = archive.expand(spark.createDataFrame([("x", data)], "path string, content binary"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = out.filter("size is not null").selectExpr("spark_partition_id() as p").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
 
 
 def test_archives_run_through_the_engine(spark, tmp_path, readings):

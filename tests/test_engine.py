@@ -227,24 +227,39 @@ def test_many_sources_are_routed(spark, tmp_path, inbox):
     assert {r["zeilen_geladen"] for r in rows.values()} == {5}
 
 
-def test_endless_quote_costs_one_record(spark, tmp_path, inbox, monkeypatch):
+def test_long_records_are_whole_and_wrong_ones_cost_one_record(spark, tmp_path, inbox, monkeypatch):
     from dockhand.sources import quoting
 
     monkeypatch.setattr(quoting, "MAX_RECORD_CHARS", 100)
     source = make_source("e", [{"name": "k"}, {"name": "v"}], fehler_modus="partiell")
-    inbox("endless.csv", "x|y\n" * 30 + 'a|"never closed\n' + "more|text\n" * 50)
+    inbox("endless.csv", "x|y\n" * 30 + 'a|b|"never closed\n' + "more|text\n" * 50)
     inbox("closed.csv", 'a|"long\n' + "more text\n" * 50 + 'end"\nb|c\n')
     inbox("short.csv", 'a|"two\nlines"\nb|c\n')
     e = engine(spark, tmp_path, source)
     rows = by_name(e.run(inbox.folder, source="e"))
     counts = {n: (r["status"], r["zeilen_gesamt"], r["zeilen_geladen"], r["zeilen_quarantaene"]) for n, r in rows.items()}
     assert counts == {
-        "endless.csv": ("geladen", 31, 30, 1), "closed.csv": ("geladen", 2, 1, 1), "short.csv": ("geladen", 2, 2, 0),
+        "endless.csv": ("geladen", 31, 30, 1), "closed.csv": ("geladen", 2, 2, 0), "short.csv": ("geladen", 2, 2, 0),
     }
+    assert e.table(source).read().filter("k = 'a' and v like 'long%'").first()["v"] == "long\n" + "more text\n" * 50 + "end"
     bad = {r["dateiname"]: r for r in spark.read.parquet(f"{e.store}/quarantine").collect()}
-    assert bad["endless.csv"]["zeile_nr"] == 31 and bad["endless.csv"]["original_zeile"].startswith("Datensatz mit 516 Zeichen")
+    assert bad["endless.csv"]["zeile_nr"] == 31 and bad["endless.csv"]["original_zeile"].startswith("Datensatz mit 518 Zeichen")
+    assert bad["endless.csv"]["fehler_grund"] == "Spaltenanzahl 3 statt 2"
     pieces = spark.read.parquet(f"{e.store}/quarantine_pieces").filter("file like '%endless.csv'").orderBy("block", "rid").collect()
-    assert b"\n".join(r["raw"] for r in pieces).decode() == 'a|"never closed\n' + "more|text\n" * 49 + "more|text"
+    assert b"\n".join(r["raw"] for r in pieces).decode() == 'a|b|"never closed\n' + "more|text\n" * 49 + "more|text"
+
+
+def test_record_beyond_one_value(spark, tmp_path, inbox, monkeypatch):
+    from dockhand.sources import quoting
+
+    monkeypatch.setattr(quoting, "MAX_RECORD_CHARS", 100)
+    monkeypatch.setattr(quoting, "MAX_VALUE_CHARS", 300)
+    source = make_source("e", [{"name": "k"}, {"name": "v"}], fehler_modus="partiell")
+    inbox("a.csv", 'a|"long\n' + "more text\n" * 50 + 'end"\nb|"two\n' + "more text\n" * 12 + 'end"\n')
+    e = engine(spark, tmp_path, source)
+    row = by_name(e.run(inbox.folder, source="e"))["a.csv"]
+    assert (row["zeilen_geladen"], row["zeilen_quarantaene"]) == (1, 1)
+    assert [r["k"] for r in e.table(source).read().collect()] == ["b"]
 
 
 def test_everything_in_an_inbox_has_a_result(spark, tmp_path, inbox, readings):

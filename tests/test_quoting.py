@@ -43,3 +43,19 @@ def test_same_records_as_the_csv_module(spark, seed):
             cells[-1] = cells[-1].rstrip("\n")
             assert [x.rstrip("\n") for x in got[key]] == [x.rstrip("\n") for x in cells], (key, texts[key[0]])
     assert got.keys() == expected.keys()
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_states_do_not_depend_on_runs(spark, seed):
+    """Shuffled lines and blocks of any size give the same numbers."""
+    rng = random.Random(seed)
+    texts = [random_text(rng) for _ in range(40)]
+    whole = [(f, 0, i, line) for f, text in enumerate(texts) for i, line in enumerate(text.split("\n"))]
+    cut = [(f, i // 3, i, line) for f, _, i, line in whole]
+    mixed = rng.sample(cut, len(cut))
+
+    def numbers(rows):
+        frame = spark.createDataFrame(rows, "file int, block int, rid bigint, line string")
+        return sorted((r["file"], r["rid"], r["nr"], r["inside"], r["multi"]) for r in number_records(frame, "|").collect())
+
+    assert numbers(whole) == numbers(cut) == numbers(mixed)

@@ -358,6 +358,22 @@ SELECT {_FIELDS} FROM base b WHERE NOT EXISTS (
 UNION ALL
 SELECT {_FIELDS} FROM delivered WHERE priority IS NULL OR back = 1"""
 
+SQL["keyed_table_update"] = SQL["upsert_update"]
+SQL["keyed_table_skip"] = SQL["upsert_skip"]
+# Files in order: the first of a customer is accepted unless the pair g has been taken by the file before.
+SQL["reject_chain"] = """
+WITH RECURSIVE files AS (SELECT o_orderkey AS f, o_custkey AS c, o_orderkey // 2 AS g, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders),
+walk AS (
+  SELECT 0::BIGINT AS n, -1::BIGINT AS f, [-1::BIGINT] AS customers, -1::BIGINT AS pair, true AS taken
+  UNION ALL
+  SELECT files.n, files.f,
+    CASE WHEN list_contains(walk.customers, files.c) OR walk.pair = files.g THEN walk.customers ELSE list_append(walk.customers, files.c) END,
+    CASE WHEN list_contains(walk.customers, files.c) OR walk.pair = files.g THEN walk.pair ELSE files.g END,
+    NOT (list_contains(walk.customers, files.c) OR walk.pair = files.g)
+  FROM walk JOIN files ON files.n = walk.n + 1
+)
+SELECT CAST(f AS INT) AS file_seq FROM walk WHERE NOT taken"""
+
 
 def _reject() -> str:
     """The seven files settled one after another."""
@@ -475,21 +491,36 @@ UNION ALL {_totals('teile', 'part')}
 UNION ALL SELECT 'orders', 'geladen', count(*), count(*) FILTER (WHERE {_GOOD}), 0,
                  count(*) FILTER (WHERE NOT ({_GOOD})) FROM o"""
 SQL["inbox_stream"] = SQL["inbox_run"]
+SQL["inbox_redelivered"] = """
+SELECT 'erste' AS benutzer_modus, 'geladen' AS status, count(*) AS zeilen_geladen, 0 AS ohne_hash FROM lineitem WHERE l_orderkey % 2 = 0
+UNION ALL SELECT 'zweite', 'abgelehnt_wiederholt', 0, 0
+UNION ALL SELECT 'zweite', 'geladen', count(*), 0 FROM lineitem WHERE l_orderkey % 2 = 1
+UNION ALL SELECT 'tabelle', '', count(*), 0 FROM lineitem"""
+SQL["stream_redelivered"] = SQL["inbox_redelivered"]
 SQL["inbox_loaded_orders"] = SQL["load_good_orders"]
 SQL["archive_expand"] = """
-WITH i AS (
-  SELECT l_orderkey AS k, count(*) AS n, sum(length(concat_ws('|', l_orderkey, l_partkey, l_suppkey,
+WITH l AS (
+  SELECT l_orderkey AS k, concat_ws('|', l_orderkey, l_partkey, l_suppkey,
     l_linenumber, CAST(l_quantity AS DECIMAL(18,2)), CAST(l_extendedprice AS DECIMAL(18,2)),
     CAST(l_discount AS DECIMAL(18,2)), CAST(l_tax AS DECIMAL(18,2)), l_returnflag, l_linestatus,
-    strftime(l_shipdate, '%Y-%m-%d')))) AS chars
-  FROM lineitem GROUP BY l_orderkey
+    strftime(l_shipdate, '%Y-%m-%d')) AS line
+  FROM lineitem
+),
+i AS (
+  SELECT k, count(*) AS n, sum(length(line)) AS chars, sum(CAST('0x' || md5(line)[1:8] AS BIGINT)) AS digest
+  FROM l GROUP BY k
+),
+o AS (
+  SELECT o_orderkey, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)),
+    strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority) AS line
+  FROM orders
 )
-SELECT 'order_' || o_orderkey AS archive, 'orders.csv' AS member,
-       length(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)),
-                        strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority)) AS size, 1 AS n_lines
-FROM orders
+SELECT 'order_' || o_orderkey AS archive, 'orders.csv' AS member, length(line) AS size, 1 AS n_lines,
+       CAST('0x' || md5(line)[1:8] AS BIGINT) AS digest
+FROM o
 UNION ALL
-SELECT 'order_' || o_orderkey, 'teile.zip/items.csv', CAST(coalesce(chars + n - 1, 0) AS BIGINT), coalesce(n, 0)
+SELECT 'order_' || o_orderkey, 'teile.zip/items.csv', CAST(coalesce(chars + n - 1, 0) AS BIGINT), coalesce(n, 0),
+       CAST(coalesce(digest, 0) AS BIGINT)
 FROM orders LEFT JOIN i ON i.k = o_orderkey"""
 SQL["archive_run"] = """
 SELECT 'kunden' AS quelle, 'geladen' AS status, count(*) AS zeilen_gesamt, count(*) AS zeilen_geladen,

@@ -246,9 +246,7 @@ def spanning_records(spark, sf_dir):
     )
     rid = F.col("nr") * 1_000_000 + F.col("pos")
     lines = cut.select("file", "block", rid.alias("rid"), "line")
-    folder = f"{new_work_folder(spark, 'spanning')}/numbered"
-    quoting.number_records(lines, ",").write.parquet(folder)  # once, as the engine does
-    records = quoting.join_lines(spark.read.parquet(folder), ",")
+    records = quoting.join_lines(quoting.number_records(lines, ","), ",")
     return _digest(mapping.import_rows(records, DOCUMENTS, d.LOAD_TIME))
 
 
@@ -394,6 +392,47 @@ def upsert_update(spark, sf_dir):
     return load.rows_kept(base, incoming, KEY).unionByName(incoming)
 
 
+def _loaded_table(spark, sf_dir):
+    """A table of 16 buckets that holds the base, and what is delivered to it."""
+    base, rows = _base_and_delivery(spark, sf_dir)
+    table = SnapshotTable(spark, new_work_folder(spark, "keyed"), "orders", base.schema, KEY, buckets=16)
+    table.write_part(base, "base")
+    table.publish("base", APPEND)
+    return table, rows
+
+
+@query
+def keyed_table_update(spark, sf_dir):
+    """Update load into a table in buckets, read back from its parts."""
+    table, rows = _loaded_table(spark, sf_dir)
+    table.merge(load.rows_to_update_load(rows, KEY).select(*FIELDS), "delivery")
+    return table.read()
+
+
+@query
+def keyed_table_skip(spark, sf_dir):
+    """Skip load into a table in buckets: only the buckets of delivered keys are met."""
+    table, rows = _loaded_table(spark, sf_dir)
+    seen = table.state()
+    met = table.rows(seen, table.buckets_of(rows)).select(*KEY)
+    table.write_part(load.rows_to_skip_load(rows, met, KEY).select(*FIELDS), "delivery")
+    table.publish("delivery", APPEND, seen=seen)
+    return table.read()
+
+
+@query
+def reject_chain(spark, sf_dir):
+    """A file per order of a customer; each shares a key with the next, by order and by customer."""
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    seq = F.col("o_orderkey").cast("int").alias("file_seq")
+    keys = F.explode(F.array(
+        F.concat(F.lit("c"), d.text("o_custkey")),
+        F.concat(F.lit("g"), F.floor(F.col("o_orderkey") / 2).cast("string")),
+    )).alias("k")
+    folder = new_work_folder(spark, "chain")
+    return load.losers(spark, orders.select(seq, keys), ["k"], folder, few=1000)
+
+
 @query
 def upsert_reject(spark, sf_dir):
     """Seven files, each redelivering keys of the one before; one repeats its own keys."""
@@ -579,6 +618,49 @@ def inbox_stream(spark, sf_dir):
     return _totals(audit.read_runs(spark, f"{folder}/store/import_runs"))
 
 
+def _line_items(spark, sf_dir, part: int, folder: str) -> None:
+    """Half of the line items as files, in the same order each time."""
+    rows = d.table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % 2 == part)
+    bucket = F.pmod(F.floor(F.col("l_orderkey") / 2), F.lit(4))
+    ordered = rows.repartition(4, bucket).sortWithinPartitions(bucket, "l_orderkey", "l_linenumber", "l_partkey")
+    ordered.select(F.concat_ws("|", *d.lineitem_cells()).alias("value")).write.mode("append").text(folder)
+
+
+def _deliveries(runs, table):
+    """Loaded rows per status and mode, and the rows of the table in the end."""
+    of_runs = runs.groupBy("benutzer_modus", "status").agg(
+        F.sum("zeilen_geladen").alias("zeilen_geladen"), F.count_if(F.col("dateihash").isNull()).alias("ohne_hash")
+    )
+    rows = table.agg(F.count(F.lit(1)).alias("zeilen_geladen"))
+    return of_runs.unionByName(rows.select(
+        F.lit("tabelle").alias("benutzer_modus"), F.lit("").alias("status"), "zeilen_geladen", F.lit(0).cast("bigint").alias("ohne_hash"),
+    ))
+
+
+@query
+def inbox_redelivered(spark, sf_dir):
+    """Half of the line items, then the same contents under other names beside the other half."""
+    folder = new_work_folder(spark, "redelivered")
+    for turn, parts in (("erste", (0,)), ("zweite", (0, 1))):
+        for part in parts:
+            _line_items(spark, sf_dir, part, f"{folder}/{turn}")
+        engine = ImportEngine(spark, Catalog.of(d.LINEITEM), f"{folder}/store", d.LOAD_TIME, turn)
+        engine.run(f"{folder}/{turn}")
+    return _deliveries(audit.read_runs(spark, f"{folder}/store/import_runs"), engine.table(d.LINEITEM).read())
+
+
+@query
+def stream_redelivered(spark, sf_dir):
+    """The same deliveries one after the other into the folder of a stream."""
+    folder = new_work_folder(spark, "stream-redelivered")
+    for turn, parts in (("erste", (0,)), ("zweite", (0, 1))):
+        for part in parts:
+            _line_items(spark, sf_dir, part, f"{folder}/inbox")
+        engine = ImportEngine(spark, Catalog.of(d.LINEITEM), f"{folder}/store", d.LOAD_TIME, turn)
+        stream_inbox(engine, f"{folder}/inbox", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return _deliveries(audit.read_runs(spark, f"{folder}/store/import_runs"), engine.table(d.LINEITEM).read())
+
+
 def _zip(first: pd.Series, second: pd.Series) -> pd.Series:
     def pack(order: str, items: str) -> bytes:
         inner, outer = io.BytesIO(), io.BytesIO()
@@ -606,10 +688,15 @@ def _order_archives(spark, sf_dir):
 
 @query
 def archive_expand(spark, sf_dir):
-    """Members of nested archives with size and line count."""
+    """Members of nested archives with size, line count and a sum over the digests of their lines."""
     expanded = archive.expand(_order_archives(spark, sf_dir))
-    return expanded.filter("error is null").groupBy("archive", "member").agg(
-        F.max("size").alias("size"), F.count("raw").alias("n_lines")
+    folder = new_work_folder(spark, "expanded")
+    expanded.write.parquet(folder)
+    expanded = spark.read.schema(expanded.schema).parquet(folder)
+    digest = F.conv(F.substring(F.md5("raw"), 1, 8), 16, 10).cast("bigint")
+    found = archive.lines(expanded).groupBy("file").agg(F.count("raw").alias("n_lines"), F.sum(digest).alias("digest"))
+    return archive.members(expanded).join(found, "file", "left").select(
+        "archive", "member", "size", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("digest", F.lit(0)).alias("digest")
     )
 
 
