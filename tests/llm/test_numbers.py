@@ -296,10 +296,57 @@ def model(tokens, boundary, steps):
     seen = y >= 0
     pairs = np.bincount(layout.row[x[seen]].astype(np.int64) * A.CLASSES + layout.cls[y[seen]], minlength=A.ROWS * A.CLASSES)
     made = A.Model.start(layout, np.bincount(y[seen], minlength=boundary + 1).astype(float), pairs.reshape(A.ROWS, A.CLASSES).astype(float), 1)
-    made.train(x, y, first, steps=steps, blocks=32)
+    before, adam, draw = np.concatenate([x[:1], x[:-1]]), A.Adam(max(1, steps)), np.random.default_rng(3)
+    for _ in range(steps):
+        pick = draw.integers(0, len(x), min(32, len(x)))
+        total, n = made.gradient(x[pick], before[pick], y[pick], first[pick])
+        made = adam.step(made, total / n)
     return made
 
 
+def score_of_one_text(made, tokens, boundary):
+    """log probability of each subword, one at a time, with plain sums over classes and keys."""
+    every, out = [boundary, *tokens], []
+    row = made.layout.row
+    for i, target in enumerate([*tokens, boundary]):
+        begin = max(0, (i // A.BLOCK - 1) * A.BLOCK)
+        q = made.q[row[every[i]]]
+        weight = np.array([np.exp(q @ made.k[row[every[j]]] / A.DIM**0.5 + made.near[i - j]) for j in range(begin, i + 1)])
+        value = sum(w * made.v[row[every[j]]] for w, j in zip(weight, range(begin, i + 1), strict=True)) / weight.sum()
+        z = np.exp(value @ made.out + made.bigram[row[every[i]]].astype(float))
+        klass = made.layout.cls[target]
+        out.append(np.log(z[klass] / z.sum()) + made.within[target])
+    return np.array(out)
+
+
+def test_score_against_a_plain_version():
+    rng = np.random.default_rng(4)
+    tokens = np.concatenate([np.tile(rng.integers(0, 80, 9), 20), rng.integers(0, 100, 100)])
+    made = model(tokens, 120, 30)
+    texts = [tokens[:70], tokens[70:70], tokens[70:71], tokens[71:250]]
+    x, y, first, starts = A.blocked(np.concatenate(texts), np.array([len(t) for t in texts]), 120)
+    found = made.log_probabilities(x, y, first)
+    for k, text in enumerate(texts):
+        own = found[starts[k] : starts[k + 1]].reshape(-1)[: len(text) + 1]
+        assert np.allclose(own, score_of_one_text(made, text.tolist(), 120), atol=1e-4)
+
+
+def test_gradient_against_differences():
+    rng = np.random.default_rng(5)
+    tokens = rng.integers(0, 60, 90)
+    made = model(tokens, 120, 5)
+    x, y, first, _ = A.blocked(tokens, np.array([90]), 120)
+    before = np.concatenate([x[:1], x[:-1]])
+    g, n = made.gradient(x, before, y, first)
+    head = made.head().astype(np.float64)
+    loss = lambda h: -made.with_head(h).log_probabilities(x, y, first).sum()
+    for i in np.argsort(-np.abs(g))[:5]:
+        step = np.zeros(len(head))
+        step[i] = 0.01
+        assert (loss(head + step) - loss(head - step)) / 0.02 == pytest.approx(g[i], rel=0.1, abs=0.05)
+    assert n == 91
+
+
 def test_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 80, 9)
