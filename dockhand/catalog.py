@@ -333,7 +333,9 @@ def java_pattern(pattern: str) -> str:
         else:
             out.append(c)
             i += 1
-    return f"(?Ud)^(?:{''.join(out)})"
+    # Only classes written as letters differ between ASCII and Unicode, and testing them costs.
+    flags = "Ud" if re.search(r"\\[wWdDsSbB]|\(\?", pattern) else "d"
+    return f"(?{flags})^(?:{''.join(out)})"
 
 
 def pattern_problems(pattern: str) -> list[str]:

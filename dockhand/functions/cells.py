@@ -141,6 +141,30 @@ def convert(cell: Column, typ: str) -> Column:
     raise ValueError(f"unknown cell type '{typ}'")
 
 
+def typed_value(cell: Column, typ: str) -> Column | None:
+    """The value of a stripped cell, NULL where it does not fit its type (or is an integer of more
+    than 64 bits): test and conversion in one.  None for strings, which are their own value."""
+    if typ == "string":
+        return None
+    if typ == "integer":
+        # Digits written the usual way need no pattern: the number reads as the cell does.
+        value = cell.try_cast("bigint")
+        return F.when((value.cast("string") == cell) | cell.rlike(INTEGER), value)
+    if typ in ("date_dmy", "date_iso"):
+        syntax, zero = (DATE_DMY, F.endswith) if typ == "date_dmy" else (DATE_ISO, F.startswith)
+        return F.when(cell.rlike(syntax) & ~zero(cell, F.lit("0000")), _as_date(cell, typ))
+    return F.when(type_fits(cell, typ), convert(cell, typ))
+
+
+def value_fits(cell: Column, value: Column | None, typ: str) -> Column:
+    """Does a stripped, filled cell fit its type?  ``value`` comes from :func:`typed_value`."""
+    if value is None:
+        return F.lit(True)
+    if typ == "integer":
+        return value.isNotNull() | overflows(cell, typ)
+    return value.isNotNull()
+
+
 def overflows(cell: Column, typ: str) -> Column | None:
     """An integer cell of more than 64 bits; no target column can hold it."""
     if typ != "integer":
@@ -148,20 +172,20 @@ def overflows(cell: Column, typ: str) -> Column | None:
     return (F.length(cell) > 18) & cell.rlike(INTEGER) & cell.try_cast("bigint").isNull()
 
 
-def below_minimum(cell: Column, column: ColumnDef) -> Column | None:
+def below_minimum(cell: Column, column: ColumnDef, value: Column | None = None) -> Column | None:
+    """``value``: the typed value, if it is there already."""
     if column.minimum is None or column.typ not in NUMERIC_TYPES:
         return None
-    return _out_of_range(cell, column, lower=True)
+    return _out_of_range(cell, column, convert(cell, column.typ) if value is None else value, lower=True)
 
 
-def above_maximum(cell: Column, column: ColumnDef) -> Column | None:
+def above_maximum(cell: Column, column: ColumnDef, value: Column | None = None) -> Column | None:
     if column.maximum is None or column.typ not in NUMERIC_TYPES:
         return None
-    return _out_of_range(cell, column, lower=False)
+    return _out_of_range(cell, column, convert(cell, column.typ) if value is None else value, lower=False)
 
 
-def _out_of_range(cell: Column, column: ColumnDef, lower: bool) -> Column:
-    value = convert(cell, column.typ)
+def _out_of_range(cell: Column, column: ColumnDef, value: Column, lower: bool) -> Column:
     bound = column.minimum if lower else column.maximum
     if column.typ != "integer" or math.isinf(bound):
         return (value < F.lit(float(bound))) if lower else (value > F.lit(float(bound)))

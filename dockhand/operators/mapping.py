@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dockhand.catalog import SourceDef
-from dockhand.functions.cells import convert
 from dockhand.functions.derived import DERIVED_FIELDS, LoadContext
-from dockhand.operators.validate import check, good_rows, parse, stripped_name
+from dockhand.operators.validate import check, good_rows, parse, stripped_name, value_name
 
 
 def target_columns(source: SourceDef, load_time: datetime) -> list[Column]:
@@ -20,7 +19,8 @@ def target_columns(source: SourceDef, load_time: datetime) -> list[Column]:
     values: dict[str, Column] = {}
     for rule in source.mapping.regeln:
         c = by_name[rule.quelle]
-        values[rule.ziel] = convert(F.col(stripped_name(c.position)), c.typ)
+        cell = F.nullif(F.col(stripped_name(c.position)), F.lit(""))
+        values[rule.ziel] = cell if c.typ == "string" else F.col(value_name(c.position))
     context = LoadContext(load_time, F.col("file"))
     for d in source.mapping.abgeleitete_felder:
         values[d.ziel] = DERIVED_FIELDS[d.funktion](context)

@@ -32,6 +32,7 @@ from dockhand.session import publish_file, small_table
 
 _LOG = "version int, run_id string, action string, part string, fields string, buckets int, touched array<int>"
 APPEND, REPLACE, MERGE = "append", "replace", "merge"
+PART_OF = "~"  # between the name of a run and that of a part of it
 BUCKET = "_bucket"
 BUCKETS = 32  # of a new table
 KEYLESS = -1  # bucket of rows with an incomplete key
@@ -101,6 +102,14 @@ class SnapshotTable:
     def has_run(self, run_id: str) -> bool:
         return any(e["run_id"] == run_id for e in self._entries())
 
+    def parts_of(self, run_id: str) -> list[str]:
+        """Names of the parts of a run that was split, as far as they are there (see PART_OF)."""
+        return [e["run_id"] for e in self._entries() if e["run_id"].startswith(run_id + PART_OF)]
+
+    def note_path(self, run_id: str) -> str:
+        """Where a run may leave what it did, before it is published."""
+        return f"{self.path}/notes/{run_id}"
+
     # --- read ----------------------------------------------------------------------
 
     def read(self, before_run: str | None = None, buckets: Iterable[int] | None = None) -> DataFrame:

@@ -21,8 +21,11 @@ from dockhand.functions.cells import (
     filled_fits,
     has_odd_space,
     overflows,
+    pattern_fits,
     strip,
     tokenize,
+    typed_value,
+    value_fits,
 )
 
 # Fixed value: errors listed per file in the all-or-nothing report.
@@ -40,6 +43,11 @@ def stripped_name(position: int) -> str:
     return f"_c{position}"
 
 
+def value_name(position: int) -> str:
+    """Name of the working column that holds the typed value; strings have none."""
+    return f"_v{position}"
+
+
 def parse(records: DataFrame, source: SourceDef) -> DataFrame:
     """Records to cells: drops blank records and the header, which still were numbered."""
     rows = records.filter(F.col("line") != "")
@@ -55,11 +63,11 @@ def parse(records: DataFrame, source: SourceDef) -> DataFrame:
 
 
 def check(parsed: DataFrame, source: SourceDef) -> DataFrame:
-    """Add the stripped cells, ``n_errors`` and ``overflow`` to every parsed row.
+    """Add the stripped cells, their typed values, ``n_errors`` and ``overflow`` to every parsed row.
 
-    ``inline`` of one struct keeps the row as it is, but stops the optimizer from copying the
-    tokenizer into every later filter and projection that reads a cell: each cell is cut and
-    stripped once per row.
+    ``inline`` of one struct keeps the row as it is, but stops the optimizer from copying what
+    stands below into every later filter and projection: each cell is cut, stripped and converted
+    once per row, and checks, bounds and mapping use the same value.
     """
     odd_space = F.col("odd_space") if "odd_space" in parsed.columns else None
     stripped = (
@@ -67,6 +75,10 @@ def check(parsed: DataFrame, source: SourceDef) -> DataFrame:
         for c in source.columns
     )
     wide = parsed.select("*", F.inline(F.array(F.struct(*stripped))))
+    values = ((c, typed_value(F.col(stripped_name(c.position)), c.typ)) for c in source.columns)
+    values = [v.alias(value_name(c.position)) for c, v in values if v is not None]
+    if values:
+        wide = wide.select("*", F.inline(F.array(F.struct(*values))))
     per_cell = [_cell_error_count(c) for c in source.columns]
     n_errors = F.when(F.size("cells") != source.width, F.lit(1)).otherwise(
         reduce(lambda a, b: a + b, per_cell)
@@ -75,12 +87,17 @@ def check(parsed: DataFrame, source: SourceDef) -> DataFrame:
 
 
 def _cell_error_count(c: ColumnDef) -> Column:
-    cell = F.col(stripped_name(c.position))
-    bounds = [b for b in (below_minimum(cell, c), above_maximum(cell, c)) if b is not None]
+    cell, value = F.col(stripped_name(c.position)), None if c.typ == "string" else F.col(value_name(c.position))
+    bounds = [b for b in (below_minimum(cell, c, value), above_maximum(cell, c, value)) if b is not None]
     in_range = reduce(lambda a, b: a + b, [b.cast("int") for b in bounds], F.lit(0))
+    fits = value_fits(cell, value, c.typ)
+    if c.muster is not None:
+        fits = fits & pattern_fits(cell, c.muster)
+    if c.typ == "string" and c.muster is None:
+        return F.when(cell == "", F.lit(int(c.pflicht))).otherwise(F.lit(0)) if c.pflicht else F.lit(0)
     return (
         F.when(cell == "", F.lit(int(c.pflicht)))
-        .when(~filled_fits(cell, c), F.lit(1))
+        .when(~fits, F.lit(1))
         .otherwise(in_range)
     )
 
@@ -89,7 +106,7 @@ def _row_overflow(source: SourceDef) -> Column:
     """True when a mapped integer of the row does not fit 64 bits: the file cannot be loaded."""
     mapped = {r.quelle for r in source.mapping.regeln}
     tests = [
-        overflows(F.col(stripped_name(c.position)), c.typ)
+        F.col(value_name(c.position)).isNull() & overflows(F.col(stripped_name(c.position)), c.typ)
         for c in source.columns
         if c.name in mapped and c.typ == "integer"
     ]

@@ -23,7 +23,8 @@ from dockhand.catalog import Catalog, SourceDef, refused_patterns
 from dockhand.functions.text import file_name
 from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
-from dockhand.operators.tables import APPEND, ConcurrentChange, SnapshotTable
+from dockhand.operators.tables import APPEND, PART_OF, ConcurrentChange, SnapshotTable
+from dockhand.plans.isolate import isolate, message
 from dockhand.session import bounded_broadcast, configure, new_work_folder, small_table
 from dockhand.sources import archive, delivery, quoting
 from dockhand.sources.encoding import decode_as, decode_by, effective_encoding
@@ -42,6 +43,7 @@ REPEATED = "abgelehnt_wiederholt"
 REFUSED_NAME = "Datei nicht lesbar: Name beginnt mit '_'"
 REFUSED_ARCHIVE = "Archiv nicht lesbar: {}"
 UNREADABLE_REASON = "Datei nicht lesbar: Kodierung {} passt nicht"
+BROKEN_FILE = "Datei nicht lesbar: {}"
 LOAD_FAILED = "Fehler beim Laden: {}"
 
 # With more matched sources than this, lines are first written apart by source; up to it,
@@ -53,6 +55,10 @@ PARALLEL_SOURCES = 4
 LOAD_ATTEMPTS = 5
 
 
+class LandingFailed(RuntimeError):
+    """The lines of a delivery could not be written; the cause tells why."""
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Result of the side-effect-free half of a run."""
@@ -166,9 +172,35 @@ class ImportEngine:
         """Classify (or take ``source``), validate and map every file of a folder."""
         found = delivery.open_inbox(self.spark, inbox, changed_before)
         refused = {p: REFUSED_NAME for p in found.hidden}
-        return self.prepare_lines(
-            delivery.raw_lines(found), found.paths, source, require_unambiguous, min_lead, run_id, refused
-        )
+        return self.prepare_files(found, found.paths, source, require_unambiguous, min_lead, run_id, refused)
+
+    def prepare_files(
+        self,
+        found: delivery.Inbox,
+        paths: list[str],
+        source: str | None = None,
+        require_unambiguous: bool = False,
+        min_lead: float | None = None,
+        run_id: str | None = None,
+        refused: dict[str, str] | None = None,
+    ) -> Prepared:
+        """Same for the files of an inbox that was opened; ``paths`` may name empty ones besides.
+
+        If they can't be landed, the files that can't be read to their end are refused and the
+        others are landed without them."""
+        options = (source, require_unambiguous, min_lead)
+        run_id = run_id or uuid.uuid4().hex
+        try:
+            return self.prepare_lines(delivery.raw_lines(found), paths, *options, run_id, refused)
+        except LandingFailed as e:
+            read = lambda group: delivery.read_through(self.spark, group)
+            broken = isolate(read, found.paths)[1]
+            if not broken:
+                raise e.__cause__ from None
+        found = delivery.only(self.spark, found, [p for p in found.paths if p not in broken])
+        reasons = {p: BROKEN_FILE.format(why) for p, why in broken.items()}
+        paths = [p for p in paths if p not in broken]
+        return self.prepare_lines(delivery.raw_lines(found), paths, *options, run_id, {**(refused or {}), **reasons})
 
     def prepare_archives(
         self, archives: str | DataFrame, source: str | None = None,
@@ -211,10 +243,13 @@ class ImportEngine:
         folder = new_work_folder(self.spark, f"run-{run_id}")
         refused = refused or {}
         files = delivery.file_table(self.spark, [*paths, *refused])
-        landing = delivery.land(
-            self.spark, raw, files, f"{folder}/landing", self.catalog.delimiters(),
-            self._single_byte_encodings(),
-        )
+        try:
+            landing = delivery.land(
+                self.spark, raw, files, f"{folder}/landing", self.catalog.delimiters(),
+                self._single_byte_encodings(),
+            )
+        except Exception as e:
+            raise LandingFailed from e
         return self._prepare_landed(
             landing, run_id, folder, source, require_unambiguous, min_lead, refused
         )
@@ -251,14 +286,13 @@ class ImportEngine:
         names = sorted(r["source"] for r in accepted.select("source").distinct().collect())
         sources = tuple(self.catalog[n] for n in names)
         failed = self._stage(landing, files, accepted, sources, spanning, folder)
-        staged = tuple(s for s in sources if s.name not in failed)
         prepared = Prepared(
-            run_id, folder, landing.files, ranking, decisions, decisions, staged, self.spark
+            run_id, folder, landing.files, ranking, decisions, decisions, sources, self.spark
         )
         outcome = self._outcome(prepared, failed).join(self._unreadable(files, decisions), "file", "left")
         return Prepared(
             run_id, folder, landing.files, ranking, decisions,
-            self._saved(outcome, f"{folder}/outcome"), staged, self.spark, pieces,
+            self._saved(outcome, f"{folder}/outcome"), sources, self.spark, pieces,
         )
 
     def _without_repeats(self, landing, decisions: DataFrame, run_id: str) -> DataFrame:
@@ -358,7 +392,7 @@ class ImportEngine:
     def _stage(self, landing, files, accepted, sources, spanning, folder: str) -> dict[str, str]:
         """Parse, check and convert the accepted files; one written table per source.
 
-        A source that fails does not stop the others; the result names it with the reason."""
+        A file that fails does not stop the others; the result names each with the reason."""
         assigned = self._saved(
             reduce(DataFrame.unionByName, [self._assigned(files, accepted, s) for s in sources])
             if sources else files.select("file").limit(0),
@@ -371,28 +405,36 @@ class ImportEngine:
             lines.write.mode("overwrite").partitionBy("source").parquet(f"{folder}/routed")
             routed = self.spark.read.parquet(f"{folder}/routed")
 
-        def stage(source: SourceDef) -> str | None:
+        def stage(source: SourceDef) -> dict[str, str]:
+            every = assigned.filter(F.col("source") == source.name).drop("source")
             try:
-                stage_one(source)
-            except Exception as e:
-                logger.exception("staging of '%s' failed", source.name)
-                return _message(e)
-            return None
-
-        def stage_one(source: SourceDef) -> None:
-            mine = assigned.filter(F.col("source") == source.name).drop("source")
+                stage_files(source, every, True)
+                return {}
+            except Exception as e:  # noqa: BLE001  the files tell
+                logger.warning("staging of '%s' is split: %s", source.name, message(e))
+            names = [r["file"] for r in every.select("file", "file_seq").orderBy("file_seq").collect()]
+            work = lambda group: stage_files(source, every.filter(F.col("file").isin(group)), False)
+            failed = isolate(work, names, split_first=True)[1]
+            if len(failed) == len(names):
+                small_table(self.spark, [], "file string").write.mode("append").parquet(f"{folder}/staged/{source.name}")
+            return failed
+
+        def stage_files(source: SourceDef, mine: DataFrame, every: bool) -> None:
             if routed is None:
                 lines = delivery.number_lines(landing, mine, carried)
             else:
                 lines = routed.filter(F.col("source") == source.name).drop("source")
+                lines = lines if every else lines.join(mine.select("file"), "file", "left_semi")
             records = spanning.get(source.datei.trennzeichen)
             if records is not None:
                 side = bounded_broadcast(mine.filter("spans"), landing.index_bytes)
                 lines = lines.filter(~F.col("spans")).unionByName(records.join(side, "file"))
             self._stage_source(lines, source, folder)
 
-        failed = _side_by_side(stage, sources)
-        return {s.name: why for s, why in zip(sources, failed, strict=True) if why is not None}
+        failed: dict[str, str] = {}
+        for of_source in _side_by_side(stage, sources):
+            failed |= of_source
+        return failed
 
     def _assigned(self, files: DataFrame, accepted: DataFrame, source: SourceDef) -> DataFrame:
         """Readable files of one source: (file, file_seq, source, encoding, spans)."""
@@ -423,7 +465,7 @@ class ImportEngine:
             ),
             bad.alias("bad"),
         )
-        staged.write.mode("overwrite").partitionBy("bad").parquet(f"{folder}/staged/{source.name}")
+        staged.write.mode("append").partitionBy("bad").parquet(f"{folder}/staged/{source.name}")
 
     def _unreadable(self, files: DataFrame, decisions: DataFrame) -> DataFrame:
         """Files that the encoding of their source can't read: (file, unreadable_as)."""
@@ -435,7 +477,7 @@ class ImportEngine:
         return found.select("file", F.coalesce(*encodings).alias("unreadable_as")).filter("unreadable_as is not null")
 
     def _outcome(self, prepared: Prepared, failed: dict[str, str]) -> DataFrame:
-        """Row counts and validation verdict of each file; ``failed`` names sources whose staging
+        """Row counts and validation verdict of each file; ``failed`` names those whose staging
         failed."""
         counts = small_table(
             self.spark, [], "file string, rows_total bigint, rows_bad bigint, n_errors bigint, rows_overflow bigint"
@@ -447,8 +489,8 @@ class ImportEngine:
             "partial", F.coalesce(F.col("source").isin(partial), F.lit(False))
         )
         judged = validate.verdicts(flags, counts, F.col("partial"))
-        why = small_table(self.spark, list(failed.items()), "source string, stage_failure string")
-        judged = judged.join(F.broadcast(why), "source", "left") if failed else judged.withColumn(
+        why = small_table(self.spark, list(failed.items()), "file string, stage_failure string")
+        judged = judged.join(why, "file", "left") if failed else judged.withColumn(
             "stage_failure", F.lit(None).cast("string")
         )
         return prepared.files.select("file", "name", "file_seq").join(judged, "file", "left")
@@ -487,13 +529,9 @@ class ImportEngine:
 
         def load_one(source: SourceDef) -> DataFrame:
             ready = prepared.outcome.filter(
-                (F.col("source") == source.name) & F.col("valid") & (F.col("rows_overflow") == 0)
+                (F.col("source") == source.name) & F.col("valid") & (F.col("rows_overflow") == 0) & F.col("stage_failure").isNull()
             ).select("file_seq", (F.col("rows_total") - F.col("rows_bad")).alias("rows_good"))
-            try:
-                return self._load_source(prepared, source, ready)
-            except Exception as e:
-                logger.exception("load into '%s' failed", source.zielsystem.tabelle)
-                return _effect(ready, failure=F.lit(_message(e)))
+            return self._load_files(prepared, source, ready)
 
         def load_table(group: list[SourceDef]) -> list[DataFrame]:
             return [load_one(s) for s in group]
@@ -506,7 +544,43 @@ class ImportEngine:
             reduce(DataFrame.unionByName, effects, none), f"{prepared.folder}/effects"
         )
 
-    def _load_source(self, prepared: Prepared, source: SourceDef, ready: DataFrame) -> DataFrame:
+    def _load_files(self, prepared: Prepared, source: SourceDef, ready: DataFrame) -> DataFrame:
+        """Load the files of a source as one run; if that fails, as several, in the order of the
+        files, so that only those fail that have to."""
+        name = f"{prepared.run_id}-{source.name}"
+        before: list[str] = []
+        try:
+            if source.zielsystem.typ != "oracle":
+                before = self.table(source).parts_of(name)
+            if not before:
+                return self._load_source(prepared, source, ready, name)
+        except Exception as e:  # noqa: BLE001  the files tell
+            logger.warning("load into '%s' is split: %s", source.zielsystem.tabelle, message(e))
+        done: list[DataFrame] = []
+        if before:  # an earlier attempt of this run was split, too: its files are loaded
+            notes = self.spark.read.parquet(*(self.table(source).note_path(r) for r in before))
+            noted = notes.join(prepared.files.select("file", "file_seq"), "file")
+            done.append(_effect(noted, *(F.col(c) for c in ("loaded", "skipped", "conflicts", "failure"))))
+            ready = ready.join(noted.select("file_seq"), "file_seq", "left_anti")
+        numbers = [r["file_seq"] for r in ready.select("file_seq").orderBy("file_seq").collect()]
+
+        def load(group: list[int]) -> DataFrame:
+            some = ready.filter(F.col("file_seq").isin(group))
+            return self._load_source(prepared, source, some, f"{name}{PART_OF}{uuid.uuid4().hex}")
+
+        loaded, failed = isolate(load, numbers, split_first=not before)
+        for number, why in failed.items():
+            loaded.append(_effect(ready.filter(F.col("file_seq") == number), failure=F.lit(why)))
+        return reduce(DataFrame.unionByName, done + loaded) if done or loaded else _effect(ready)
+
+    def _note(self, prepared: Prepared, table: SnapshotTable, run_id: str, effect: DataFrame) -> DataFrame:
+        """Leaves what a part of a split run does to each file, for a repetition of the run."""
+        if PART_OF in run_id:
+            files = prepared.files.select("file", "file_seq")
+            effect.join(files, "file_seq").drop("file_seq").write.mode("overwrite").parquet(table.note_path(run_id))
+        return effect
+
+    def _load_source(self, prepared: Prepared, source: SourceDef, ready: DataFrame, run_id: str) -> DataFrame:
         target = source.zielsystem
         rows = prepared.good(source).join(ready.select("file_seq"), "file_seq", "left_semi")
         rows = rows.select("file_seq", "nr", *source.target_fields())
@@ -515,7 +589,6 @@ class ImportEngine:
         if target.typ == "oracle":
             return self._load_jdbc(rows, source, ready)
         table = self.table(source)
-        run_id = f"{prepared.run_id}-{source.name}"
         key = list(target.upsert_key)
         for attempt in range(LOAD_ATTEMPTS):
             try:
@@ -528,12 +601,14 @@ class ImportEngine:
     def _load_table(self, prepared, source, rows, ready, table, key, run_id) -> DataFrame:
         mode = source.zielsystem.pk_konflikt
         if not key:
+            effect = self._note(prepared, table, run_id, _effect(ready, F.col("rows_good")))
             table.write_part(rows.drop("nr"), run_id)
             table.publish(run_id, APPEND)
-            return _effect(ready, F.col("rows_good"))
+            return effect
         if mode == "update":
+            effect = self._note(prepared, table, run_id, _effect(ready, F.col("rows_good")))
             table.merge(load.rows_to_update_load(rows, key).select(*source.target_fields()), run_id)
-            return _effect(ready, F.col("rows_good"))
+            return effect
         seen = table.state(before_run=run_id)
         before = table.rows(seen, table.buckets_of(rows)).select(*key)
         if mode == "reject":
@@ -541,12 +616,13 @@ class ImportEngine:
         written = table.write_part(load.rows_to_skip_load(rows, before, key).drop("nr"), run_id)
         kept = written.groupBy("file_seq").agg(F.count(F.lit(1)).alias("loaded"))
         effect = ready.join(kept, "file_seq", "left").withColumn("loaded", F.coalesce("loaded", F.lit(0)))
+        effect = self._note(prepared, table, run_id, _effect(effect, F.col("loaded"), F.col("rows_good") - F.col("loaded")))
         table.publish(run_id, APPEND, seen=seen)
-        return _effect(effect, F.col("loaded"), F.col("rows_good") - F.col("loaded"))
+        return effect
 
     def _load_or_reject(self, prepared, source, rows, ready, table, before, run_id, seen) -> DataFrame:
         key = list(source.zielsystem.upsert_key)
-        folder = f"{prepared.folder}/reject-{source.name}"
+        folder = f"{prepared.folder}/reject-{run_id}"
         found = load.reject_verdicts(
             self.spark, load.rows_per_key(rows, key), before, key, folder
         )
@@ -561,6 +637,7 @@ class ImportEngine:
         )
         clean = effect.filter("conflicts = 0 and failure is null").select("file_seq")
         table.write_part(rows.join(clean, "file_seq", "left_semi").drop("nr"), run_id)
+        self._note(prepared, table, run_id, effect)
         table.publish(run_id, APPEND, seen=seen)
         return effect
 
@@ -687,10 +764,6 @@ def _side_by_side(work: Callable, items: Iterable) -> list:
         return list(pool.map(work, items))
 
 
-def _message(error: Exception) -> str:
-    return str(error).splitlines()[0] if str(error) else type(error).__name__
-
-
 def _decoded(encoding: Column) -> Column:
     """Text of ``raw`` for sources that leave the encoding to detection."""
     return decode_by(F.col("raw"), encoding, ["utf-8", "cp1252", "iso-8859-1"])

@@ -98,6 +98,16 @@ def _text_of(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     return spark.read.option("recursiveFileLookup", True).text([_WILD.sub(r"\\\1", p) for p in paths])
 
 
+def only(spark: SparkSession, inbox: Inbox, paths: list[str]) -> Inbox:
+    """The same inbox with some of its files."""
+    return Inbox(_text_of(spark, [unquote(p) for p in paths]), paths, inbox.hidden)
+
+
+def read_through(spark: SparkSession, paths: list[str]) -> None:
+    """Read files to their end; an error if one of them can't be."""
+    _text_of(spark, [unquote(p) for p in paths]).write.format("noop").mode("overwrite").save()
+
+
 def unread_files(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
     """Files that no scan shows, as they are empty, and those whose names begin with '_'."""
     listed = _listed(spark, folder)[0]

@@ -73,8 +73,7 @@ def stream_inbox(
         paths = sorted([*found.paths, *empty], key=lambda p: p.rsplit("/", 1)[-1])
         if paths or refused:
             own = engine.at(datetime.now())
-            lines = delivery.raw_lines(found)
-            own.commit(own.prepare_lines(lines, paths, source=source, run_id=run_id, refused=refused))
+            own.commit(own.prepare_files(found, paths, source=source, run_id=run_id, refused=refused))
 
     writer = names.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name)
