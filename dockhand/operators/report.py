@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dockhand.functions.text import archive_path, reject_path
+from dockhand.functions.text import archive_path, quarantine_path, reject_path
 from dockhand.operators.audit import LOADED
 
 TOP_CATEGORIES = 5
@@ -91,3 +91,13 @@ def reject_report(results: DataFrame, details: DataFrame, when: datetime) -> Dat
     return head.unionByName(title).unionByName(body)
 
 
+def quarantine_csv(rows: DataFrame, folder: str, when: datetime) -> None:
+    """Quarantined rows (dateiname, zeile_nr, fehler_grund, original_zeile) as CSV with ``;``.
+
+    Each delivered file has a folder named as its quarantine file, with rows in the order of their
+    numbers; a file with very many bad rows has several parts, in order too."""
+    name = F.substring(quarantine_path("", F.col("dateiname"), when), 2, 1000).alias("datei")
+    placed = rows.select(name, "zeile_nr", "fehler_grund", "original_zeile")
+    ordered = placed.repartitionByRange("datei", "zeile_nr").sortWithinPartitions("datei", "zeile_nr")
+    options = {"sep": ";", "header": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered.write.mode("overwrite").partitionBy("datei").options(**options).csv(folder)

@@ -11,7 +11,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -25,7 +25,7 @@ from dockhand.operators import audit, classify, load, report, validate
 from dockhand.operators.mapping import preview, target_columns
 from dockhand.operators.tables import APPEND, PART_OF, ConcurrentChange, SnapshotTable
 from dockhand.plans.isolate import isolate, message
-from dockhand.session import bounded_broadcast, configure, new_work_folder, small_table
+from dockhand.session import bounded_broadcast, configure, new_work_folder, remove_folder, small_table
 from dockhand.sources import archive, delivery, quoting
 from dockhand.sources.encoding import decode_as, decode_by, effective_encoding
 
@@ -72,6 +72,14 @@ class Prepared:
     sources: tuple[SourceDef, ...]  # sources that files were assigned to
     spark: SparkSession
     pieces: DataFrame | None = None  # lines of records too long for one value
+    unpacked: str | None = None  # folder of what archives were expanded to
+
+    def release(self) -> None:
+        """Remove the working tables of the run.  What :meth:`ImportEngine.commit` wrote and returned
+        stays; the frames of this object can't be read any more."""
+        for folder in (self.folder, self.unpacked):
+            if folder is not None:
+                remove_folder(self.spark, folder)
 
     def staged(self, source: SourceDef) -> DataFrame:
         schema = T.StructType(
@@ -221,7 +229,8 @@ class ImportEngine:
             r["archive"]: REFUSED_ARCHIVE.format(r["error"])
             for r in archive.failures(expanded).orderBy("archive").collect()
         }
-        return self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id, refused)
+        prepared = self.prepare_lines(archive.lines(expanded), names, source, True, min_lead, run_id, refused)
+        return replace(prepared, unpacked=path.rsplit("/", 1)[0])
 
     def prepare_lines(
         self,
@@ -350,7 +359,7 @@ class ImportEngine:
             as_text = lines.select(
                 "file", "block", "rid", F.decode("raw", "ISO-8859-1").alias("line")
             )
-            numbered = quoting.number_records(as_text, delimiter)
+            numbered = quoting.number_records(as_text, delimiter, f"{folder}/numbered-{i}")
             widths = tuple(sorted({s.width for s in self.catalog.values() if s.datei.trennzeichen == delimiter}))
             long = self._saved(quoting.long_records(numbered, delimiter, widths), f"{folder}/long-{i}")
             records = quoting.join_lines(numbered, delimiter, widths, long).select(
@@ -498,14 +507,17 @@ class ImportEngine:
     # --- commit ------------------------------------------------------------------
 
     def run(self, inbox: str, **options) -> DataFrame:
-        """Prepare and commit without a look in between."""
-        return self.commit(self.prepare(inbox, **options))
+        """Prepare and commit without a look in between; the working tables go afterwards."""
+        prepared = self.prepare(inbox, **options)
+        results = self.commit(prepared)
+        prepared.release()
+        return results
 
     def commit(self, prepared: Prepared, hashes: DataFrame | None = None) -> DataFrame:
         """Load the accepted files, write quarantine, dispositions and audit; return results."""
         effects = self._load(prepared)
         results = self._saved(
-            self._results(prepared, effects, hashes), f"{prepared.folder}/results"
+            self._results(prepared, effects, hashes), f"{self.store}/results/run_id={prepared.run_id}"
         )
         self._write_side_tables(prepared, results)
         audit.append_runs(
@@ -700,6 +712,11 @@ class ImportEngine:
             reason.alias("fehler_grund"),
         )
 
+    def export_quarantine(self, run_id: str, folder: str) -> None:
+        """Bad rows of a run as text for those who correct them: see :func:`report.quarantine_csv`."""
+        rows = self.spark.read.parquet(f"{self.store}/quarantine/run_id={run_id}")
+        report.quarantine_csv(rows, folder, self.load_time)
+
     def _write_side_tables(self, prepared: Prepared, results: DataFrame) -> None:
         """Quarantine, dispositions and reject reports, one folder per run."""
         run = f"run_id={prepared.run_id}"

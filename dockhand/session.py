@@ -51,6 +51,12 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a working folder that this library has made; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish_file(spark: SparkSession, path: str, text: str) -> bool:
     """Publish a small file at once and only if there is none of its name; False if there is.
 

@@ -102,19 +102,19 @@ def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, [*kept, *_STATES.names])
 
 
-def number_records(lines: DataFrame, delimiter: str) -> DataFrame:
+def number_records(lines: DataFrame, delimiter: str, folder: str | None = None) -> DataFrame:
     """Add ``nr``, the record number, ``inside`` (the line begins inside of quotes) and ``multi``
     (its record has several lines) to lines of files with open quotes.
 
     ``lines`` has (file, block, rid, line), rids of a block rising by one.  Lines in any other
-    order are right too, but make many runs.
+    order are right too, but make many runs.  Working tables go into ``folder``.
     """
     spark, line = lines.sparkSession, F.col("line")
     acts = lines.withColumns({"_opens": leaves_open(line, delimiter), "_stays": stays_open(line, delimiter)})
     schema = T.StructType(lines.schema.fields + _STATES.fields)
-    folder = new_work_folder(spark, "quotes")
-    acts.mapInArrow(_states, schema).write.parquet(folder)
-    noted = spark.read.schema(schema).parquet(folder)
+    folder = folder or new_work_folder(spark, "quotes")
+    acts.mapInArrow(_states, schema).write.parquet(f"{folder}/lines")
+    noted = spark.read.schema(schema).parquet(f"{folder}/lines")
 
     runs = noted.groupBy("file", "block", "_run").agg(
         F.max_by(F.struct("_open0", "_open1"), "rid").alias("_end"),
@@ -132,9 +132,8 @@ def number_records(lines: DataFrame, delimiter: str) -> DataFrame:
         .withColumn("_n", F.when(F.col("_bit"), F.col("_n1")).otherwise(F.col("_n0")))
         .select("file", "block", "_run", "_bit", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    folder = new_work_folder(spark, "runs")
-    entry.write.parquet(folder)
-    entry = spark.read.schema(entry.schema).parquet(folder)
+    entry.write.parquet(f"{folder}/runs")
+    entry = spark.read.schema(entry.schema).parquet(f"{folder}/runs")
     size = entry.agg(F.sum(F.length(F.col("file").cast("string")) + F.lit(64)).alias("size")).first()["size"] or 0
     known = noted.join(bounded_broadcast(entry, size), ["file", "block", "_run"])
     of_state = lambda name: F.when(F.col("_bit"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))

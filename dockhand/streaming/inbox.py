@@ -26,13 +26,13 @@ def _not_reported(engine: ImportEngine, name: str, run_id: str, paths: list[str]
     if not paths:
         return []
     log = f"{engine.store}/unread_files/{name}"
-    try:
-        rows = engine.spark.read.parquet(log).collect()  # a row per empty or hidden file
+    now = small_table(engine.spark, [(p,) for p in paths], "path string")
+    try:  # of the history only what concerns these files reaches the driver
+        known = {r["path"]: r["run_id"] for r in engine.spark.read.parquet(log).join(now, "path", "left_semi").collect()}
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = []
-    known = {r["path"]: r["run_id"] for r in rows}
+        known = {}
     new = [(p, run_id) for p in paths if p not in known]
     if new:
         small_table(engine.spark, new, "path string, run_id string").write.mode("append").parquet(log)
@@ -73,7 +73,9 @@ def stream_inbox(
         paths = sorted([*found.paths, *empty], key=lambda p: p.rsplit("/", 1)[-1])
         if paths or refused:
             own = engine.at(datetime.now())
-            own.commit(own.prepare_files(found, paths, source=source, run_id=run_id, refused=refused))
+            prepared = own.prepare_files(found, paths, source=source, run_id=run_id, refused=refused)
+            own.commit(prepared)
+            prepared.release()
 
     writer = names.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name)

@@ -329,3 +329,35 @@ def test_sources_of_other_fields_cannot_share_a_table(spark, tmp_path, inbox):
     assert (rows["a.csv"]["status"], rows["b.csv"]["status"]) == ("geladen", "abgelehnt_ladefehler")
     assert "other fields" in rows["b.csv"]["fehler_grund"]
     assert [tuple(r) for r in e.table(first).read().collect()] == [("a", 1)]
+
+
+def test_working_tables_go_and_results_stay(spark, tmp_path, inbox, readings):
+    from pathlib import Path
+
+    from dockhand.session import work_root
+
+    inbox("a.csv", GOOD)
+    before = set(Path(work_root(spark)).iterdir())
+    e = engine(spark, tmp_path, readings)
+    results = e.run(inbox.folder, run_id="first")
+    assert set(Path(work_root(spark)).iterdir()) == before
+    assert by_name(results)["a.csv"]["status"] == "geladen"
+    prepared = e.prepare(inbox.folder)
+    assert Path(prepared.folder).exists() and prepared.good(readings).count() == 4
+
+
+def test_quarantine_as_text(spark, tmp_path, inbox):
+    import csv
+    from pathlib import Path
+
+    source = make_source("p", READING_COLUMNS, upsert_key=["geraet"], fehler_modus="partiell")
+    inbox("broken.csv", FAULTY + 'ofen-9|"say ""x""; y"|1|1.1.2026\n')
+    e = engine(spark, tmp_path, source)
+    e.run(inbox.folder, source="p", run_id="r")
+    e.export_quarantine("r", str(tmp_path / "csv"))
+    found = [p for p in Path(tmp_path, "csv").rglob("*.csv") if p.is_file()]
+    assert {p.parent.name for p in found} == {"datei=broken_fehlerhaft__20260717_103000.csv"}
+    rows = [r for p in sorted(found) for r in csv.reader(p.read_text().splitlines(), delimiter=";")]
+    assert rows[0] == ["zeile_nr", "fehler_grund", "original_zeile"]
+    assert [r[0] for r in rows if r[0] != "zeile_nr"] == ["2", "3", "4", "5", "6"]
+    assert rows[-1] == ["6", "kanal: passt nicht zu Typ 'integer'", 'ofen-9|say "x"; y|1|1.1.2026']

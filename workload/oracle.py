@@ -143,7 +143,8 @@ FROM ({_LINEITEM}) GROUP BY 1, 2"""
 SQL["append_load"] = f"""SELECT return_flag, line_status, count(*) AS n,
        CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, max(ship_date) AS last_ship_date
 FROM ({_LINEITEM}) GROUP BY 1, 2"""
-SQL["record_numbers"] = "SELECT count(*) AS n_lines, true AS gapless FROM lineitem"
+SQL["record_numbers"] = """SELECT count(*) AS n_lines, 1 AS least_first, 1 AS largest_first, count(*) AS sum_of_last,
+       CAST(0 AS DOUBLE) AS missing FROM lineitem"""
 
 _DE = r"^-?\d{1,3}(\.\d{3})*(,\d+)?$|^-?\d+(,\d+)?$"
 _EN = r"^-?\d{1,3}(,\d{3})*(\.\d+)?$|^-?\d+(\.\d+)?$"

@@ -283,12 +283,16 @@ def record_numbers(spark, sf_dir):
     found = delivery.open_inbox(spark, f"{folder}/inbox")
     files = delivery.file_table(spark, found.paths)
     landing = delivery.land(spark, delivery.raw_lines(found), files, f"{folder}/landing", ["|"])
-    n, nr = F.count(F.lit(1)), F.col("nr")
+    nr = F.col("nr")
     per_file = delivery.number_lines(landing, landing.files).groupBy("file").agg(
-        n.alias("n"),
-        ((F.min(nr) == 1) & (F.max(nr) == n) & (F.sum(nr) * 2 == n * (n + 1))).alias("gapless"),
+        F.count(F.lit(1)).alias("n"), F.min(nr).alias("first"), F.max(nr).alias("last"), F.sum(nr).alias("total"),
+    )
+    # Gapless from 1: then the sum of all numbers follows from how many there are.
+    missing = F.col("total") - F.col("n") * (F.col("n") + 1) / 2
+    return per_file.agg(
+        F.sum("n").alias("n_lines"), F.min("first").alias("least_first"), F.max("first").alias("largest_first"),
+        F.sum(F.col("last")).cast("bigint").alias("sum_of_last"), F.sum(F.abs(missing)).alias("missing"),
     )
-    return per_file.agg(F.sum("n").alias("n_lines"), F.bool_and("gapless").alias("gapless"))
 
 
 # --- classification ----------------------------------------------------------------------
