@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from dockhand import catalog as cat
 from dockhand.catalog import CELL_TYPES, Catalog
@@ -426,15 +427,12 @@ def keyed_table_skip(spark, sf_dir):
 
 @query
 def reject_chain(spark, sf_dir):
-    """A file per order of a customer; each shares a key with the next, by order and by customer."""
-    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    seq = F.col("o_orderkey").cast("int").alias("file_seq")
-    keys = F.explode(F.array(
-        F.concat(F.lit("c"), d.text("o_custkey")),
-        F.concat(F.lit("g"), F.floor(F.col("o_orderkey") / 2).cast("string")),
-    )).alias("k")
-    folder = new_work_folder(spark, "chain")
-    return load.losers(spark, orders.select(seq, keys), ["k"], folder, few=1000)
+    """A file per order, each sharing a key with the next of its customer: chains, settled in rounds."""
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", place.alias("place"))
+    key = lambda n: F.concat_ws("-", d.text("o_custkey"), (F.col("place") + n).cast("string"))
+    rows = orders.select(F.col("o_orderkey").cast("int").alias("file_seq"), F.explode(F.array(key(0), key(1))).alias("k"))
+    return load.losers(spark, rows, ["k"], new_work_folder(spark, "chain"), few=1000)
 
 
 @query
