@@ -84,7 +84,7 @@ def open_inbox(spark: SparkSession, folder: str, before: datetime | None = None)
 def open_files(spark: SparkSession, folder: str, names: list[str]) -> Inbox:
     """The same for listed files of a folder; others, of folders in it, are left out."""
     root = _listed(spark, folder)[1]
-    own = [n for n in names if root is None or unquote(_parent(_plain(n))) == unquote(root)]
+    own = [n for n in names if root is None or unquote(_parent(plain(n))) == unquote(root)]
     if not own:
         return Inbox(None, [], [])
     text = _text_of(spark, own)
@@ -115,6 +115,11 @@ def unread_files(spark: SparkSession, folder: str) -> tuple[list[str], list[str]
     return sorted((p for p, _, n in listed if not n and p not in hidden), key=_name), hidden
 
 
+def changes(spark: SparkSession, folder: str) -> dict[str, tuple[int, int]]:
+    """Time of last change (milliseconds) and length of each file of a folder, by plain path."""
+    return {unquote(p): (changed, length) for p, changed, length in _listed(spark, folder)[0]}
+
+
 def _listed(spark: SparkSession, folder: str) -> tuple[list[tuple[str, int, int]], str | None]:
     """Files of a folder with the time of their last change and their length, and the folder as it
     stands in paths; neither for a path with wildcards.  Dot files and the mark that a finished
@@ -124,14 +129,14 @@ def _listed(spark: SparkSession, folder: str) -> tuple[list[tuple[str, int, int]
     if not fs.exists(path):
         return [], None
     found = [
-        (_plain(f.getPath().toUri().toString()), f.getModificationTime(), f.getLen())
+        (plain(f.getPath().toUri().toString()), f.getModificationTime(), f.getLen())
         for f in fs.listStatus(path)
         if f.isFile() and not f.getPath().getName().startswith(".") and f.getPath().getName() != "_SUCCESS"
     ]
-    return found, _plain(fs.makeQualified(path).toUri().toString()).rstrip("/")
+    return found, plain(fs.makeQualified(path).toUri().toString()).rstrip("/")
 
 
-def _plain(uri: str) -> str:
+def plain(uri: str) -> str:
     """Local paths as Spark writes them in its file lists."""
     return "file:///" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
 
