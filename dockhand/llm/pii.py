@@ -259,12 +259,13 @@ KINDS: tuple[tuple[str, re.Pattern, tuple[Callable, Callable] | None, Callable],
     ("phone", re.compile(r"(?P<code>)(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])"), None, phone),
 )
 
-_ANY = re.compile(r"[0-9@=:]|ghp_|gho_|sk[-_]|xox|glpat|AIza")
+_ANY = re.compile(r"[0-9@=:]")
 _START = re.compile(r"(?<![\w@.+-])(?:\+[0-9]|\([0-9]|[0-9]|[A-Z]{2}[0-9][0-9])")
 _EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _KEY = re.compile(r"(?<![A-Za-z0-9])AKIA([A-Z0-9]{16})(?![A-Za-z0-9])")
 # Public prefixes of access tokens.
-_TOKEN = re.compile(r"(?<![A-Za-z0-9])(?:gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk_test_|sk-|AIza)([A-Za-z0-9_-]{16,})")
+_PREFIXES = ("ghp_", "gho_", "ghs_", "ghu_", "ghr_", "github_pat_", "glpat-", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-", "sk_live_", "sk_test_", "sk-", "AIza")
+_TOKEN = re.compile(f"(?<![A-Za-z0-9])(?:{'|'.join(map(re.escape, _PREFIXES))})([A-Za-z0-9_-]{{16,}})")
 _SECRET = re.compile(r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)(?P<sign>\s{0,3}[=:]\s{0,3})["']?(?P<value>[^\s"'`,;<>(){}\[\]]{8,})""")
 _IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])")
 
@@ -276,14 +277,15 @@ def _digit_table() -> dict[int, int]:
 
 
 _DIGIT_TABLE = _digit_table()
-_OTHER_DIGIT = re.compile("[" + "".join(map(chr, _DIGIT_TABLE)) + "]")
+_FAR = re.compile(f"[{chr(min(_DIGIT_TABLE))}-{chr(sys.maxunicode)}]")  # one comparison per character
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
 
 
 def _secrets(text: str) -> Iterator[tuple[int, int]]:
     """Values after a word for secrets.  After a plain "=" any value counts, elsewhere prose may
     follow and the value must hold a digit."""
     for m in _SECRET.finditer(text):
-        value = m["value"].rstrip(".!?:")
+        value = m["value"].rstrip("!?:")
         if len(value) >= 8 and (m["sign"] == "=" or any(c in DIGITS for c in value)):
             yield m.start("value"), m.start("value") + len(value)
 
@@ -327,8 +329,9 @@ class _Spans:
 
 def find(text: str, change: Change) -> list[tuple[str, int, int, str]]:
     """kind, start, end and pseudonym of all that is found, in order."""
-    other = not text.isascii() and _OTHER_DIGIT.search(text)
-    if not other and not _ANY.search(text):
+    other = not text.isascii() and _FAR.search(text) and _OTHER_DIGIT.search(text)
+    tokens = any(p in text for p in _PREFIXES)
+    if not other and not tokens and not _ANY.search(text):
         return []
     if other:
         text = text.translate(_DIGIT_TABLE)  # one character each, so places stay
@@ -337,7 +340,8 @@ def find(text: str, change: Change) -> list[tuple[str, int, int, str]]:
         found += [("email", m.start(), m.start() + m[0].index("@"), alike(m[0][: m[0].index("@")], change, "email")) for m in _EMAIL.finditer(text)]
     if "AKIA" in text:
         found += [("access_key", *m.span(1), alike(m[1], change, "akia")) for m in _KEY.finditer(text)]
-    found += [("access_token", *m.span(1), alike(m[1], change, "token")) for m in _TOKEN.finditer(text)]
+    if tokens:
+        found += [("access_token", *m.span(1), alike(m[1], change, "token")) for m in _TOKEN.finditer(text)]
     if "=" in text or ":" in text:
         found += [("secret", a, b, _hidden(text[a:b], change, "secret")) for a, b in _secrets(text)]
     if text.count(":") > 1:
