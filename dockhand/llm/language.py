@@ -80,40 +80,53 @@ def fit(
 ) -> Model:
     """Learn from labelled rows.
 
-    Of each language about docs_per_language whole texts are used, chosen by a seeded hash of
-    the text; the class shares come from all rows.  buckets shrinks where the matrix would
-    outgrow MATRIX_BYTES; more than max_languages labels are an error.
+    Of each language about docs_per_language different whole texts are used (all, if there are no
+    more), chosen by a seeded hash of the text; copies of a text are counted as its weight, so they
+    neither fill the sample nor push a language out of it.  The class shares come from all rows.
+    buckets shrinks where the matrix would outgrow MATRIX_BYTES; more than max_languages labels are
+    an error.
     """
     known = docs.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("lang")).dropna()
-    shares = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(max_languages + 1).collect()}
+    known = known.withColumn("mark", F.xxhash64(F.lit(seed), "text"))
+    found = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("mark").alias("texts"))
+    found = found.orderBy("lang").limit(max_languages + 1).collect()
+    shares = {r.lang: r.n for r in found}
     if len(shares) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not shares:
         return Model((), orders, np.zeros((1, 0), np.float32), np.zeros(0))
     while buckets * 8 * len(shares) > MATRIX_BYTES and buckets > 256:
         buckets //= 2
-    below = F.create_map(*[F.lit(x) for k, n in shares.items() for x in (k, min(1.0, docs_per_language / n))])
-    place = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = known.where(place < below[F.col("lang")])
+    below = F.create_map(*[F.lit(x) for r in found for x in (r.lang, min(1.0, docs_per_language / max(1, r.texts)))])
+    place = F.pmod(F.col("mark"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = known.where(place < below[F.col("lang")]).groupBy("lang", "mark").agg(F.any_value("text").alias("text"), F.count("*").alias("weight"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in W.sliced(batches, 0):
-            langs = np.asarray(batch.column("lang").to_pylist(), object)
+            langs, weights = np.asarray(batch.column("lang").to_pylist(), object), batch.column("weight").to_numpy()
             for lang in sorted(set(langs)):
-                points, offsets, _ = _points(batch.column("text").filter(pa.array(langs == lang)))
-                total = sums.setdefault(lang, np.zeros(buckets + 1, np.int64))
+                mine = langs == lang
+                points, offsets, _ = _points(batch.column("text").filter(pa.array(mine)))
+                total, weight = sums.setdefault(lang, np.zeros(buckets + 1, np.int64)), np.repeat(weights[mine], np.diff(offsets))
                 for order in orders:
-                    total += np.bincount(_features(points, offsets, order, buckets), minlength=buckets + 1)
+                    total += np.bincount(_features(points, offsets, order, buckets), weight, buckets + 1).astype(np.int64)
         for lang, total in sums.items():
             used = np.flatnonzero(total[:-1])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(total[used])], ["lang", "bucket", "n"])
 
-    counts = sample.mapInArrow(count, "lang string, bucket bigint, n bigint")
-    counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # buckets x languages at most
+    def column(rows: pa.Table) -> pa.Table:
+        total = np.zeros(buckets, np.int64)
+        total[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+        return pa.table({"lang": rows.column("lang").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    counts = sample.select("text", "lang", "weight").mapInArrow(count, "lang string, bucket bigint, n bigint")
+    counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = counts.groupBy("lang").applyInArrow(column, "lang string, counts binary").collect()  # a row per language
     languages = tuple(sorted(shares))
     table = np.zeros((buckets, len(languages)))
-    table[counts["bucket"].to_numpy(np.int64), np.searchsorted(languages, counts["lang"].to_numpy(str))] = counts["n"]
+    for row in counts:
+        table[:, languages.index(row.lang)] = np.frombuffer(row.counts, np.int64)
     scores = np.log(table + 0.5) - np.log(table.sum(0) + 0.5 * buckets)
     prior = np.log(np.array([shares[k] for k in languages], float)) - np.log(sum(shares.values()))
     return Model(languages, orders, np.vstack([scores, np.zeros(len(languages))]).astype(np.float32), prior)
