@@ -1,12 +1,16 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
+"""Substring deduplication against an index of all windows.
 
 The reference is the corpus itself, indexed in blocks: each holds a range of the hashes of all
-windows of `width` words with the smallest document that has the window.  Every document is parsed
-against all blocks: at a word whose window occurs in an earlier document, a factor begins there
-and is extended greedily while the following windows come from the same reference document.  A
-shorter factor than `width` can't arise; between factors every window is checked by itself, so
-that a window over a factor's boundary counts only if it occurs as such.  The words under all
-factors are the duplicate spans.
+windows of `width` words with the smallest document that has the window.  Every document is
+compared with all blocks; its duplicate spans are the words under windows that an earlier document
+has.  `factors` are runs of neighbouring windows with the same smallest earlier document.
+
+This stands in for a relative Lempel-Ziv parse.  Greedy longest factors need the place of each
+window in its reference document, several documents per window, and the text around both; what the
+windows alone send is close to the bound on disk already (README).  So a factor names the document
+that holds each of its windows, not one stretch of that document: they may lie apart in it, and a
+longer copy from a later document can be told as several factors from earlier ones.  Which words
+are duplicates does not depend on that and is exact.
 
 Windows are compared by 64-bit hashes: among n different ones about n*n/2**65 pairs agree by
 chance (0.0005 for 140 million).
