@@ -80,28 +80,29 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
 
     ``files`` lists all files, so an empty one is scored too; its optional array column
     ``unreadable`` holds the dialects that cannot read the file.
+
+    A sampled row meets the sources of its own dialect and width only, so cells are compared with
+    what they may fit, however many sources there are.  What the other sources need to know of a
+    file follows from how they sample it: its rows, and the width of the first.
     """
-    rows = cut.join(sources, "dialect").filter(F.col("nr") <= F.col("sample_rows"))
+    ids = {pair: i for i, pair in enumerate(dialects(catalog))}
+    ways = {(ids[s.datei.trennzeichen, s.datei.encoding], s.klassifikation.stichprobe_zeilen, s.datei.hat_header) for s in catalog.values()}
+    ways = small_table(files.sparkSession, sorted(ways), "dialect int, sample_rows int, has_header boolean")
+    sampled = cut.select("file", "dialect", "nr", F.size("cells").alias("arity"))
+    sampled = sampled.join(F.broadcast(ways), "dialect").filter(F.col("nr") <= F.col("sample_rows"))
     data = ~F.col("has_header") | (F.col("nr") > 1)
-    fits = data & (F.size("cells") == F.col("width"))
+    profile = sampled.groupBy("file", "dialect", "sample_rows", "has_header").agg(
+        F.count(F.lit(1)).alias("n_sampled"),
+        F.count_if(data).alias("n_rows"),
+        F.min_by("arity", F.when(data, F.col("nr"))).alias("first_arity"),
+    )
+    met = cut.withColumn("width", F.size("cells")).join(sources, ["dialect", "width"])
     hits = F.size(
         F.filter(F.zip_with(F.transform("cells", lambda cell: strip(cell)), F.col("columns"), _fits), lambda hit: hit)
     )
-    stats = (
-        rows.select(
-            "file", "source", "nr", data.alias("data"), fits.alias("fits"),
-            F.size("cells").alias("arity"), F.when(fits, hits).alias("hits"),
-        )
-        .groupBy("file", "source")
-        .agg(
-            F.count(F.lit(1)).alias("n_sampled"),
-            F.count_if("data").alias("n_rows"),
-            F.count_if("fits").alias("n_fitting"),
-            F.min_by("arity", F.when(F.col("data"), F.col("nr"))).alias("first_arity"),
-            F.sum("hits").alias("n_hits"),
-        )
+    fitting = met.filter((F.col("nr") <= F.col("sample_rows")) & data).groupBy("file", "source").agg(
+        F.count(F.lit(1)).alias("n_fitting"), F.sum(hits).alias("n_hits")
     )
-    ids = {pair: i for i, pair in enumerate(dialects(catalog))}
     pairs = files.select(
         "file",
         *(["unreadable"] if "unreadable" in files.columns else []),
@@ -110,6 +111,8 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
                 F.lit(s.name).alias("source"), F.lit(order).alias("catalog_order"),
                 F.lit(s.width).alias("width"),
                 F.lit(ids[s.datei.trennzeichen, s.datei.encoding]).alias("dialect"),
+                F.lit(s.klassifikation.stichprobe_zeilen).alias("sample_rows"),
+                F.lit(s.datei.hat_header).alias("has_header"),
                 F.lit(float(s.klassifikation.schwellenwert)).alias("threshold"),
             )
             for order, s in enumerate(catalog.values())
@@ -120,10 +123,10 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
         if "unreadable" in files.columns else F.lit(False)
     )
     ko = (
-        F.when(blocked | F.coalesce(F.col("n_sampled") == 0, F.lit(True)), F.lit(KO_UNREADABLE))
+        F.when(blocked | F.col("n_sampled").isNull(), F.lit(KO_UNREADABLE))
         .when(F.col("n_rows") == 0, F.lit(KO_HEADER_ONLY))
         .when(
-            F.col("n_fitting") == 0,
+            F.col("n_fitting").isNull(),
             F.concat(
                 F.lit("Spaltenanzahl "), F.col("first_arity").cast("string"),
                 F.lit(" statt "), F.col("width").cast("string"),
@@ -133,7 +136,8 @@ def score_files(files: DataFrame, cut: DataFrame, sources: DataFrame, catalog: C
     share = F.try_divide(F.col("n_hits"), F.col("n_fitting") * F.col("width"))
     score = round_half_even(share * F.try_divide(F.col("n_fitting"), F.col("n_rows")))
     return (
-        pairs.join(stats, ["file", "source"], "left")
+        pairs.join(profile, ["file", "dialect", "sample_rows", "has_header"], "left")
+        .join(fitting, ["file", "source"], "left")
         .withColumn("ko_reason", ko)
         .withColumn("score", F.when(F.col("ko_reason").isNull(), score).otherwise(F.lit(0.0)))
         .select("file", "source", "catalog_order", "threshold", "score", "ko_reason")
