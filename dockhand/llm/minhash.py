@@ -193,19 +193,35 @@ class _Search:
         return rows.join(mixed.select("band"), "band")
 
     def tiled(self, rows: DataFrame) -> DataFrame:
-        """Confirmed links between different components within the bands.  A band's members are
-        dealt to tiles; each pair of tiles is one group of at most about 2 * TILE members, in which
-        likely pairs are confirmed on the full sets.  Only what unites members leaves the group."""
-        tiles = rows.groupBy("band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-        rows = rows.join(tiles, "band").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+        """Confirmed links between different components within the bands.  A large component of a
+        band has tiles of its own; the others share tiles, each whole in one.  Two tiles of one
+        component have nothing to compare, so a member is sent once per tile of other components.
+        Each pair of tiles is one group of at most about 2 * TILE members, in which likely pairs are
+        confirmed on the full sets.  Only what unites members leaves the group."""
+        rows = written(self.dealt(rows), "minhash-dealt")
+        tiles = written(rows.select("band", "own", "tile").distinct(), "minhash-tiles")
+        other = tiles.select("band", F.col("own").alias("other_own"), F.col("tile").alias("other"))
+        differ = ~F.col("own").eqNullSafe(F.col("other_own")) | F.col("own").isNull()
+        pairs = tiles.join(other, "band").where(differ & (F.col("tile") <= F.col("other"))).select("band", F.col("tile").alias("low"), F.col("other").alias("high"))
+        uses = pairs.select("band", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("tile"))
         known = self.sets_of(rows.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
         members = self.reps.join(known, ["rep", "set_id"]).select("rep", "registers", "shingles")
-        rows = rows.join(members, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        rows = rows.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
+        rows = rows.join(uses, ["band", "tile"]).select("band", "low", "high", "tile", "rep", "root").join(members, "rep")
         rows = rows.select("band", "low", "high", "tile", "rep", "root", "registers", "shingles")
         links = rows.groupBy("band", "low", "high").applyInArrow(_within_tiles(self.percent), record(a="long", b="long"))
         return written(links.distinct(), "minhash-links")
 
+    @staticmethod
+    def dealt(rows: DataFrame) -> DataFrame:
+        """rows with `own`, the root of a component with tiles of its own (else null), and `tile`."""
+        sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"))
+        large = F.col("size") > TILE
+        shared = sizes.groupBy("band").agg(F.greatest(F.ceil(F.sum(F.when(large, 0).otherwise(F.col("size"))) / TILE), F.lit(1)).alias("shared"))
+        sizes = sizes.join(shared, "band").withColumn("own", F.when(large, F.col("root")))
+        rows = rows.join(sizes, ["band", "root"])
+        place = F.when(large, F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / TILE))).otherwise(F.pmod(F.xxhash64("root"), F.col("shared")))
+        return rows.select("band", "rep", "root", "own", F.xxhash64("own", place).alias("tile"))
+
     def links(self) -> DataFrame:
         bands = self.bands()
         links = self.confirmed(self.likely(bands.where("hub < rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
