@@ -11,9 +11,11 @@ Benchmark items are a query set: they go in blocks of bounded size against all d
 block broadcast behind that bound; documents are never shuffled.  Tokens are runs of letters,
 digits and non-ASCII characters, A-Z in lower case.
 
-Defined cases: items shorter than `overlap` must occur whole and unchanged; those with fewer than
-SHORTEST tokens match nothing.  Null and empty texts are clean; null item ids are ignored, repeated items count
-once.  Repeated documents are judged each.
+Defined cases: items shorter than `overlap` must occur whole, with substitutions in proportion to
+their length: one word from 7 words on, found by their unchanged half.  Items of fewer than SHORTEST
+words are found only where a text holds nothing else, as they are part of ordinary prose.  Null and
+empty texts are clean; items without text are left out, those without id keep a null one, repeated
+items count once.  Repeated documents are judged each.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from dockhand.llm import words as W
 from dockhand.llm.store import record
 
 OVERLAP, SUBSTITUTIONS = 13, 2
-SHORTEST = 5  # tokens an item must have to match anything
+SHORTEST = 3  # tokens an item must have to be found inside a text
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("11010011", "1110111", "11111")
 BLOCK_BYTES = 8 << 20  # of benchmark text in one broadcast
@@ -70,10 +72,17 @@ class Index:
     seeds: list[np.ndarray]
     places: list[np.ndarray]
     seen: np.ndarray
-    short: list[tuple[int, np.ndarray, np.ndarray]]  # length, sorted hashes of whole short items, their numbers
+    short: list[tuple[int, int, int, np.ndarray, np.ndarray]]  # items of one length: that, where a seed begins, its width, sorted seeds, items
 
 
-def index(ids: list[int], texts: list[str | None], masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP) -> Index:
+def allowed(n: int, overlap: int, substitutions: int) -> int:
+    """Words of an item of n words that may differ."""
+    return min(substitutions, n * substitutions // overlap)
+
+
+def index(
+    ids: list[int | None], texts: list[str | None], masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, substitutions: int = SUBSTITUTIONS,
+) -> Index:
     found = tokens(pa.array(texts, pa.string()))
     hashes, bounds, counts = found.hashes(), found.bounds, found.counts
     seen, seeds, places = np.zeros(1 << _FILTER_BITS, bool), [], []
@@ -87,12 +96,15 @@ def index(ids: list[int], texts: list[str | None], masks: tuple[str, ...] = MASK
         places.append(at[order])
         seen[(s >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
     short = []
-    for n in sorted(set(counts[(counts >= SHORTEST) & (counts < overlap)].tolist())):
+    for n in sorted(set(counts[(counts > 0) & (counts < overlap)].tolist())):
         at = np.flatnonzero(counts == n)
-        value = W.windows(hashes, n)[bounds[at]]
-        order = np.argsort(value, kind="stable")
-        short.append((n, value[order], at[order]))
-    return Index(np.asarray(ids, np.int64), hashes, bounds, overlap, masks, seeds, places, seen, short)
+        parts = allowed(n, overlap, substitutions) + 1  # one of as many parts is unchanged
+        ends = [n * i // parts for i in range(parts + 1)]
+        for begin, end in zip(ends, ends[1:], strict=False):
+            value = W.windows(hashes, end - begin)[bounds[at] + begin]
+            order = np.argsort(value, kind="stable")
+            short.append((n, begin, end - begin, value[order], at[order]))
+    return Index(np.asarray(ids, object), hashes, bounds, overlap, masks, seeds, places, seen, short)
 
 
 def _joined(index: Index, hashes: np.ndarray, found: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -132,19 +144,32 @@ def overlaps(index: Index, found: W.Words, substitutions: int = SUBSTITUTIONS) -
             breaks = np.flatnonzero(np.diff(good) > 1)
             for a, b in zip(good[np.concatenate([[0], breaks + 1])], good[np.concatenate([breaks, [len(good) - 1]])], strict=True):
                 rows.append((d, i, low + int(a) - int(found.bounds[d]), int(b - a) + width, int(sums[b + width] - sums[a])))
-    for n, values, items in index.short:
-        w = W.windows(hashes, n)
-        w_ok = np.flatnonzero(W.whole(found, n))
-        low, high = np.searchsorted(values, w[w_ok], "left"), np.searchsorted(values, w[w_ok], "right")
-        hit = high > low
-        for p, a, b in zip(w_ok[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-            rows += [(int(owner[p]), int(items[j]), p - int(found.bounds[owner[p]]), n, 0) for j in range(a, b)]
-    return rows
+    return rows + _short_overlaps(index, found, hashes, owner, substitutions)
+
+
+def _short_overlaps(index: Index, found: W.Words, hashes: np.ndarray, owner: np.ndarray, substitutions: int) -> list[tuple[int, int, int, int, int]]:
+    """The same for items shorter than the overlap."""
+    rows, counts = set(), found.counts
+    for n, begin, width, values, items in index.short:
+        w = W.windows(hashes, width)
+        low, high = np.searchsorted(values, w, "left"), np.searchsorted(values, w, "right")
+        hit = np.flatnonzero(high > low)
+        for p, a, b in zip(hit.tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
+            d = int(owner[p])
+            start = p - begin
+            if start < found.bounds[d] or start + n > found.bounds[d + 1] or (n < SHORTEST and counts[d] != n):
+                continue
+            for j in items[a:b].tolist():
+                own = index.bounds[j]
+                wrong = int((hashes[start : start + n] != index.hashes[own : own + n]).sum())
+                if wrong <= allowed(n, index.overlap, substitutions):
+                    rows.add((d, j, start - int(found.bounds[d]), n, wrong))
+    return sorted(rows)
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[tuple[list[int], list[str]]]:
     """Items in blocks of at most block_bytes of text (one item at least)."""
-    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).cast("string").alias("t")).dropna().distinct()
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).cast("string").alias("t")).dropna(subset=["t"]).distinct()
     ids, texts, held = [], [], 0
     for row in items.orderBy("i", "t").toLocalIterator():
         if ids and held + len(row.t) > block_bytes:
@@ -166,7 +191,7 @@ def matches(
     if not only_clean:
         docs = docs.withColumn(found, F.array().cast(MATCHES))
     for ids, texts in _blocks(benchmark, item_id, item_text, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(index(ids, texts, masks, overlap))
+        sent = docs.sparkSession.sparkContext.broadcast(index(ids, texts, masks, overlap, substitutions))
         docs = _against(docs, sent, text, substitutions, None if only_clean else found)
     return docs
 
@@ -186,8 +211,8 @@ def _against(docs: DataFrame, sent, text: str, substitutions: int, found: str |
             place = names.index(found)
             lists = columns[place].to_pylist()
             for d, i, start, n, wrong in rows:
-                lists[d].append({"item_id": int(sent.value.ids[i]), "start": start, "length": n, "differing": wrong})
-            key = lambda x: (x["item_id"], x["start"], x["length"], x["differing"])
+                lists[d].append({"item_id": sent.value.ids[i], "start": start, "length": n, "differing": wrong})
+            key = lambda x: (x["item_id"] is None, x["item_id"] or 0, x["start"], x["length"], x["differing"])
             columns[place] = pa.array([sorted(x, key=key) for x in lists], to_arrow_type(MATCHES))
             yield pa.RecordBatch.from_arrays(columns, names)
 
