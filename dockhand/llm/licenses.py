@@ -5,8 +5,9 @@ piece stands unchanged in every match.  One automaton finds all pieces of all no
 hits the bounded-error matcher of the `regex` library verifies edits and gives the spans.
 
 Words are runs of letters, digits and non-ASCII characters after A-Z went to lower case; notices
-are matched against the words joined by one space.  Edits count bytes of UTF-8.  A notice may end
-in a part that must stand exactly (a version number).
+are matched against the words joined by one space.  Edits count bytes of UTF-8.  What names the
+licence must stand exactly (its name, a version number at the end); edits are for the words around.
+Words that follow and make it another licence are part of the label.  Work is linear in the text.
 
 Defined cases: a null or empty text has no words, no matches and score 0.  Repeated rows are
 scanned each.  Overlapping places of a base phrase all count; matches of one notice don't overlap.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from dockhand.llm import words as W
 from dockhand.llm.store import record
 
 # Phrases and the labels they stand for.
@@ -37,25 +39,39 @@ BASE = {
 
 @dataclass(frozen=True)
 class Notice:
-    """fuzzy is matched with up to `edits` errors, tail must follow it as it is."""
+    """fuzzy is matched with up to `edits` errors, tail must follow it as it is.  The matcher's time
+    grows steeply with the errors it allows, so a long text is told by one of its sentences.
+
+    The words of `name`, which tell this licence from others, must stand in the match unchanged.
+    `variants` are words after the match that make it another licence: their ending of the label."""
 
     label: str
     fuzzy: str
     tail: str = ""
+    name: str = ""
+    variants: tuple[tuple[str, str], ...] = ()
 
     @property
     def edits(self) -> int:
         return len(self.fuzzy) // 10
 
 
+# How the notices of common licences read, in words.
+_CC = (("sharealike", "-sa"), ("share alike", "-sa"), ("noderiv", "-nd"), ("no deriv", "-nd"))
 NOTICES = (
-    Notice("mit", " under the mit license "),
+    Notice("mit", " under the mit license ", name="mit"),
     Notice("mit", " permission is hereby granted free of charge to any person obtaining a copy of this software "),
-    Notice("apache-2", " apache license version ", "2 "),
-    Notice("cc-by-nc", " creative commons attribution noncommercial "),
-    Notice("gpl-3", " gnu general public license version ", "3 "),
-    Notice("gpl-2", " gnu general public license version ", "2 "),
-    Notice("mpl-2", " mozilla public license version ", "2 "),
+    Notice("apache-2", " apache license version ", "2 ", name="apache"),
+    Notice("cc-by-nc", " creative commons attribution noncommercial ", name="attribution noncommercial", variants=_CC),
+    Notice("cc-by-sa", " creative commons attribution sharealike ", name="attribution sharealike"),
+    Notice("gpl-3", " gnu general public license version ", "3 ", name="gnu general"),
+    Notice("gpl-2", " gnu general public license version ", "2 ", name="gnu general"),
+    Notice("lgpl-3", " gnu lesser general public license version ", "3 ", name="lesser"),
+    Notice("lgpl-2.1", " gnu lesser general public license version ", "2 1 ", name="lesser"),
+    Notice("agpl-3", " gnu affero general public license version ", "3 ", name="affero"),
+    Notice("mpl-2", " mozilla public license version ", "2 ", name="mozilla"),
+    Notice("isc", " copy modify and or distribute this software for any purpose "),
+    Notice("unlicense", " this is free and unencumbered software released into the public domain "),
     Notice("bsd", " redistribution and use in source and binary forms with or without modification "),
 )
 
@@ -111,9 +127,10 @@ class Scanner:
         """First word and label of every base place."""
         found = []
         for phrase, label in self.base:
-            at = joined.find(phrase)
+            word, before, at = 0, 0, joined.find(phrase)
             while at >= 0:
-                found.append((joined.count(b" ", 0, at), label))
+                word, before = word + joined.count(b" ", before, at), at
+                found.append((word, label))
                 at = joined.find(phrase, at + 1)
         return found
 
@@ -127,13 +144,19 @@ class Scanner:
                 near.setdefault(i, []).append((max(0, start - notice.edits), reach))
         rows = []
         for i in sorted(near):
+            notice, name = self.notices[i], f" {self.notices[i].name} ".encode()
+            word, before = -1, 0  # spaces up to a place, less one, is the number of the word there
             for low, high in merged(near[i]):
                 for m in self.patterns[i].finditer(joined, low, high):
                     inner = m.group().strip()
+                    if notice.name and name not in b" " + inner + b" ":
+                        continue
                     start = joined.find(inner, m.start())
-                    first = joined.count(b" ", 0, start) - 1
+                    word, before = word + joined.count(b" ", before, start), start
+                    after = joined[m.end() : m.end() + 20].lstrip()
+                    ending = next((e for text, e in notice.variants if after.startswith(text.encode())), "")
                     rows.append((
-                        self.notices[i].label, i, first, first + inner.count(b" "), sum(m.fuzzy_counts),
+                        notice.label + ending, i, word, word + inner.count(b" "), sum(m.fuzzy_counts),
                         inner.decode("utf-8", "replace"),
                     ))
         return rows
@@ -152,7 +175,7 @@ def scan(docs: DataFrame, text: str = "text", notices: tuple[Notice, ...] = NOTI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, schema = Scanner(notices, base), to_arrow_schema(_SCHEMA)
-        for batch in batches:
+        for batch in W.sliced(batches, 1):
             rows = []
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 joined, n = normal(value.as_buffer().to_pybytes() if value.is_valid else b"")
