@@ -88,19 +88,6 @@ def unigrams(rows, train):
     }
 
 
-def distances(pattern, text):
-    """Least edits of pattern against any substring of text that ends at each place."""
-    row = list(range(len(pattern) + 1))
-    out = [row[-1]]
-    for c in text:
-        new = [0]
-        for j, p in enumerate(pattern, 1):
-            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (p != c)))
-        row = new
-        out.append(row[-1])
-    return out
-
-
 AWKWARD = [
     (1, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"),
     (2, None), (3, ""), (4, " \n\t "), (5, "word"), (6, "Ünïcödé wörds änd 漢字 \U0001f600 here"),

@@ -26,8 +26,9 @@ def contaminated(text, items, width=13, wrong=2):
     b = np.array(token(text))
     for item in items:
         a = np.array(token(item))
-        n, most = (width, wrong) if len(a) >= width else (len(a), 0)
-        if len(a) < contamination.SHORTEST or len(b) < n:
+        n = min(len(a), width)
+        most = n * wrong // width
+        if not n or len(b) < n or (n < contamination.SHORTEST and len(b) != n):
             continue
         same = a[:, None] == b[None, :]
         for k in range(-len(a) + 1, len(b)):

@@ -104,6 +104,18 @@ def test_held_out_rows(spark):
     assert all(r.h == held_out(r.doc_id, 5, 0) for r in table.collect())
 
 
+def test_copies_of_few_texts_do_not_lose_a_language(spark):
+    german = ["der hund und die katze schlafen", "wir gehen heute in den wald", "das wetter ist schön geworden"]
+    rng = random.Random(5)
+    english = [" ".join(rng.choices(["the", "dog", "and", "cats", "sleep", "we", "walk", "into", "woods"], k=8)) for _ in range(300)]
+    rows = [(i, german[i % 3], "de") for i in range(3000)] + [(3000 + i, t, "en") for i, t in enumerate(english)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for seed in (1, 2, 3):
+        model = language.fit(table, buckets=1 << 12, docs_per_language=50, seed=seed)
+        wrong = language.predict(table, model).where("lang <> lang_pred").count()
+        assert wrong == 0
+
+
 # --- 2 licenses -----------------------------------------------------------------------------------
 
 
@@ -325,6 +337,20 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert plain(found, "doc_id", "n_shingles", "component_id", "kept") == near_duplicates(rows, 2)
 
 
+def test_one_outlier_beside_many_copies_is_compared_once_each(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 8)
+    rows = [("b", i, 0, i % 3 == 0) for i in range(400)] + [("b", 1000 + i, 1000 + i, False) for i in range(3)] + [("b", 2000 + i, 2000, False) for i in range(20)]
+    given = spark.createDataFrame([r[:3] for r in rows], "band string, rep long, root long")
+    dealt = minhash._Search.dealt(given).collect()
+    assert len(dealt) == len(rows)
+    tiles = {}
+    for r in dealt:
+        tiles.setdefault((r.own, r.tile), []).append(r.rep)
+    assert {own for own, _ in tiles} == {0, 2000, None}
+    assert sorted(x for own, t in tiles for x in tiles[own, t] if own is None) == [1000, 1001, 1002]
+    assert all(len(x) <= 24 for x in tiles.values()) and len([1 for own, _ in tiles if own == 0]) > 30
+
+
 # --- 10 contamination ---------------------------------------------------------------------------------------
 
 
@@ -343,5 +369,15 @@ def test_contamination_in_blocks(spark):
     assert {len(r.contamination) for r in contamination.matches(table, bench.where("false")).collect()} == {0}
 
 
+def test_short_and_nameless_items(spark):
+    question = "which of these eleven words was replaced by another one here"
+    bench = spark.createDataFrame([(1, question), (2, "four words of it"), (3, "yes"), (None, "an item that has no id but nine words")], "item_id bigint, text string")
+    rows = [(1, "so: " + question.replace("eleven", "twelve") + "?"), (2, "there are four words of it in this text"), (3, "yes it is"), (4, "Yes!"),
+            (5, "see an item that has no id but nine words."), (6, question.replace("eleven", "x").replace("another", "y")), (7, "three words of it")]
+    found = contamination.matches(docs(spark, rows), bench)
+    got = {r.doc_id: [(c.item_id, c.length, c.differing) for c in r.contamination] for r in found.collect()}
+    assert got == {1: [(1, 11, 1)], 2: [(2, 4, 0)], 3: [], 4: [(3, 1, 0)], 5: [(None, 9, 0)], 6: [], 7: []}
+
+
 def test_lower_case_is_ascii_only():
     assert low("ÉA") == "Éa"
