@@ -23,9 +23,10 @@ DIM = 16
 CLASSES = 64
 OWN_CLASSES = 56  # of the most frequent subwords; the others share the rest in bands of equal mass
 ROWS, SHARED_ROWS = 2048, 64  # input rows; rarer subwords share some
-_CHUNK = 1024  # blocks at once
-_STEP = 256  # blocks at once where gradients are needed
+_CHUNK = 256  # blocks at once, so that what is made of them stays in the processor's cache
+_GROUP = 512  # blocks whose gradients are added up by row at once
 _FAR = np.float32(-1e9)
+_ONES = np.ones((max(CLASSES, 2 * BLOCK), 1), np.float32)  # products with it are the faster sums
 _LARGEST = 40.0  # of the head's scores; exp(2 * 40) is a single-precision number
 HEAD = ("q", "k", "v", "out", "near")  # what is trained; all else are counts
 
@@ -79,41 +80,44 @@ class Model:
         distance = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
         return np.where(distance >= 0, self.near[np.maximum(distance, 0)], _FAR).astype(np.float32)
 
-    def _attend(self, x: np.ndarray, before: np.ndarray, first: np.ndarray):
-        """Queries, keys and values, weights that don't add up to 1 yet, their sums, and the output.
+    def _tables(self) -> np.ndarray:
+        """Queries (scaled), keys and values side by side."""
+        return np.concatenate([self.q * np.float32(DIM**-0.5), self.k, self.v], 1)
+
+    @staticmethod
+    def _attend(tables: np.ndarray, bias: np.ndarray, rows: np.ndarray, first: np.ndarray):
+        """Queries, keys and values, weights that don't add up to 1 yet, their sums, and the output
+        of all blocks but the first, which is there for the next one to look at.
 
         Scores are bounded (see settle), so their exponentials need no shift by the maximum."""
-        q, k, v, k_before, v_before = (np.take(t, at, axis=0) for t, at in ((self.q, x), (self.k, x), (self.v, x), (self.k, before), (self.v, before)))
-        q *= np.float32(DIM**-0.5)
-        a = np.empty((len(x), BLOCK, 2 * BLOCK), np.float32)
-        np.matmul(q, k_before.transpose(0, 2, 1), out=a[:, :, :BLOCK])
-        np.matmul(q, k.transpose(0, 2, 1), out=a[:, :, BLOCK:])
-        a += self._bias()
+        found = np.take(tables, rows, axis=0)
+        q, k, v = found[1:, :, :DIM], found[:, :, DIM : 2 * DIM], found[:, :, 2 * DIM :]
+        keys, values = np.concatenate([k[:-1], k[1:]], 1), np.concatenate([v[:-1], v[1:]], 1)
+        a = q @ keys.transpose(0, 2, 1)
+        a += bias
         np.exp(a, out=a)
         a[first, :, :BLOCK] = 0  # no look at another text
-        total = a.sum(2, keepdims=True)
-        o = a[:, :, :BLOCK] @ v_before
-        o += a[:, :, BLOCK:] @ v
+        total = a @ _ONES[: 2 * BLOCK]
+        o = a @ values
         o /= total
-        return q, k, v, k_before, v_before, a, total, o
+        return q, keys, values, a, total, o
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability, 0 where the target is -1.
 
         x, y: blocks x BLOCK subwords and their successors; first: whether a block begins a text."""
         out = np.zeros(x.shape, np.float64)
-        rows = self.layout.row[x]
-        before = np.concatenate([rows[:1], rows[:-1]])
-        share = np.exp(self.bigram)
+        rows = self.layout.row[np.concatenate([x[:1], x])]
+        tables, bias, share, (h_room, share_room) = self._tables(), self._bias(), np.exp(self.bigram), _room()
         for low in range(0, len(x), _CHUNK):
             part = slice(low, low + _CHUNK)
-            o = self._attend(rows[part], before[part], first[part])[-1]
-            h = o.reshape(-1, DIM) @ self.out
-            row, target = rows[part].reshape(-1), np.maximum(y[part], 0).reshape(-1)
+            o = self._attend(tables, bias, rows[low : low + _CHUNK + 1], first[part])[-1]
+            h = np.matmul(o.reshape(-1, DIM), self.out, out=h_room[: o.size // DIM])
+            row, target = rows[low + 1 : low + _CHUNK + 1].reshape(-1), np.maximum(y[part], 0).reshape(-1)
             klass = self.layout.cls[target]
             picked = h[np.arange(len(h)), klass] + self.bigram[row, klass]
             np.exp(h, out=h)
-            found = picked - np.log(np.einsum("nc,nc->n", h, np.take(share, row, axis=0))) + self.within[target]
+            found = picked - np.log(np.einsum("nc,nc->n", h, np.take(share, row, axis=0, out=share_room[: len(h)], mode="clip"))) + self.within[target]
             out[part] = np.where(y[part] >= 0, found.reshape(-1, BLOCK), 0)
         return out
 
@@ -140,39 +144,64 @@ class Model:
                 setattr(self, n, getattr(self, n) * np.float32(_LARGEST / bound))
         return self
 
-    def gradient(self, x: np.ndarray, before: np.ndarray, y: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, int]:
+    def gradient(self, x: np.ndarray, before: np.ndarray | None, y: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, int]:
         """Of the cross entropy of the classes, summed over all targets, as a vector like head();
-        and the number of targets.  before: the block before each one."""
-        total, seen = np.zeros(len(self.head())), 0
-        x, before = self.layout.row[x], self.layout.row[before]
-        for low in range(0, len(x), _STEP):
-            part = slice(low, low + _STEP)
-            n = int((y[part] >= 0).sum())
-            found = self._gradients(x[part], before[part], y[part], first[part])
-            total += n * np.concatenate([found[k].reshape(-1) for k in HEAD]).astype(np.float64)
-            seen += n
-        return total, seen
-
-    def _gradients(self, x: np.ndarray, before: np.ndarray, y: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
-        q, k, v, k_before, v_before, a, total, o = self._attend(x, before, first)
-        a /= total
-        z = np.exp(o @ self.out + self.bigram[x])
-        z /= z.sum(2, keepdims=True)
-        target = self.layout.cls[np.maximum(y, 0)]
-        np.put_along_axis(z, target[:, :, None], np.take_along_axis(z, target[:, :, None], 2) - 1, 2)
-        z *= (y >= 0)[:, :, None] / np.float32(max(1, (y >= 0).sum()))
-        d_out = o.reshape(-1, DIM).T @ z.reshape(-1, CLASSES)
-        d_o = z @ self.out.T
-        keys, values = np.concatenate([k_before, k], 1), np.concatenate([v_before, v], 1)
-        d_v = a.transpose(0, 2, 1) @ d_o
-        d_a = d_o @ values.transpose(0, 2, 1)
-        d_s = a * (d_a - (d_a * a).sum(2, keepdims=True))
+        and the number of targets.  before: the block before each one; None: the one in front of it in x."""
+        if before is not None:
+            x, y = np.stack([before, x], 1).reshape(-1, BLOCK), np.stack([np.full_like(y, -1), y], 1).reshape(-1, BLOCK)
+            first = np.stack([np.ones_like(first), first], 1).reshape(-1)
+        rows = self.layout.row[np.concatenate([x[:1], x])]
+        made = self._tables(), self._bias(), np.exp(self.bigram), _room()
+        d_tables, d_out, d_bias = np.zeros((ROWS, 3 * DIM)), np.zeros((DIM, CLASSES)), np.zeros((BLOCK, 2 * BLOCK))
+        for low in range(0, len(x), _GROUP):
+            high = min(low + _GROUP, len(x))
+            d_found = tuple(np.zeros((high - low + 1, BLOCK, DIM), np.float32) for _ in range(3))
+            for at in range(low, high, _CHUNK):
+                end = min(at + _CHUNK, high)
+                found = self._gradients(*made, rows[at : end + 1], y[at:end], first[at:end], [d[at - low : end - low + 1] for d in d_found])
+                d_out += found[0]
+                d_bias += found[1]
+            _add_rows(d_tables, rows[low : high + 1].reshape(-1), d_found)
         distance = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
         seen = distance >= 0
-        d_near = np.bincount(distance[seen], d_s.sum(0)[seen], 2 * BLOCK).astype(np.float32)
-        both = np.concatenate([before, x], 1)
-        tables = {"q": (x, (d_s @ keys) * np.float32(DIM**-0.5)), "k": (both, d_s.transpose(0, 2, 1) @ q), "v": (both, d_v)}
-        return {"out": d_out, "near": d_near, **{n: _summed(place, g) for n, (place, g) in tables.items()}}
+        d_near = np.bincount(distance[seen], d_bias[seen], 2 * BLOCK)
+        d_q, d_k, d_v = d_tables[:, :DIM] * DIM**-0.5, d_tables[:, DIM : 2 * DIM], d_tables[:, 2 * DIM :]
+        found = {"q": d_q, "k": d_k, "v": d_v, "out": d_out, "near": d_near}
+        return np.concatenate([found[n].reshape(-1) for n in HEAD]), int((y >= 0).sum())
+
+    def _gradients(self, tables, bias, share, room, rows: np.ndarray, y: np.ndarray, first: np.ndarray, d_found: list[np.ndarray]):
+        """Of out and of the scores by place; those of queries, keys and values are added to d_found.
+
+        With z the exponentials, Z their sum and t the target, the gradient of a position's class
+        scores is z / Z - t; Z goes to the narrow side of the products."""
+        q, keys, values, a, total, o = self._attend(tables, bias, rows, first)
+        narrow = o.reshape(-1, DIM)
+        z = np.matmul(narrow, self.out, out=room[0][: len(narrow)])
+        np.exp(z, out=z)
+        z *= np.take(share, rows[1:].reshape(-1), axis=0, out=room[1][: len(z)], mode="clip")
+        sums, target = z @ _ONES[:CLASSES], self.layout.cls[np.maximum(y, 0).reshape(-1)]
+        z[np.arange(len(z)), target] -= sums[:, 0]
+        weight = (y >= 0).reshape(-1, 1) / sums
+        d_out = (narrow * weight).T @ z
+        d_o = (z @ self.out.T) * weight
+        own = np.einsum("nd,nd->n", d_o, narrow).reshape(-1, BLOCK, 1)
+        d_o = d_o.reshape(-1, BLOCK, DIM)
+        a /= total
+        d_v = a.transpose(0, 2, 1) @ d_o
+        d_s = d_o @ values.transpose(0, 2, 1)
+        d_s -= own
+        d_s *= a
+        d_k = d_s.transpose(0, 2, 1) @ q
+        np.matmul(d_s, keys, out=d_found[0][1:])
+        for into, d in zip(d_found[1:], (d_k, d_v), strict=True):
+            into[:-1] += d[:, :BLOCK]
+            into[1:] += d[:, BLOCK:]
+        return d_out, d_s.sum(0)
+
+
+def _room() -> tuple[np.ndarray, np.ndarray]:
+    """Memory for two values of each class, used over and over."""
+    return tuple(np.empty((_CHUNK * BLOCK, CLASSES), np.float32) for _ in range(2))
 
 
 class Adam:
@@ -191,15 +220,13 @@ class Adam:
         return model.with_head(model.head() - rate * change)
 
 
-def _summed(place: np.ndarray, g: np.ndarray) -> np.ndarray:
-    """Gradients of table rows, added up by row."""
-    place, g = place.reshape(-1), g.reshape(-1, DIM)
-    order = np.argsort(place, kind="stable")
+def _add_rows(total: np.ndarray, place: np.ndarray, parts: tuple[np.ndarray, ...]) -> None:
+    """Adds gradients of table rows, in parts side by side, to the totals."""
+    order = np.argsort(place.astype(np.uint16), kind="stable")  # ROWS is less, and short numbers sort faster
     rows = place[order]
     heads = np.flatnonzero(np.diff(rows, prepend=-1))
-    out = np.zeros((ROWS, DIM), np.float32)
-    out[rows[heads]] = np.add.reduceat(g[order], heads)
-    return out
+    sums = [np.add.reduceat(np.take(g.reshape(len(place), -1), order, axis=0), heads) for g in parts]
+    total[rows[heads]] += np.concatenate(sums, 1)
 
 
 def blocked(tokens: np.ndarray, counts: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -7,11 +7,10 @@ with the white space before it on its own.  Subwords are made once and written a
 What the model knows comes from all training texts.  Words are counted by blocks of the hash
 space, so the vocabulary is nowhere gathered.  Subwords are counted, which also gives them their
 input rows and classes, and so are pairs of subword and next class.  The attention head takes
-ROUNDS steps of Adam.  The gradient of a step is summed over all tasks, from one in SHARE of the
-blocks of 16 subwords of all training texts; which step uses a block, if any, follows from a hash of
-its text and its place in it.  So training work grows with the corpus and does not depend on how
-texts are dealt to tasks.  Gradients are added up in groups of GROUP tasks, these in groups again,
-and the rest on the driver.
+ROUNDS steps of Adam, in which each training text takes part once and as a whole.  Which step that
+is follows from a hash of doc_id, so training does not depend on how texts are dealt to tasks.  The
+gradient of a step is summed over all its texts: in tasks, in groups of GROUP tasks, these in
+groups again, and the rest on the driver.
 
 Defined cases: a null or empty text is one end token.  Without training texts the model falls back
 to its smoothing and N is 0.  Rows without doc_id are not learned from.  Repeated rows count each.
@@ -38,15 +37,13 @@ from dockhand.llm.store import record, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 _PIECE_BYTES = 4096  # longer words are cut
-BLOCK_ODD = 0x9E3779B97F4A7C15
 
 ROUNDS = 12
-SHARE = 288  # of all blocks one is used in a round, so one in 24 in all
+HELD_OUT, COUNTS = -1, -2  # instead of a round: texts that are not learned from, and rows of counts
 GROUP = 32  # gradients added up by one task
 
 COUNTED = record(batch="long", block="long", found="binary", total="long", distinct="long")
-TOKENS = record(batch="long", payload="binary", code="long", n="long")
-DRAWN = record(turn="int", payload="binary")
+TOKENS = record(batch="long", turn="int", payload="binary", code="long", n="long")
 SUMS = record(part="long", targets="long", gradient="binary")
 SCORED = record(batch="long", place="int", score="double")
 RESULT = record(batch="long", place="int", doc_id="long", train="string", n_tokens="long", n_known="long", base="double")
@@ -66,17 +63,22 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return W.LOWER[data], offsets
 
 
+def _sorted_union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    both = np.sort(np.concatenate([a, b]), kind="stable")  # a merge, where both are sorted
+    return both[np.diff(both, prepend=-1) > 0]
+
+
 def subwords(data: np.ndarray, offsets: np.ndarray, words: W.Words, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Subwords of all texts in a row, and how many each text has.  Each distinct piece (a word
     with the space before it, or space at the end) is encoded once."""
     data = np.where(data == 0, np.uint8(1), data)
-    points = np.union1d(offsets, words.ends)
+    points = _sorted_union(offsets, words.ends)
     long = np.flatnonzero(np.diff(points) > _PIECE_BYTES)
     if len(long):
         more = np.concatenate([np.arange(points[i] + _PIECE_BYTES, points[i + 1], _PIECE_BYTES) for i in long])
         for _ in range(3):  # to the first byte of a character
             more = more - ((data[more] & 0xC0) == 0x80)
-        points = np.union1d(points, more)
+        points = _sorted_union(points, more)
     starts, ends = points[:-1], points[1:]
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
@@ -125,7 +127,7 @@ def _resolve(rows: pa.Table) -> pa.Table:
 
 
 def _tokenize(path: str):
-    """The subwords of each batch, and the counts of those in a task's training texts."""
+    """The subwords of each batch by round, and the counts of those in a task's training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         boundary = tokenizer(path)[2]
@@ -138,9 +140,15 @@ def _tokenize(path: str):
                 train = table.column("train").to_numpy()
                 sums += np.bincount(tokens[np.repeat(train, counts)], minlength=boundary + 1)
                 sums[boundary] += train.sum()
-                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([_packed(tokens, counts, train)], pa.binary()), *[pa.nulls(1, pa.int64())] * 2], TOKENS.names)
+                turns = np.where(train, (W.mix(B.ids(table).astype(np.uint64)) % np.uint64(ROUNDS)).astype(np.int64), HELD_OUT)
+                turn_of_token = np.repeat(turns, counts)
+                for turn in np.unique(turns).tolist():
+                    places = np.flatnonzero(turns == turn)
+                    packed = _packed(tokens[turn_of_token == turn], counts[places], places)
+                    yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([turn], pa.int32()), pa.array([packed], pa.binary()), *[pa.nulls(1, pa.int64())] * 2], TOKENS.names)
         used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()), pa.array(used), pa.array(sums[used])], TOKENS.names)
+        turn = pa.array(np.full(len(used), COUNTS, np.int32))
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), turn, pa.nulls(len(used), pa.binary()), pa.array(used), pa.array(sums[used])], TOKENS.names)
 
     return run
 
@@ -148,25 +156,23 @@ def _tokenize(path: str):
 _CODEC = pa.Codec("zstd")
 
 
-def _packed(tokens: np.ndarray, counts: np.ndarray, train: np.ndarray) -> bytes:
+def _packed(tokens: np.ndarray, counts: np.ndarray, places: np.ndarray) -> bytes:
     kind = np.uint16 if not len(tokens) or tokens.max() < 1 << 16 else np.uint32
     head = np.array([len(counts), len(tokens), np.dtype(kind).itemsize], np.int64).tobytes()
-    body = counts.astype(np.int64).tobytes() + train.astype(np.uint8).tobytes() + tokens.astype(kind).tobytes()
+    body = counts.astype(np.int64).tobytes() + places.astype(np.int32).tobytes() + tokens.astype(kind).tobytes()
     return head + _CODEC.compress(body, asbytes=True)
 
 
 def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subwords, how many each text has, and which texts are for training."""
+    """Subwords, how many each text has, and the places of the texts in their batch."""
     texts, n, width = np.frombuffer(payload, np.int64, 3).tolist()
-    body = _CODEC.decompress(payload[24:], 9 * texts + n * width, asbytes=True)
-    tokens = np.frombuffer(body, f"u{width}", n, 9 * texts).astype(np.int64)
-    return tokens, np.frombuffer(body, np.int64, texts), np.frombuffer(body, np.uint8, texts, 8 * texts).astype(bool)
+    body = _CODEC.decompress(payload[24:], 12 * texts + n * width, asbytes=True)
+    tokens = np.frombuffer(body, f"u{width}", n, 12 * texts).astype(np.int64)
+    return tokens, np.frombuffer(body, np.int64, texts), np.frombuffer(body, np.int32, texts, 8 * texts)
 
 
-def _blocks(payload: bytes, path: str, training: bool):
-    tokens, counts, train = _unpacked(payload)
-    if training:
-        tokens, counts = tokens[np.repeat(train, counts)], counts[train]
+def _blocks(payload: bytes, path: str):
+    tokens, counts, _ = _unpacked(payload)
     return A.blocked(tokens, counts, tokenizer(path)[2])
 
 
@@ -177,7 +183,7 @@ def _count(layout: A.Layout, path: str):
         sums = np.zeros(A.ROWS * A.CLASSES, np.int64)
         for batch in batches:
             for payload in batch.column(0).to_pylist():
-                x, y, _, _ = _blocks(payload, path, True)
+                x, y, _, _ = _blocks(payload, path)
                 x, y = x[y >= 0], y[y >= 0]
                 sums += np.bincount(layout.row[x].astype(np.int64) * A.CLASSES + layout.cls[y], minlength=len(sums))
         used = np.flatnonzero(sums)
@@ -186,39 +192,15 @@ def _count(layout: A.Layout, path: str):
     return run
 
 
-def _draw(path: str):
-    """The blocks of each batch that take part in training, by round."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        boundary = tokenizer(path)[2]
-        for batch in batches:
-            for payload in batch.column(0).to_pylist():
-                x, y, first, starts = _blocks(payload, path, True)
-                with np.errstate(over="ignore"):
-                    place = np.arange(len(x)) - np.repeat(starts[:-1], np.diff(starts))
-                    mixed = W.mix(x.astype(np.uint64) * np.uint64(BLOCK_ODD) + np.arange(A.BLOCK, dtype=np.uint64)).sum(1, dtype=np.uint64)
-                    mixed = W.mix(mixed + place.astype(np.uint64))
-                    texts = np.add.reduceat(mixed, starts[:-1]) if len(x) else mixed
-                    turn = W.mix(np.repeat(texts, np.diff(starts)) + place.astype(np.uint64) * np.uint64(BLOCK_ODD)) % np.uint64(SHARE)
-                for t in range(ROUNDS):
-                    chosen = np.flatnonzero(turn == t)
-                    if len(chosen):
-                        before = np.where(first[chosen, None], boundary, x[np.maximum(chosen - 1, 0)])
-                        arrays = np.concatenate([x[chosen], before, y[chosen], first[chosen, None]], 1).astype(np.int32)
-                        yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([arrays.tobytes()], pa.binary())], DRAWN.names)
-
-    return run
-
-
-def _gradient(model):
+def _gradient(model, path: str):
     """The sum of a task's gradients in one round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, targets, n = 0.0, 0, A.BLOCK
+        total, targets = 0.0, 0
         for batch in batches:
             for payload in batch.column(0).to_pylist():
-                given = np.frombuffer(payload, np.int32).reshape(-1, 3 * n + 1)
-                found, seen = model.value.gradient(given[:, :n], given[:, n : 2 * n], given[:, 2 * n : 3 * n], given[:, -1] > 0)
+                x, y, first, _ = _blocks(payload, path)
+                found, seen = model.value.gradient(x, None, y, first)
                 total, targets = total + found, targets + seen
         if targets:
             part = TaskContext.get().partitionId()
@@ -237,18 +219,17 @@ def fit(tokens: DataFrame, path: str, seed: int) -> A.Model:
     """The model of all training texts, from the table of subwords."""
     spark, boundary = tokens.sparkSession, tokenizer(path)[2]
     known = np.zeros(boundary + 1)
-    rows = tokens.where("code is not null").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # the vocabulary at most
+    rows = tokens.where(F.col("turn") == COUNTS).groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # the vocabulary at most
     known[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
     layout = A.Layout.of(known)
-    payloads = tokens.where("payload is not null").select("payload")
+    payloads = tokens.where("turn >= 0").select("turn", "payload")
     pairs = np.zeros(A.ROWS * A.CLASSES)
-    rows = payloads.mapInArrow(_count(layout, path), record(code="long", n="long")).groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    rows = payloads.select("payload").mapInArrow(_count(layout, path), record(code="long", n="long")).groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     pairs[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
     model, adam = A.Model.start(layout, known, pairs.reshape(A.ROWS, A.CLASSES), seed), A.Adam(ROUNDS)
-    drawn = written(payloads.mapInArrow(_draw(path), DRAWN), "drawn-blocks")
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        sums = drawn.where(F.col("turn") == turn).select("payload").mapInArrow(_gradient(shared), SUMS)
+        sums = payloads.where(F.col("turn") == turn).select("payload").mapInArrow(_gradient(shared, path), SUMS)
         for _ in range(2):
             sums = sums.withColumn("part", F.floor(F.col("part") / GROUP)).groupBy("part").applyInArrow(_add_up, SUMS)
         found = sorted(sums.collect(), key=lambda r: r["part"])  # a row for GROUP * GROUP tasks
@@ -284,12 +265,14 @@ def _base(blocks: int, tokens_in_all: int, distinct: int, ends: int):
 
 def _score(model, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        boundary = tokenizer(path)[2]
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x, y, first, starts = _blocks(payload, path, False)
+                tokens, counts, places = _unpacked(payload)
+                x, y, first, starts = A.blocked(tokens, counts, boundary)
                 found = model.value.log_probabilities(x, y, first).sum(1)
                 score = np.add.reduceat(found, starts[:-1]) / np.log(10) if len(found) else found
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(score), pa.int64()), pa.array(np.arange(len(score)), pa.int32()), pa.array(score)], SCORED.names)
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(score), pa.int64()), pa.array(places), pa.array(score)], SCORED.names)
 
     return run
 
@@ -310,9 +293,9 @@ def score(
     totals = found.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
     ends = docs.where(train).count()
     n, v = (totals.n or 0) + ends, (totals.v or 0) + (ends > 0)
-    tokens = written(batches.select("batch", "payload").mapInArrow(_tokenize(path), TOKENS), "subwords", compression="none")
+    tokens = written(batches.select("batch", "payload").mapInArrow(_tokenize(path), TOKENS), "subwords", compression="none", by="turn")
     model = docs.sparkSession.sparkContext.broadcast(fit(tokens, path, seed))
-    scored = tokens.where("payload is not null").select("batch", "payload").mapInArrow(_score(model, path), SCORED)
+    scored = tokens.where(F.col("turn") != COUNTS).select("batch", "payload").mapInArrow(_score(model, path), SCORED)
     given = batches.groupBy("batch").cogroup(found.select("batch", "block", "found").groupBy("batch"))
     rows = given.applyInArrow(_base(blocks, n, v, ends), RESULT).join(scored, ["batch", "place"])
     return rows.select(

@@ -29,12 +29,13 @@ def bounded(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+def written(frame: DataFrame, label: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
     """The frame's rows from a table in the shared work folder: computed once, safe from the
-    loss of executors, and without the lineage behind it."""
+    loss of executors, and without the lineage behind it.  by: a column of few values, each in
+    files of its own."""
     spark = frame.sparkSession
     folder = new_work_folder(spark, label)
-    frame.write.option("compression", compression).parquet(folder)
+    frame.write.option("compression", compression).parquet(folder, partitionBy=by)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

@@ -405,6 +405,17 @@ def test_gradient_against_differences():
     assert n == 91
 
 
+def test_gradient_of_a_run_of_blocks():
+    rng = np.random.default_rng(6)
+    tokens = rng.integers(0, 60, 20_000)
+    made = model(tokens, 120, 5)
+    x, y, first, _ = A.blocked(tokens, np.array([11_000, 0, 40, 8_960]), 120)
+    assert len(x) > A._GROUP
+    by_block, n = made.gradient(x, np.concatenate([x[:1], x[:-1]]), y, first)
+    run, m = made.gradient(x, None, y, first)
+    assert n == m == 20_004 and np.allclose(run, by_block, rtol=1e-3, atol=1e-3)
+
+
 def test_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 80, 9)

@@ -9,7 +9,7 @@ import pytest
 from helpers import AWKWARD, components, held_out, low, near_duplicates, substrings, unigrams, words
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, contamination, language, licenses, minhash, mixing, pii, scoring, store
+from dockhand.llm import attention, blocks, chat, contamination, language, licenses, minhash, mixing, pii, scoring, store
 from dockhand.llm import substrings as S
 from dockhand.llm import vectors
 
@@ -249,6 +249,26 @@ def test_scores_do_not_depend_on_batches(spark):
     assert score(300) == score(1 << 20)
 
 
+def test_every_training_text_is_learned_from_once(spark):
+    rows = corpus(7, 60) + [(5001, "ein zwei drei " * 400), (5002, None)]
+    train = F.coalesce(~language.held_out("doc_id", 7, 2) & F.col("doc_id").isNotNull(), F.lit(False))
+    batches = blocks.pack(docs(spark, rows), "text", {"train": train}, 900).select("batch", "payload")
+    tokens = batches.mapInArrow(scoring._tokenize(scoring.VOCABULARY), scoring.TOKENS).toPandas()
+    sizes, seen = {}, 0
+    made = attention.Model.start(attention.Layout.of(np.ones(scoring.tokenizer(scoring.VOCABULARY)[2] + 1)), np.ones(scoring.tokenizer(scoring.VOCABULARY)[2] + 1), np.ones((attention.ROWS, attention.CLASSES)), 1)
+    for turn, payload in tokens[tokens.turn >= 0][["turn", "payload"]].itertuples(index=False):
+        assert 0 <= turn < scoring.ROUNDS
+        x, y, first, _ = scoring._blocks(payload, scoring.VOCABULARY)
+        seen += made.gradient(x, None, y, first)[1]
+        sizes[turn] = sizes.get(turn, 0) + len(x)
+    learned = tokens[tokens.turn == scoring.COUNTS].n.sum()  # subwords of training texts and their ends
+    assert seen == learned > 0
+    assert len(sizes) == scoring.ROUNDS
+    n_train = sum(d is not None and not held_out(d, 7, 2) for d, _ in rows)
+    assert sum(len(scoring._unpacked(p)[1]) for p in tokens[tokens.turn >= 0].payload) == n_train
+    assert sum(len(scoring._unpacked(p)[1]) for p in tokens[tokens.turn != scoring.COUNTS].payload) == len(rows)
+
+
 # --- 8 mixing ------------------------------------------------------------------------------------------------
 
 
