@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from dockhand.session import small_table
 
 ORDER = ("file_seq", "nr")
+_BLOCK_BITS = 16  # of a place; the rest is its block
 FEW = 200_000  # (set, file) pairs that reject mode settles on the driver; the verdicts don't depend on it
 
 
@@ -105,17 +106,17 @@ def losers(
     :func:`_settle`.
     """
     contested = _saved(spark, contested, f"{folder}/contested")
-    first, second = (F.sum(F.xxhash64("file_seq", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2))
-    named = contested.groupBy(*key).agg(
-        F.concat_ws(":", F.count(F.lit(1)), first, second).alias("set"), F.count(F.lit(1)).alias("files")
-    )
-    named = named.filter("files > 1").drop("files")
+    # Sums of 32 bits don't overflow; together they name the set, in 16 bytes.
+    parts = [F.sum(F.shiftright(F.xxhash64("file_seq", F.lit(i)), 32)).alias(f"_sum{i}") for i in range(3)]
+    counted = contested.groupBy(*key).agg(F.count(F.lit(1)).alias("_files"), *parts).filter("_files > 1")
+    name = F.unhex(F.md5(F.concat_ws(":", "_files", *(f"_sum{i}" for i in range(3)))))
+    named = counted.select(*key, name.alias("set"))
     members = contested.join(named, key).select("set", "file_seq").distinct()
     members = _saved(spark, members, f"{folder}/members")
     if members.count() <= few:
         taken, lost, sets_of = set(), [], {}
         for row in members.collect():
-            sets_of.setdefault(row["file_seq"], []).append(row["set"])
+            sets_of.setdefault(row["file_seq"], []).append(bytes(row["set"]))
         for file, sets in sorted(sets_of.items()):
             if taken.isdisjoint(sets):
                 taken.update(sets)
@@ -129,26 +130,34 @@ def _settle(spark: SparkSession, members: DataFrame, folder: str) -> DataFrame:
     """The same in rounds over ids only, one small row per member of a set.
 
     Verdicts are written as conjunctions.  A file is accepted if each of its sets is free before
-    it; a set is free after a member if it was free before and the member is not accepted.  Each
+    it; a set is free after a member if it was free before and the member is not accepted.  Before
+    the second member that is the first one's verdict alone, so pairs need no more than that.  Each
     round puts in known values and, for what hangs on a single other verdict, that one: pointers
     double, so a chain of n files takes about log2(n) rounds.  A conjunction that holds a verdict and its
     opposite is false.  At least the first open verdict is settled per round.
     """
-    placed = _saved(spark, dense_numbers(spark, members, ["set", "file_seq"], "place", folder), f"{folder}/placed")
-    beside = lambda step, name: placed.select((F.col("place") + step).alias("place"), F.col("set").alias(name))
-    linked = placed.join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
+    placed = dense_numbers(spark, members, ["set", "file_seq"], "place", folder)
+    # Neighbours are found in blocks of places, which no large set can make uneven; rows at the
+    # edge of a block are in the one beside it as well.
+    block_of = lambda step: F.shiftright(F.col("place") + step, _BLOCK_BITS)
+    blocks = F.array_distinct(F.array(*(block_of(step) for step in (-1, 0, 1, 2))))
+    window = Window.partitionBy("block").orderBy("place")
+    same = lambda other: F.coalesce(other.over(window) == F.col("set"), F.lit(False))
+    linked = placed.select("place", "set", F.col("file_seq").cast("bigint").alias("file"), F.explode(blocks).alias("block"))
     linked = linked.select(
-        F.col("file_seq").cast("bigint").alias("file"), "place",
-        F.coalesce(F.col("before") == F.col("set"), F.lit(False)).alias("later"),
-        F.coalesce(F.col("after") == F.col("set"), F.lit(False)).alias("earlier"),
-    )
-    # Verdict of a file: its number.  "Set is free after the member at place p": -(p + 1).
-    free_before, free_after = -F.col("place"), -(F.col("place") + 1)
-    none, true = F.lit(None).cast("bigint"), F.lit(1)
+        "file", "place", (F.col("block") == block_of(0)).alias("own"), F.lag("file").over(window).alias("before"),
+        same(F.lag("set")).alias("later"), same(F.lag("set", 2)).alias("third"), same(F.lead("set")).alias("earlier"),
+    ).filter("own")
+    # Verdict of a file: its number.  "Set is free after the member at place p": -(p + 1), from the second member on.
+    free_after = -(F.col("place") + 1)
+    none = F.lit(None).cast("bigint")
+    free_before = F.when(F.col("third"), -F.col("place")).when(F.col("later"), F.col("before"))
+    as_value = F.when(F.col("third") | ~F.col("later"), 1).otherwise(0)
+    between = linked.filter("earlier and later")
     rules = (
-        linked.select(F.col("file").alias("node"), F.when(F.col("later"), free_before).alias("on"), true.alias("is"))
-        .unionByName(linked.filter("earlier").select(free_after.alias("node"), F.col("file").alias("on"), F.lit(0).alias("is")))
-        .unionByName(linked.filter("earlier and later").select(free_after.alias("node"), free_before.alias("on"), true.alias("is")))
+        linked.select(F.col("file").alias("node"), free_before.alias("on"), as_value.alias("is"))
+        .unionByName(between.select(free_after.alias("node"), F.col("file").alias("on"), F.lit(0).alias("is")))
+        .unionByName(between.select(free_after.alias("node"), free_before.alias("on"), as_value.alias("is")))
     )
     rules = _saved(spark, rules, f"{folder}/rules")
     known, turn = None, 0
@@ -169,10 +178,10 @@ def _settle(spark: SparkSession, members: DataFrame, folder: str) -> DataFrame:
         meaning = known.unionByName(single).withColumnRenamed("node", "on")
         open_rules = terms.filter("on is not null").select("node", "on", F.col("low").alias("is")).join(left.select("node"), "node", "left_semi")
         put_in = open_rules.join(meaning, "on", "left")
-        same = F.when(F.col("is") == F.col("as"), 1).otherwise(0)
+        agrees = F.when(F.col("is") == F.col("as"), 1).otherwise(0)
         rules = put_in.select(
             "node", F.when(F.col("as").isNull(), F.col("on")).otherwise(F.col("to")).alias("on"),
-            F.when(F.col("as").isNull(), F.col("is")).otherwise(same).alias("is"),
+            F.when(F.col("as").isNull(), F.col("is")).otherwise(agrees).alias("is"),
         )
         turn += 1
         rules = _saved(spark, rules, f"{folder}/rules-{turn}")

@@ -52,6 +52,24 @@ def test_chained_files_take_few_rounds(spark, tmp_path):
     assert len(rounds) <= 15
 
 
+def test_pairs_need_one_rule_for_each_file(spark, tmp_path):
+    files = {i: [f"k{i}", f"k{i + 1}"] for i in range(300)}
+    load.losers(spark, contested(spark, files), ["k"], str(tmp_path / "w"), few=0).collect()
+    rules = spark.read.parquet(str(tmp_path / "w" / "rules"))
+    assert rules.filter("node < 0").isEmpty() and rules.filter("on is not null").count() == 299
+    assert spark.read.parquet(str(tmp_path / "w" / "members")).selectExpr("max(length(set))").first()[0] == 16
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_sets_across_blocks_of_places(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(load, "_BLOCK_BITS", bits)
+    draw = random.Random(bits)
+    files = {i: draw.sample(range(12), draw.randint(1, 3)) for i in range(60)}
+    files = {f: [f"k{k}" for k in keys] for f, keys in files.items()} | {f: ["all"] for f in range(60, 90)}
+    found = load.losers(spark, contested(spark, files), ["k"], str(tmp_path / "w"), few=0)
+    assert {r["file_seq"] for r in found.collect()} == one_after_the_other(files)
+
+
 def test_verdicts_count_rows_of_table_and_batch(spark, tmp_path):
     rows = spark.createDataFrame(
         [(0, "a"), (0, "b"), (1, "b"), (1, "c"), (2, "c"), (2, "held"), (2, "held"), (3, "c"), (3, "c"), (4, "c"), (5, None)],
