@@ -56,6 +56,35 @@ def _is_outside(name: str) -> bool:
     return ".." in parts or name.startswith(("/", "\\")) or (len(name) > 1 and name[1] == ":")
 
 
+_END, _ENTRY = struct.Struct("<4s4H2IH"), struct.Struct("<4s6H3I5H2I")
+
+
+def _infos(data: memoryview) -> list[zipfile.ZipInfo]:
+    """The directory of an archive.  A plain one is read here, since zipfile takes longer for few
+    short members than unpacking does; all else, whatever is wrong included, is for zipfile."""
+    end, found = len(data) - _END.size, []
+    if end >= 0:
+        magic, disk, first_disk, here, total, size, at, comment = _END.unpack_from(data, end)
+        if magic == ZIP_MAGIC[1] and not (disk or first_disk or comment) and here == total and at + size == end:
+            while end - at >= _ENTRY.size:
+                (magic, _, version, flags, method, _, _, crc, packed, unpacked, length, *more, offset) = _ENTRY.unpack_from(data, at)
+                name = bytes(data[at + _ENTRY.size : at + _ENTRY.size + length])
+                extra, remark, disk = more[:3]
+                if magic != b"PK\x01\x02" or version > 63 or extra or remark or disk or not name.isascii() or 0 in name:
+                    break
+                if max(packed, unpacked, offset) == 0xFFFFFFFF:  # the true value lies elsewhere
+                    break
+                info = zipfile.ZipInfo(name.decode())
+                info.flag_bits, info.compress_type, info.CRC = flags, method, crc
+                info.compress_size, info.file_size, info.header_offset = packed, unpacked, offset
+                found.append(info)
+                at += _ENTRY.size + length
+            if at == end and len(found) == total:
+                return found
+    with zipfile.ZipFile(io.BytesIO(data)) as archive:
+        return archive.infolist()
+
+
 def _packed(data: memoryview, info: zipfile.ZipInfo) -> memoryview:
     """The member's bytes as they lie in the archive."""
     head = data[info.header_offset : info.header_offset + 30]
@@ -122,30 +151,29 @@ def _list_members(
     The second member of a name, and every further one, gets a number before its suffix."""
     if depth > max_depth:
         raise ArchiveError(f"nested deeper than {max_depth} levels")
-    with zipfile.ZipFile(io.BytesIO(data)) as archive:
-        for info in archive.infolist():
-            if info.is_dir():
-                continue
-            if _is_outside(info.filename):
-                raise ArchiveError(f"suspicious path '{info.filename}'")
-            if info.flag_bits & 1:
-                raise ArchiveError(f"'{info.filename}' is encrypted")
-            budget[0] -= info.file_size
-            if budget[0] < 0:
-                raise ArchiveError("unpacks to more bytes than are allowed")
-            payload, path = _packed(data, info), _unused(prefix + info.filename, names)
-            head = b""
-            for piece in _stream(payload, info.compress_type):
-                head += piece[:4]
-                if len(head) >= 4:
-                    break
-            if not is_zip(head):
-                yield path, info.file_size, info.compress_type, info.CRC, payload
-                continue
-            if info.file_size > _MAX_NESTED_BYTES:
-                raise ArchiveError(f"'{info.filename}' is too large for an archive in an archive")
-            inner = b"".join(_checked(payload, info.compress_type, info.file_size, info.CRC))
-            yield from _list_members(memoryview(inner), path + "/", depth + 1, budget, max_depth, names)
+    for info in _infos(data):
+        if info.is_dir():
+            continue
+        if _is_outside(info.filename):
+            raise ArchiveError(f"suspicious path '{info.filename}'")
+        if info.flag_bits & 1:
+            raise ArchiveError(f"'{info.filename}' is encrypted")
+        budget[0] -= info.file_size
+        if budget[0] < 0:
+            raise ArchiveError("unpacks to more bytes than are allowed")
+        payload, path = _packed(data, info), _unused(prefix + info.filename, names)
+        head = b""
+        for piece in _stream(payload, info.compress_type):
+            head += piece[:4]
+            if len(head) >= 4:
+                break
+        if not is_zip(head):
+            yield path, info.file_size, info.compress_type, info.CRC, payload
+            continue
+        if info.file_size > _MAX_NESTED_BYTES:
+            raise ArchiveError(f"'{info.filename}' is too large for an archive in an archive")
+        inner = b"".join(_checked(payload, info.compress_type, info.file_size, info.CRC))
+        yield from _list_members(memoryview(inner), path + "/", depth + 1, budget, max_depth, names)
 
 
 def _unused(path: str, names: set[str]) -> str:
@@ -236,20 +264,20 @@ def _directory(max_bytes: int, max_depth: int):
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed members to one row each and one for every chunk."""
 
-    def rows(batch: pa.RecordBatch, i: int) -> Iterator[tuple]:
-        archive, member, seq, size, error, method, crc = (batch.column(c)[i].as_py() for c in range(7))
+    def rows(archive, member, seq, size, error, method, crc, payload) -> Iterator[tuple]:
         if error is not None:
             yield archive, None, None, None, error, None, None
             return
         try:
-            pieces = _checked(memoryview(batch.column(7)[i].as_buffer()), method, size, crc)
+            pieces = _checked(memoryview(payload.as_buffer()), method, size, crc)
             for block, chunk in enumerate(_chunks(pieces)):
                 yield archive, member, seq, None, None, block, chunk
             yield archive, member, seq, size, None, None, None
         except Exception as e:  # noqa: BLE001
             yield archive, None, None, None, f"{_reason(e)} in '{member}'", None, None
 
-    yield from _batches((row for b in batches for i in range(b.num_rows) for row in rows(b, i)), _EXPANDED)
+    given = (x for b in batches for x in zip(*(b.column(c).to_pylist() for c in range(7)), b.column(7), strict=True))
+    yield from _batches((row for x in given for row in rows(*x)), _EXPANDED)
 
 
 def expand(archives: DataFrame, max_bytes: int = MAX_UNPACKED_BYTES, max_depth: int = MAX_DEPTH) -> DataFrame:

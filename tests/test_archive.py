@@ -118,6 +118,37 @@ def test_equal_names_and_all_methods(spark, expanded):
     assert set(per_file.values()) == {50_001}
 
 
+def listed(data):
+    fields = "filename flag_bits compress_type CRC compress_size file_size header_offset".split()
+    show = lambda infos: [tuple(getattr(i, f) for f in fields) + (i.is_dir(),) for i in infos]
+    return show(archive._infos(memoryview(data))), show(zipfile.ZipFile(io.BytesIO(data)).infolist())
+
+
+def test_directories_are_those_of_zipfile():
+    with io.BytesIO() as buffer:
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_BZIP2) as z:
+            z.mkdir("d")
+            z.writestr("d/ü.csv", "x")
+            z.writestr("b.csv", "y" * 1000)
+            z.comment = b"PK"
+        remarked = buffer.getvalue()
+    with io.BytesIO() as buffer:
+        with zipfile.ZipFile(buffer, "w") as z, z.open("large.csv", "w", force_zip64=True) as f:
+            f.write(b"x")
+        large = buffer.getvalue()
+    plain = zipped(("a.csv", "1|2"), ("in/b.csv", ""))
+    for data in (plain, zipped(), nested(2), remarked, large, b"in front" + plain):
+        ours, theirs = listed(data)
+        assert ours == theirs
+
+
+def test_plain_archives_need_no_zipfile(monkeypatch):
+    data = nested(3)
+    monkeypatch.setattr(zipfile, "ZipFile", None)
+    found = archive._list_members(memoryview(data), "", 0, [archive.MAX_UNPACKED_BYTES], archive.MAX_DEPTH, set())
+    assert [(name, size) for name, size, *_ in found] == [("in.dat/in.dat/in.dat/leaf.csv", 4)]
+
+
 def test_limits_are_parameters(spark):
     rows = spark.createDataFrame([("deep", nested(2)), ("large", zipped(("a.csv", "x" * 1000)))], "path string, content binary")
     assert archive.failures(archive.expand(rows)).count() == 0
