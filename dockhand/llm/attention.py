@@ -18,12 +18,14 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 
+from dockhand.llm.words import ranges
+
 BLOCK = 16
 DIM = 16
 CLASSES = 64
 OWN_CLASSES = 56  # of the most frequent subwords; the others share the rest in bands of equal mass
 ROWS, SHARED_ROWS = 2048, 64  # input rows; rarer subwords share some
-_CHUNK = 256  # blocks at once, so that what is made of them stays in the processor's cache
+_CHUNK = 128  # blocks at once, so that what is made of them stays in the processor's cache
 _GROUP = 512  # blocks whose gradients are added up by row at once
 _FAR = np.float32(-1e9)
 _ONES = np.ones((max(CLASSES, 2 * BLOCK), 1), np.float32)  # products with it are the faster sums
@@ -78,29 +80,30 @@ class Model:
 
     def _bias(self) -> np.ndarray:
         distance = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
-        return np.where(distance >= 0, self.near[np.maximum(distance, 0)], _FAR).astype(np.float32)
+        bias = np.where(distance >= 0, self.near[np.maximum(distance, 0)], _FAR).astype(np.float32)
+        return np.append(bias.reshape(-1), np.full(BLOCK, _FAR))
 
     def _tables(self) -> np.ndarray:
         """Queries (scaled), keys and values side by side."""
         return np.concatenate([self.q * np.float32(DIM**-0.5), self.k, self.v], 1)
 
     @staticmethod
-    def _attend(tables: np.ndarray, bias: np.ndarray, rows: np.ndarray, first: np.ndarray):
-        """Queries, keys and values, weights that don't add up to 1 yet, their sums, and the output
-        of all blocks but the first, which is there for the next one to look at.
+    def _attend(tables: np.ndarray, bias: np.ndarray, rows: np.ndarray, first: np.ndarray, weights: _Wide):
+        """Queries, keys and values side by side, weights that don't add up to 1 yet, their sums, and
+        the output of all blocks but the first, which is there for the next one to look at.
 
         Scores are bounded (see settle), so their exponentials need no shift by the maximum."""
         found = np.take(tables, rows, axis=0)
-        q, k, v = found[1:, :, :DIM], found[:, :, DIM : 2 * DIM], found[:, :, 2 * DIM :]
-        keys, values = np.concatenate([k[:-1], k[1:]], 1), np.concatenate([v[:-1], v[1:]], 1)
-        a = q @ keys.transpose(0, 2, 1)
-        a += bias
-        np.exp(a, out=a)
+        n = len(found) - 1
+        a, flat = weights.blocks[:n], weights.flat[:n]
+        np.matmul(found[1:, :, :DIM], _across(found, DIM), out=a)
+        flat += bias
+        np.exp(flat, out=flat)
         a[first, :, :BLOCK] = 0  # no look at another text
         total = a @ _ONES[: 2 * BLOCK]
-        o = a @ values
+        o = a @ _pairs(found, 2 * DIM)
         o /= total
-        return q, keys, values, a, total, o
+        return found, a, total, o
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability, 0 where the target is -1.
@@ -108,17 +111,20 @@ class Model:
         x, y: blocks x BLOCK subwords and their successors; first: whether a block begins a text."""
         out = np.zeros(x.shape, np.float64)
         rows = self.layout.row[np.concatenate([x[:1], x])]
-        tables, bias, share, (h_room, share_room) = self._tables(), self._bias(), np.exp(self.bigram), _room()
+        tables, bias, share, room = self._tables(), self._bias(), np.exp(self.bigram), _Room()
         for low in range(0, len(x), _CHUNK):
             part = slice(low, low + _CHUNK)
-            o = self._attend(tables, bias, rows[low : low + _CHUNK + 1], first[part])[-1]
-            h = np.matmul(o.reshape(-1, DIM), self.out, out=h_room[: o.size // DIM])
-            row, target = rows[low + 1 : low + _CHUNK + 1].reshape(-1), np.maximum(y[part], 0).reshape(-1)
+            n = len(y[part])
+            o = self._attend(tables, bias, rows[low : low + n + 1], first[part], room.weights)[-1]
+            h = np.matmul(o, self.out, out=room.classes[:n]).reshape(-1, CLASSES)
+            row, target = rows[low + 1 : low + n + 1].reshape(-1), np.maximum(y[part], 0).reshape(-1)
             klass = self.layout.cls[target]
-            picked = h[np.arange(len(h)), klass] + self.bigram[row, klass]
+            picked = np.take(h, room.places[: len(h)] + klass) + np.take(self.bigram, row * CLASSES + klass)
             np.exp(h, out=h)
-            found = picked - np.log(np.einsum("nc,nc->n", h, np.take(share, row, axis=0, out=share_room[: len(h)], mode="clip"))) + self.within[target]
-            out[part] = np.where(y[part] >= 0, found.reshape(-1, BLOCK), 0)
+            sums = np.einsum("nc,nc->n", h, np.take(share, row, axis=0, out=room.shares[: len(h)], mode="clip"))
+            found = picked - np.log(sums) + np.take(self.within, target)
+            out[part] = found.reshape(-1, BLOCK)
+        out[y < 0] = 0
         return out
 
     def head(self) -> np.ndarray:
@@ -151,17 +157,19 @@ class Model:
             x, y = np.stack([before, x], 1).reshape(-1, BLOCK), np.stack([np.full_like(y, -1), y], 1).reshape(-1, BLOCK)
             first = np.stack([np.ones_like(first), first], 1).reshape(-1)
         rows = self.layout.row[np.concatenate([x[:1], x])]
-        made = self._tables(), self._bias(), np.exp(self.bigram), _room()
+        made = self._tables(), self._bias(), np.exp(self.bigram), _Room()
         d_tables, d_out, d_bias = np.zeros((ROWS, 3 * DIM)), np.zeros((DIM, CLASSES)), np.zeros((BLOCK, 2 * BLOCK))
+        d_found = np.empty((_GROUP + -(-_GROUP // _CHUNK), BLOCK, 3 * DIM), np.float32)
         for low in range(0, len(x), _GROUP):
-            high = min(low + _GROUP, len(x))
-            d_found = tuple(np.zeros((high - low + 1, BLOCK, DIM), np.float32) for _ in range(3))
-            for at in range(low, high, _CHUNK):
-                end = min(at + _CHUNK, high)
-                found = self._gradients(*made, rows[at : end + 1], y[at:end], first[at:end], [d[at - low : end - low + 1] for d in d_found])
+            at, places = 0, []
+            for begin in range(low, min(low + _GROUP, len(x)), _CHUNK):
+                end = min(begin + _CHUNK, low + _GROUP, len(x))
+                places.append(rows[begin : end + 1])  # the block in front takes part in each chunk
+                found = self._gradients(*made, places[-1], y[begin:end], first[begin:end], d_found[at : at + end - begin + 1])
+                at += end - begin + 1
                 d_out += found[0]
                 d_bias += found[1]
-            _add_rows(d_tables, rows[low : high + 1].reshape(-1), d_found)
+            _add_rows(d_tables, np.concatenate(places).reshape(-1), d_found[:at].reshape(-1, 3 * DIM))
         distance = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
         seen = distance >= 0
         d_near = np.bincount(distance[seen], d_bias[seen], 2 * BLOCK)
@@ -169,39 +177,75 @@ class Model:
         found = {"q": d_q, "k": d_k, "v": d_v, "out": d_out, "near": d_near}
         return np.concatenate([found[n].reshape(-1) for n in HEAD]), int((y >= 0).sum())
 
-    def _gradients(self, tables, bias, share, room, rows: np.ndarray, y: np.ndarray, first: np.ndarray, d_found: list[np.ndarray]):
-        """Of out and of the scores by place; those of queries, keys and values are added to d_found.
+    def _gradients(self, tables, bias, share, room: _Room, rows: np.ndarray, y: np.ndarray, first: np.ndarray, d_found: np.ndarray):
+        """Of out and of the scores by place; those of queries, keys and values go to d_found.
 
         With z the exponentials, Z their sum and t the target, the gradient of a position's class
-        scores is z / Z - t; Z goes to the narrow side of the products."""
-        q, keys, values, a, total, o = self._attend(tables, bias, rows, first)
-        narrow = o.reshape(-1, DIM)
-        z = np.matmul(narrow, self.out, out=room[0][: len(narrow)])
+        scores is z / Z - t; Z goes to the narrow side of the products, and so do the sums of weights."""
+        n = len(y)
+        made, a, total, o = self._attend(tables, bias, rows, first, room.weights)
+        by_block = np.matmul(o, self.out, out=room.classes[:n])
+        z = by_block.reshape(-1, CLASSES)
         np.exp(z, out=z)
-        z *= np.take(share, rows[1:].reshape(-1), axis=0, out=room[1][: len(z)], mode="clip")
+        z *= np.take(share, rows[1:].reshape(-1), axis=0, out=room.shares[: len(z)], mode="clip")
         sums, target = z @ _ONES[:CLASSES], self.layout.cls[np.maximum(y, 0).reshape(-1)]
-        z[np.arange(len(z)), target] -= sums[:, 0]
-        weight = (y >= 0).reshape(-1, 1) / sums
-        d_out = (narrow * weight).T @ z
-        d_o = (z @ self.out.T) * weight
-        own = np.einsum("nd,nd->n", d_o, narrow).reshape(-1, BLOCK, 1)
-        d_o = d_o.reshape(-1, BLOCK, DIM)
-        a /= total
-        d_v = a.transpose(0, 2, 1) @ d_o
-        d_s = d_o @ values.transpose(0, 2, 1)
+        z.reshape(-1)[room.places[: len(z)] + target] -= sums[:, 0]
+        weight = (y >= 0)[:, :, None] / sums.reshape(n, BLOCK, 1)
+        d_out = ((o * weight).transpose(0, 2, 1) @ by_block).sum(0)
+        d_o = room.outputs[1 : n + 1]
+        np.matmul(z, self.out.T, out=d_o.reshape(-1, DIM))
+        d_o *= weight / total
+        own = np.einsum("nd,nd->n", d_o.reshape(-1, DIM), o.reshape(-1, DIM)).reshape(n, BLOCK, 1)
+        room.outputs[n + 1] = 0
+        np.matmul(room.weights.by_key(n), _pairs(room.outputs[: n + 2]), out=d_found[:, :, 2 * DIM :])
+        d_s = d_o @ _across(made, 2 * DIM)
         d_s -= own
-        d_s *= a
-        d_k = d_s.transpose(0, 2, 1) @ q
-        np.matmul(d_s, keys, out=d_found[0][1:])
-        for into, d in zip(d_found[1:], (d_k, d_v), strict=True):
-            into[:-1] += d[:, :BLOCK]
-            into[1:] += d[:, BLOCK:]
-        return d_out, d_s.sum(0)
+        d_a = np.multiply(a, d_s, out=room.slopes.blocks[:n])
+        room.queries[1 : n + 1], room.queries[n + 1] = made[1:, :, :DIM], 0
+        np.matmul(room.slopes.by_key(n), _pairs(room.queries[: n + 2]), out=d_found[:, :, DIM : 2 * DIM])
+        d_found[0, :, :DIM] = 0
+        np.matmul(d_a, _pairs(made, DIM), out=d_found[1:, :, :DIM])
+        return d_out, room.slopes.flat[:n].sum(0)[: 2 * BLOCK * BLOCK].reshape(BLOCK, -1)
+
+
+def _pairs(blocks: np.ndarray, column: int = 0) -> np.ndarray:
+    """A view of each block but the first together with the one before it, in DIM columns."""
+    return np.ndarray((len(blocks) - 1, 2 * BLOCK, DIM), np.float32, blocks, 4 * column, blocks.strides)
+
+
+def _across(blocks: np.ndarray, column: int) -> np.ndarray:
+    """The same with rows and columns exchanged; products with it are much faster than with a transposed view."""
+    copy = np.ascontiguousarray(blocks[:, :, column : column + DIM].transpose(2, 0, 1))
+    return np.ndarray((len(blocks) - 1, DIM, 2 * BLOCK), np.float32, copy, 0, (4 * BLOCK, copy.strides[0], 4))
+
+
+class _Wide:
+    """Values of queries x keys for each block of a chunk.
+
+    A block is BLOCK values longer than it need be, so that by_key sees those of each key, in its
+    own block and in the next one, at one distance.  flat has these, too: numpy is slower with gaps."""
+
+    def __init__(self) -> None:
+        size = 2 * BLOCK * BLOCK + BLOCK
+        self._room = np.zeros((_CHUNK + 2, size), np.float32)  # a block of zeros in front, and one behind
+        self.flat = self._room[1:]
+        self.blocks = self.flat[:, :-BLOCK].reshape(-1, BLOCK, 2 * BLOCK)  # a view
+        self._by_key = np.ndarray((_CHUNK + 1, BLOCK, 2 * BLOCK), np.float32, self._room, 4 * BLOCK, (4 * size, 4, 8 * BLOCK))
+
+    def by_key(self, n: int) -> np.ndarray:
+        """For the block in front and n blocks: its keys x queries of the block and the next one."""
+        self.flat[n] = 0
+        return self._by_key[: n + 1]
+
 
+class _Room:
+    """Memory for what a chunk needs, used over and over."""
 
-def _room() -> tuple[np.ndarray, np.ndarray]:
-    """Memory for two values of each class, used over and over."""
-    return tuple(np.empty((_CHUNK * BLOCK, CLASSES), np.float32) for _ in range(2))
+    def __init__(self) -> None:
+        self.places = np.arange(_CHUNK * BLOCK) * CLASSES
+        self.classes, self.shares = np.empty((_CHUNK, BLOCK, CLASSES), np.float32), np.empty((_CHUNK * BLOCK, CLASSES), np.float32)
+        self.outputs, self.queries = (np.zeros((_CHUNK + 2, BLOCK, DIM), np.float32) for _ in range(2))
+        self.weights, self.slopes = _Wide(), _Wide()
 
 
 class Adam:
@@ -220,13 +264,13 @@ class Adam:
         return model.with_head(model.head() - rate * change)
 
 
-def _add_rows(total: np.ndarray, place: np.ndarray, parts: tuple[np.ndarray, ...]) -> None:
-    """Adds gradients of table rows, in parts side by side, to the totals."""
+def _add_rows(total: np.ndarray, place: np.ndarray, found: np.ndarray) -> None:
+    """Adds gradients of table rows to the totals."""
     order = np.argsort(place.astype(np.uint16), kind="stable")  # ROWS is less, and short numbers sort faster
     rows = place[order]
     heads = np.flatnonzero(np.diff(rows, prepend=-1))
-    sums = [np.add.reduceat(np.take(g.reshape(len(place), -1), order, axis=0), heads) for g in parts]
-    total[rows[heads]] += np.concatenate(sums, 1)
+    pairs = np.take(found, order, axis=0).view(np.complex64)  # two columns are added up as one
+    total[rows[heads]] += np.add.reduceat(pairs, heads).view(np.float32)
 
 
 def blocked(tokens: np.ndarray, counts: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -234,13 +278,15 @@ def blocked(tokens: np.ndarray, counts: np.ndarray, boundary: int) -> tuple[np.n
     -1 beyond), which blocks begin a text, and the first block of each text (one more for the end)."""
     n = -(-(counts + 1) // BLOCK)
     starts = np.concatenate([[0], np.cumsum(n)])
-    x = np.full(starts[-1] * BLOCK, boundary, np.int32)
-    y = np.full(starts[-1] * BLOCK, -1, np.int32)
-    first_token = starts[:-1] * BLOCK
-    place = np.arange(len(tokens)) + np.repeat(first_token + 1 - (np.cumsum(counts) - counts), counts)
-    x[place] = tokens
-    y[place - 1] = tokens
-    y[first_token + counts] = boundary
+    begin, end = starts[:-1] * BLOCK, starts[:-1] * BLOCK + counts + 1
+    beyond = ranges(end, starts[1:] * BLOCK - end)
+    filled = np.ones(starts[-1] * BLOCK, bool)
+    filled[begin] = filled[beyond] = False
+    x = np.full(len(filled), boundary, np.int32)
+    x[filled] = tokens
+    y = np.full(len(filled), boundary, np.int32)
+    y[:-1] = x[1:]
+    y[beyond] = -1
     first = np.zeros(starts[-1], bool)
     first[starts[:-1]] = True
     return x.reshape(-1, BLOCK), y.reshape(-1, BLOCK), first, starts

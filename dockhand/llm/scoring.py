@@ -37,6 +37,9 @@ from dockhand.llm.store import record, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 _PIECE_BYTES = 4096  # longer words are cut
+_SLICE_BYTES = 4 << 20  # of text cut into subwords at once; a longer text is a slice of its own
+_NO_NUL = np.arange(256, dtype=np.uint8)
+_NO_NUL[0] = 1
 
 ROUNDS = 12
 HELD_OUT, COUNTS = -1, -2  # instead of a round: texts that are not learned from, and rows of counts
@@ -54,13 +57,13 @@ def tokenizer(path: str) -> tuple[tiktoken.Encoding, int, int]:
     """The encoding, the subword that stands for NUL, and the number of subwords."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    pattern = r"\x00|[\x20\x09-\x0D]*[^\x20\x09-\x0D\x00]+|[\x20\x09-\x0D]+"
+    pattern = r"[^\x00]+|\x00"  # subwords() gives it pieces that are cut already
     return tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ranks[b"\x00"], max(ranks.values()) + 1
 
 
 def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = W.utf8(column)
-    return W.LOWER[data], offsets
+    return W.mapped(data, W.LOWER), offsets
 
 
 def _sorted_union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,10 +71,56 @@ def _sorted_union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return both[np.diff(both, prepend=-1) > 0]
 
 
-def subwords(data: np.ndarray, offsets: np.ndarray, words: W.Words, path: str) -> tuple[np.ndarray, np.ndarray]:
+class Known:
+    """Subwords of short pieces that were met before: those of keys[i] are the count[i] ids from
+    first[i].  When it is full no more are taken in, which costs time only."""
+
+    MOST, BYTES = 250_000, 32  # pieces, and bytes of one
+
+    def __init__(self) -> None:
+        self.keys, self.first, self.count, self.ids = np.zeros(0, np.uint64), *np.zeros((2, 0), np.int64), np.zeros(0, np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the sorted keys are known, and where these are."""
+        at = np.searchsorted(self.keys, keys)
+        found = at < len(self.keys)
+        found[found] = self.keys[at[found]] == keys[found]
+        return found, at[found]
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+        room = self.MOST - len(self.keys)
+        if room <= 0:
+            return
+        keys, first, count = keys[:room], first[:room], count[:room]
+        begin = len(self.ids) + np.cumsum(count) - count
+        self.ids = np.concatenate([self.ids, ids[W.ranges(first, count)]])
+        every = np.concatenate([self.keys, keys])
+        order = np.argsort(every)
+        self.keys, self.first, self.count = every[order], np.concatenate([self.first, begin])[order], np.concatenate([self.count, count])[order]
+
+
+def _encoded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, path: str, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Subwords of pieces with distinct sorted keys: ids, and for each piece the first of its own and how many."""
+    found, at = known.find(keys)
+    new, raw = np.flatnonzero(~found), data.tobytes()
+    text = b"\x00".join([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]).decode("utf-8", "replace")
+    encoding, nul, _ = tokenizer(path)
+    ids = encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+    parts = np.flatnonzero(ids == nul)
+    begin = np.concatenate([[0], parts + 1])[: len(new)]
+    length = np.concatenate([parts, [len(ids)]])[: len(new)] - begin
+    first, count = np.empty((2, len(keys)), np.int64)
+    first[found], count[found] = known.first[at], known.count[at]
+    first[new], count[new] = begin + len(known.ids), length
+    every, short = np.concatenate([known.ids, ids]), np.flatnonzero(ends[new] - starts[new] <= known.BYTES)
+    known.add(keys[new[short]], ids, begin[short], length[short])
+    return every, first, count
+
+
+def subwords(data: np.ndarray, offsets: np.ndarray, words: W.Words, path: str, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Subwords of all texts in a row, and how many each text has.  Each distinct piece (a word
-    with the space before it, or space at the end) is encoded once."""
-    data = np.where(data == 0, np.uint8(1), data)
+    with the space before it, or space at the end) is encoded once, and not at all if it is known."""
+    data = W.mapped(data, _NO_NUL)
     points = _sorted_union(offsets, words.ends)
     long = np.flatnonzero(np.diff(points) > _PIECE_BYTES)
     if len(long):
@@ -81,18 +130,15 @@ def subwords(data: np.ndarray, offsets: np.ndarray, words: W.Words, path: str) -
         points = _sorted_union(points, more)
     starts, ends = points[:-1], points[1:]
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    _, example, kind = np.unique(W.hash_pieces(data, starts, ends), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    text = b"\x00".join([raw[a:b] for a, b in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]).decode("utf-8", "replace")
-    encoding, nul, _ = tokenizer(path)
-    ids = encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
-    parts = np.flatnonzero(ids == nul)
-    first = np.concatenate([[0], parts + 1])
-    count = np.concatenate([parts, [len(ids)]]) - first
-    owner = np.searchsorted(offsets, starts, "right") - 1
-    per_text = np.bincount(owner, count[kind], len(offsets) - 1).astype(np.int64)
-    return ids[W.ranges(first[kind], count[kind])], per_text
+        return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
+    keys, kind = W.distinct(W.hash_pieces(data, starts, ends))
+    example = np.empty(len(keys), np.int64)
+    example[kind] = np.arange(len(kind))
+    ids, first, count = _encoded(data, starts[example], ends[example], keys, path, known or Known())
+    first, count = first[kind], count[kind]
+    sums = np.concatenate([[0], np.cumsum(count)])
+    per_text = np.diff(sums[np.searchsorted(starts, offsets)])
+    return ids[W.ranges(first, count)], per_text
 
 
 def _index(blocks: int):
@@ -103,7 +149,7 @@ def _index(blocks: int):
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
                 table = B.unseal(payload)
                 words = W.cut(*_lowered(table.column("text")))
-                keys, kind = np.unique(words.hashes(), return_inverse=True)
+                keys, kind = W.distinct(words.hashes())
                 train = table.column("train").to_numpy()[words.owners()]
                 counts = np.bincount(kind[train], minlength=len(keys)).astype(np.uint32)
                 yield from B.send(number, keys, blocks, lambda part, counts=counts: B.planes(counts[part]))
@@ -131,21 +177,25 @@ def _tokenize(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         boundary = tokenizer(path)[2]
-        sums = np.zeros(boundary + 1, np.int64)
+        sums, known = np.zeros(boundary + 1, np.int64), Known()
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 table = B.unseal(payload)
-                data, offsets = _lowered(table.column("text"))
-                tokens, counts = subwords(data, offsets, W.cut(data, offsets), path)
+                parts = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
+                for part in W.sliced(table.select(["text"]).to_batches(), 0, _SLICE_BYTES):
+                    data, offsets = _lowered(part.column(0))
+                    parts.append(subwords(data, offsets, W.cut(data, offsets), path, known))
+                tokens, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
                 train = table.column("train").to_numpy()
                 sums += np.bincount(tokens[np.repeat(train, counts)], minlength=boundary + 1)
                 sums[boundary] += train.sum()
                 turns = np.where(train, (W.mix(B.ids(table).astype(np.uint64)) % np.uint64(ROUNDS)).astype(np.int64), HELD_OUT)
-                turn_of_token = np.repeat(turns, counts)
+                begin = np.cumsum(counts) - counts
                 for turn in np.unique(turns).tolist():
                     places = np.flatnonzero(turns == turn)
-                    packed = _packed(tokens[turn_of_token == turn], counts[places], places)
+                    packed = _packed(tokens[W.ranges(begin[places], counts[places])], counts[places], places)
                     yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([turn], pa.int32()), pa.array([packed], pa.binary()), *[pa.nulls(1, pa.int64())] * 2], TOKENS.names)
+        pa.default_memory_pool().release_unused()  # the worker stays and so would its memory
         used = np.flatnonzero(sums)
         turn = pa.array(np.full(len(used), COUNTS, np.int32))
         yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), turn, pa.nulls(len(used), pa.binary()), pa.array(used), pa.array(sums[used])], TOKENS.names)
@@ -167,7 +217,7 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Subwords, how many each text has, and the places of the texts in their batch."""
     texts, n, width = np.frombuffer(payload, np.int64, 3).tolist()
     body = _CODEC.decompress(payload[24:], 12 * texts + n * width, asbytes=True)
-    tokens = np.frombuffer(body, f"u{width}", n, 12 * texts).astype(np.int64)
+    tokens = np.frombuffer(body, f"u{width}", n, 12 * texts)
     return tokens, np.frombuffer(body, np.int64, texts), np.frombuffer(body, np.int32, texts, 8 * texts)
 
 
@@ -185,7 +235,7 @@ def _count(layout: A.Layout, path: str):
             for payload in batch.column(0).to_pylist():
                 x, y, _, _ = _blocks(payload, path)
                 x, y = x[y >= 0], y[y >= 0]
-                sums += np.bincount(layout.row[x].astype(np.int64) * A.CLASSES + layout.cls[y], minlength=len(sums))
+                sums += np.bincount(layout.row[x] * A.CLASSES + layout.cls[y], minlength=len(sums))
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], ["code", "n"])
 
@@ -249,7 +299,7 @@ def _base(blocks: int, tokens_in_all: int, distinct: int, ends: int):
         for number, payload in zip(left.column("batch").to_pylist(), left.column("payload"), strict=True):
             table = B.unseal(payload)
             words = W.cut(*_lowered(table.column("text")))
-            keys, kind = np.unique(words.hashes(), return_inverse=True)
+            keys, kind = W.distinct(words.hashes())
             edges, known = B.cuts(keys, blocks), np.zeros(len(keys), np.int64)
             for block, found in zip(right.column("block").to_pylist(), right.column("found").to_pylist(), strict=True):
                 known[edges[block] : edges[block + 1]] = B.unplanes(found, np.int64)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_SLICE = 1 << 20  # bytes hashed at once; longer words make their slice longer
+_SLICE = 1 << 17  # bytes hashed at once, which fit into the cache; longer words make their slice longer
 
 # The bytes \x20 and \x09-\x0D part words.
 SPACES = np.zeros(256, bool)
@@ -93,13 +93,29 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
-def cut(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACES) -> Words:
-    """Longest runs of bytes that don't part words, no run reaching into the next text."""
-    inside = ~parts[data]
+def mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[data] for bytes and a table of 256 bytes or booleans, without an index of 8 bytes for each."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
+
+
+def _first(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes are inside words, which begin one, and where texts that are not empty begin."""
+    inside = mapped(data, ~parts)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = offsets[:-1][np.diff(offsets) > 0]
     first[heads] = inside[heads]
+    return inside, first, heads
+
+
+def count(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACES) -> int:
+    """How many words cut finds."""
+    return int(np.count_nonzero(_first(data, offsets, parts)[1]))
+
+
+def cut(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACES) -> Words:
+    """Longest runs of bytes that don't part words, no run reaching into the next text."""
+    inside, first, heads = _first(data, offsets, parts)
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     tails = heads[1:] - 1
@@ -142,6 +158,17 @@ def hash_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and for each key which of them it is; like np.unique, but only the
+    distinct ones are sorted."""
+    coded = pa.array(keys).dictionary_encode()
+    found = coded.dictionary.to_numpy()
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int32)
+    rank[order] = np.arange(len(found), dtype=np.int32)
+    return found[order], rank[coded.indices.to_numpy()]
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of width consecutive values; run i starts at value i.  Runs that reach
     over the end of a text are for the caller to leave out (see whole)."""

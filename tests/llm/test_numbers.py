@@ -416,6 +416,48 @@ def test_gradient_of_a_run_of_blocks():
     assert n == m == 20_004 and np.allclose(run, by_block, rtol=1e-3, atol=1e-3)
 
 
+@pytest.mark.parametrize("blocks", [1, A._CHUNK, A._CHUNK + 1, A._GROUP + A._CHUNK // 2])
+def test_gradient_against_a_plain_version(blocks):
+    rng = np.random.default_rng(blocks)
+    tokens = rng.integers(0, 60, blocks * A.BLOCK - 1)
+    made = model(tokens, 120, 5)
+    cuts = np.sort(rng.integers(0, len(tokens), 3)) if blocks > 1 else np.full(3, len(tokens))
+    x, y, first, _ = A.blocked(tokens, np.diff(cuts, prepend=0, append=len(tokens)), 120)
+    found, n = made.gradient(x, None, y, first)
+    row, klass = made.layout.row[x], made.layout.cls[np.maximum(y, 0)]
+    q, k, v, out, near = (getattr(made, name).astype(float) for name in A.HEAD)
+    want = {name: np.zeros(getattr(made, name).shape) for name in A.HEAD}
+    scale = A.DIM**-0.5
+    for b, i in zip(*np.nonzero(y >= 0), strict=True):
+        keys = np.concatenate([[] if first[b] else row[b - 1], row[b, : i + 1]]).astype(int)
+        far = np.arange(len(keys))[::-1]
+        weight = np.exp(k[keys] @ q[row[b, i]] * scale + near[far])
+        weight /= weight.sum()
+        o = weight @ v[keys]
+        z = np.exp(o @ out + made.bigram[row[b, i]])
+        z /= z.sum()
+        z[klass[b, i]] -= 1
+        d_o = out @ z
+        d_s = weight * (v[keys] @ d_o - o @ d_o)
+        want["out"] += np.outer(o, z)
+        want["q"][row[b, i]] += d_s @ k[keys] * scale
+        np.add.at(want["k"], keys, np.outer(d_s, q[row[b, i]] * scale))
+        np.add.at(want["v"], keys, np.outer(weight, d_o))
+        np.add.at(want["near"], far, d_s)
+    plain = np.concatenate([want[name].reshape(-1) for name in A.HEAD])
+    assert n == (y >= 0).sum() and np.allclose(found, plain, rtol=1e-3, atol=2e-3)
+
+
+def test_blocks_of_texts():
+    tokens, counts = np.arange(70, dtype=np.uint16), np.array([0, 15, 16, 0, 39, 0])
+    x, y, first, starts = A.blocked(tokens, counts, 120)
+    assert starts.tolist() == [0, 1, 2, 4, 5, 8, 9] and np.flatnonzero(first).tolist() == starts[:-1].tolist()
+    for text, low, high in zip(np.split(tokens, np.cumsum(counts)[:-1]), starts[:-1], starts[1:], strict=True):
+        own, rest = [120, *text], [120] * ((high - low) * 16 - len(text) - 1)
+        assert x[low:high].reshape(-1).tolist() == own + rest
+        assert y[low:high].reshape(-1).tolist() == [*own[1:], 120] + [-1] * len(rest)
+
+
 def test_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 80, 9)
@@ -455,3 +497,42 @@ def test_subwords_give_the_text_back():
     for text, n in zip(texts, counts.tolist(), strict=True):
         assert encoding.decode(ids[at : at + n].tolist()) == low(text).replace("\x00", "\x01")
         at += n
+
+
+def test_known_pieces_are_not_encoded_again(monkeypatch):
+    encoding, nul, size = scoring.tokenizer(scoring.VOCABULARY)
+    given = []
+
+    class Counted:
+        def encode_to_numpy(self, text, **more):
+            given.append([t for t in text.split("\x00") if t])
+            return encoding.encode_to_numpy(text, **more)
+
+    monkeypatch.setattr(scoring, "tokenizer", lambda path: (Counted(), nul, size))
+
+    def read_back(known, *texts):
+        data, offsets = scoring._lowered(pa.array(texts, pa.string()))
+        found, counts = scoring.subwords(data, offsets, W.cut(data, offsets), "", known)
+        assert [encoding.decode(x.tolist()) for x in np.split(found, np.cumsum(counts)[:-1])] == list(texts)
+        return sorted(given.pop())
+
+    far, known = " ein" + "z" * 50, scoring.Known()
+    assert read_back(known, "ein zwei", "zwei" + far) == [far, " zwei", "ein", "zwei"]
+    assert read_back(known, "zwei drei  ", "", "ein" + far) == ["  ", " drei", far]  # long ones are not kept
+    assert read_back(known, "zwei drei  ", "", "ein zwei") == []
+    monkeypatch.setattr(scoring.Known, "MOST", 3)
+    known = scoring.Known()
+    for left in (5, 2, 2):
+        assert len(read_back(known, "eins zwei drei vier", "sechs")) == left and len(known.keys) == 3
+
+
+def test_words_are_counted_and_told_apart():
+    rng = np.random.default_rng(1)
+    for texts in ([t for _, t in AWKWARD], ["", None, " a", "a ", "\n"], []):
+        data, offsets = W.utf8(pa.array(texts, pa.string()))
+        assert W.count(data, offsets) == len(W.cut(data, offsets))
+        assert W.mapped(data, W.LOWER).tolist() == W.LOWER[data].tolist()
+    for keys in (rng.integers(0, 50, 200).astype(np.uint64), np.zeros(0, np.uint64)):
+        found, kind = W.distinct(keys)
+        unique, inverse = np.unique(keys, return_inverse=True)
+        assert found.tolist() == unique.tolist() and kind.tolist() == inverse.tolist()
